@@ -120,3 +120,94 @@ def drift_summary_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     sb, sc = _score_sides(spark, sf_dir)
     table = drift.detect_drift(b, c, NUM, CAT)
     return T.rounded(drift.drift_summary(table, drift.prediction_drift(sb, sc)))
+
+
+# --------------------------------------------------------------------------- metrics (G)
+
+from tabwatch.operators import metrics as M  # noqa: E402
+
+_S = O.scored_lineitem_sql()
+_MS = ["model", "split"]
+
+
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.scored_lineitem(spark, sf_dir)
+
+
+@register("metric_set", f"""
+SELECT r.model, r.split, round(roc_auc, 6) AS roc_auc, round(pr_auc, 6) AS pr_auc,
+       round(f1, 6) AS f1, round(log_loss, 6) AS log_loss, round(brier, 6) AS brier
+FROM {O.rank_metrics_sql(_S, _MS)} r JOIN {O.point_metrics_sql(_S, _MS)} p
+  ON r.model = p.model AND r.split = p.split""")
+def metric_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.rounded(M.classification_metrics(_scored(spark, sf_dir), _MS))
+
+
+@register("roc_pr_auc", f"""
+SELECT model, split, round(roc_auc, 6) AS roc_auc, round(pr_auc, 6) AS pr_auc, n_pos, n_neg
+FROM {O.rank_metrics_sql(_S, _MS)} r""")
+def roc_pr_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.rounded(M.rank_metrics(_scored(spark, sf_dir), _MS))
+
+
+@register("confusion_at_half", f"""
+SELECT model, split, tp, fp, fn, tn FROM {O.point_metrics_sql(_S, _MS)} p""")
+def confusion_at_half(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.confusion_at(_scored(spark, sf_dir), _MS, 0.5)
+
+
+@register("threshold_sweep", f"""
+SELECT model, split, round(threshold, 6) AS threshold, round(precision, 6) AS precision,
+       round(recall, 6) AS recall, round(f1, 6) AS f1, tp, fp, fn, tn
+FROM {O.sweep_sql(_S, _MS, M.default_thresholds())} s""")
+def threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.rounded(M.threshold_sweep(_scored(spark, sf_dir), _MS))
+
+
+@register("calibration", f"""
+SELECT model, split, bin, round(bin_lower, 6) AS bin_lower, round(bin_upper, 6) AS bin_upper,
+       round(predicted_mean, 6) AS predicted_mean, round(observed_rate, 6) AS observed_rate,
+       count FROM {O.calibration_sql(_S, _MS)} c""")
+def calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.rounded(M.calibration_table(_scored(spark, sf_dir), _MS))
+
+
+_CMP = f"""(SELECT r.model, roc_auc, pr_auc, f1, log_loss, brier
+FROM {O.rank_metrics_sql(_S, ['model'])} r JOIN {O.point_metrics_sql(_S, ['model'])} p
+  ON r.model = p.model)"""
+
+
+@register("model_comparison", f"""
+SELECT model, round(roc_auc, 6) AS roc_auc, round(pr_auc, 6) AS pr_auc, round(f1, 6) AS f1,
+       round(log_loss, 6) AS log_loss, round(brier, 6) AS brier FROM {_CMP} c""")
+def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.rounded(M.compare_models(_scored(spark, sf_dir)))
+
+
+@register("champion_model", f"""
+SELECT model, round(roc_auc, 6) AS roc_auc FROM {_CMP} c
+ORDER BY roc_auc DESC, model LIMIT 1""")
+def champion_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.rounded(M.champion(M.compare_models(_scored(spark, sf_dir))))
+
+
+_DOC = """(SELECT 'doc_len' AS model, CAST(l.quality AS INTEGER) AS label,
+       CAST(d.n_chars AS DOUBLE) / (d.n_chars + 2000.0) AS score
+FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"""
+
+
+def _doc_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lab = T.table(spark, sf_dir, "labels").select("doc_id", "quality")
+    doc = T.table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    return lab.join(doc, "doc_id").select(
+        F.lit("doc_len").alias("model"), F.col("quality").cast("int").alias("label"),
+        (F.col("n_chars").cast("double") / (F.col("n_chars") + F.lit(2000.0))).alias("score"))
+
+
+@register("doc_quality_metrics", f"""
+SELECT r.model, round(roc_auc, 6) AS roc_auc, round(pr_auc, 6) AS pr_auc, round(f1, 6) AS f1,
+       round(log_loss, 6) AS log_loss, round(brier, 6) AS brier
+FROM {O.rank_metrics_sql(_DOC, ['model'])} r JOIN {O.point_metrics_sql(_DOC, ['model'])} p
+  ON r.model = p.model""")
+def doc_quality_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.rounded(M.classification_metrics(_doc_scored(spark, sf_dir), ["model"]))
