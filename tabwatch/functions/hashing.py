@@ -38,11 +38,11 @@ def unit_hash(seed: int | str, *keys: str | Column, salt: str | None = None) ->
 
 
 def canonical_string(c: str | Column, dtype: str | None = None) -> Column:
-    """Engine-neutral text form of a value: floating values as DECIMAL(38,10) text so that
+    """Engine-neutral text form of a value: floating values as DECIMAL(38,6) text so that
     1e7 is not written as '1.0E7'; NULL as a marker because concat_ws drops NULLs."""
     col = _c(c)
     if dtype in ("double", "float"):
-        col = col.cast("decimal(38,10)")
+        col = col.cast("decimal(38,6)")
     return F.coalesce(col.cast("string"), F.lit(NULL_MARKER))
 
 

@@ -211,3 +211,245 @@ FROM {O.rank_metrics_sql(_DOC, ['model'])} r JOIN {O.point_metrics_sql(_DOC, ['m
   ON r.model = p.model""")
 def doc_quality_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.rounded(M.classification_metrics(_doc_scored(spark, sf_dir), ["model"]))
+
+
+# --------------------------------------------------------------------------- contracts (B)
+
+from tabwatch.operators import contracts as C  # noqa: E402
+from tabwatch.operators import prep as P  # noqa: E402
+from tabwatch.operators import split as D  # noqa: E402
+from tabwatch.sources import io as IO  # noqa: E402
+
+# Contracts declared for the driver's tables.
+PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+ORDERS_CONTRACT = C.Contract("orders", (
+    C.ColumnSpec("o_orderkey", "bigint", unique=True),
+    C.ColumnSpec("o_custkey", "bigint"),
+    C.ColumnSpec("o_orderstatus", "string", isin=("F", "O", "P")),
+    C.ColumnSpec("o_totalprice", "double", gt=0.0),
+    C.ColumnSpec("o_orderdate", "timestamp_ntz"),
+    C.ColumnSpec("o_orderpriority", "string", isin=PRIORITIES),
+), strict=True, key=("o_orderkey",))
+LINEITEM_CONTRACT = C.Contract("lineitem", (
+    C.ColumnSpec("l_orderkey", "bigint", unique=True),
+    C.ColumnSpec("l_linenumber", "int", ge=1, le=7),
+    C.ColumnSpec("l_quantity", "double", ge=1.0, le=50.0),
+    C.ColumnSpec("l_discount", "double", ge=0.0, le=0.1),
+    C.ColumnSpec("l_tax", "double", ge=0.0, le=0.08),
+    C.ColumnSpec("l_returnflag", "string", isin=("A", "N", "R")),
+    C.ColumnSpec("l_linestatus", "string", isin=("F", "O")),
+), strict=False, key=("l_orderkey", "l_linenumber"))
+PROFILE_CONTRACT = C.Contract("profile", (
+    C.ColumnSpec("customer_id", "bigint", unique=True),
+    C.ColumnSpec("segment", "string", isin=tuple(T.SEGMENTS)),
+    C.ColumnSpec("nation", "string"),
+    C.ColumnSpec("tenure", "int", nullable=True, ge=0, le=72),
+    C.ColumnSpec("n_orders", "bigint", ge=0),
+    C.ColumnSpec("total_spend", "double", nullable=True, ge=0.0),
+    C.ColumnSpec("monthly_spend", "double", nullable=True, gt=0.0),
+    C.ColumnSpec("acctbal", "double"),
+    C.ColumnSpec("churned", "string", isin=("Yes", "No")),
+), strict=True, key=("customer_id",))
+# scoring input: wider tenure range, bounded spend, extra fields ignored
+PROFILE_SCORING_CONTRACT = C.Contract("profile_scoring", (
+    C.ColumnSpec("tenure", "int", nullable=True, ge=0, le=100),
+    C.ColumnSpec("monthly_spend", "double", gt=0.0, le=100000.0),
+    C.ColumnSpec("total_spend", "double", nullable=True, ge=0.0),
+), strict=False, key=("customer_id",))
+
+_ORD_COLS = [c.name for c in ORDERS_CONTRACT.columns]
+_LI_COLS = [c.name for c in LINEITEM_CONTRACT.columns]
+_PROF_COLS = [c.name for c in PROFILE_CONTRACT.columns]
+
+
+@register("contract_summary_orders", O.contract_summary_sql("orders", ORDERS_CONTRACT, _ORD_COLS))
+def contract_summary_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.violation_summary(T.table(spark, sf_dir, "orders"), ORDERS_CONTRACT)
+
+
+@register("contract_summary_lineitem",
+          O.contract_summary_sql("lineitem", LINEITEM_CONTRACT, _LI_COLS))
+def contract_summary_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.violation_summary(T.table(spark, sf_dir, "lineitem"), LINEITEM_CONTRACT)
+
+
+@register("contract_violations_lineitem",
+          O.contract_detail_sql("lineitem", LINEITEM_CONTRACT, _LI_COLS))
+def contract_violations_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.violation_table(T.table(spark, sf_dir, "lineitem"), LINEITEM_CONTRACT)
+
+
+@register("contract_summary_profile",
+          O.contract_summary_sql(O.PROFILE, PROFILE_CONTRACT, _PROF_COLS))
+def contract_summary_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.violation_summary(T.customer_profile(spark, sf_dir), PROFILE_CONTRACT)
+
+
+@register("contract_violations_profile",
+          O.contract_detail_sql(O.PROFILE, PROFILE_CONTRACT, _PROF_COLS))
+def contract_violations_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.violation_table(T.customer_profile(spark, sf_dir), PROFILE_CONTRACT)
+
+
+@register("scoring_quarantine", f"""
+SELECT customer_id, _violations AS violations
+FROM {O.contract_flags_sql(O.PROFILE, PROFILE_SCORING_CONTRACT, _PROF_COLS)} f
+WHERE _violations <> ''""")
+def scoring_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, bad = C.split_valid(T.customer_profile(spark, sf_dir), PROFILE_SCORING_CONTRACT)
+    return bad.select("customer_id", F.concat_ws(",", C.VIOLATIONS).alias("violations"))
+
+
+@register("scoring_valid_count", f"""
+SELECT CAST(count(*) AS BIGINT) AS n_valid
+FROM {O.contract_flags_sql(O.PROFILE, PROFILE_SCORING_CONTRACT, _PROF_COLS)} f
+WHERE _violations = ''""")
+def scoring_valid_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _ = C.split_valid(T.customer_profile(spark, sf_dir), PROFILE_SCORING_CONTRACT)
+    return good.agg(F.count(F.lit(1)).alias("n_valid"))
+
+
+# --------------------------------------------------------------------------- prep (C)
+
+@register("customer_profile", f"""
+SELECT customer_id, segment, nation, tenure, n_orders, total_spend, monthly_spend, acctbal,
+       churned
+FROM {O.PROFILE} p""")
+def customer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # row-level arithmetic is bit-identical in both engines: no rounding needed
+    return T.customer_profile(spark, sf_dir)
+
+
+@register("preprocessed_profile", f"""
+SELECT customer_id, segment, nation, tenure, n_orders, total_spend, monthly_spend, acctbal,
+       churn
+FROM {O.PROCESSED} p""")
+def preprocessed_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.processed_profile(spark, sf_dir)
+
+
+@register("tenure_buckets", f"""
+SELECT customer_id, tenure, CAST(CASE WHEN tenure IS NULL THEN NULL WHEN tenure < 12 THEN 0
+  WHEN tenure < 24 THEN 1 WHEN tenure < 48 THEN 2 ELSE 3 END AS INTEGER) AS tenure_bucket
+FROM {O.PROFILE} p""")
+def tenure_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.with_bucket(T.customer_profile(spark, sf_dir), "tenure", (12, 24, 48),
+                         "tenure_bucket").select("customer_id", "tenure", "tenure_bucket")
+
+
+# Fixed values of the perturbation plan (mirrors the price-hike / segment-swing demo).
+INJECT_SEED = 0
+INJECT_FACTOR = 1.25
+INJECT_SEGMENT_P = [0.70, 0.10, 0.10, 0.05, 0.05]
+
+
+def _injected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.inject_drift(T.processed_profile(spark, sf_dir), "monthly_spend", INJECT_FACTOR,
+                          {"segment": (T.SEGMENTS, INJECT_SEGMENT_P)}, INJECT_SEED, "customer_id")
+
+
+def _injected_sql() -> str:
+    u = (f"(CAST({O.uniform_hash_sql(INJECT_SEED, 'segment_salt', 'customer_id')} AS DOUBLE)"
+         f" / 4294967296.0)").replace("CAST(segment_salt AS VARCHAR)", "'segment'")
+    cum, acc = [], 0.0
+    for p in INJECT_SEGMENT_P[:-1]:
+        acc += p / sum(INJECT_SEGMENT_P)
+        cum.append(acc)
+    case = "CASE " + " ".join(f"WHEN {u} < {O.dbl(c)} THEN '{v}'" for v, c in
+                              zip(T.SEGMENTS[:-1], cum)) + f" ELSE '{T.SEGMENTS[-1]}' END"
+    return (f"(SELECT * REPLACE (monthly_spend * {O.dbl(INJECT_FACTOR)} AS monthly_spend, "
+            f"{case} AS segment) FROM {O.PROCESSED})")
+
+
+@register("injected_profile", f"""
+SELECT customer_id, monthly_spend, segment FROM {_injected_sql()} i""")
+def injected_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _injected(spark, sf_dir).select("customer_id", "monthly_spend", "segment")
+
+
+@register("swapped_profile", f"""
+SELECT customer_id, CASE segment WHEN 'AUTOMOBILE' THEN 'MACHINERY'
+  WHEN 'MACHINERY' THEN 'AUTOMOBILE' ELSE segment END AS segment FROM {O.PROFILE} p""")
+def swapped_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.swap_category(T.customer_profile(spark, sf_dir), "segment", "AUTOMOBILE",
+                           "MACHINERY").select("customer_id", "segment")
+
+
+_PN, _PC = T.PROFILE_NUMERIC, T.PROFILE_CATEGORICAL
+
+
+@register("drift_injected", _with(O.numeric_ctes(O.PROCESSED, _injected_sql(), _PN),
+                                  O.categorical_ctes(O.PROCESSED, _injected_sql(), _PC),
+                                  O.feature_table_cte(_PN, _PC)) + """
+SELECT feature, type, round(psi, 6) AS psi, round(ks_statistic, 6) AS ks_statistic,
+       round(ks_pvalue, 6) AS ks_pvalue, psi_alert, ks_alert, n_bins_used, ordinal FROM feat""")
+def drift_injected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = T.processed_profile(spark, sf_dir)
+    return T.rounded(drift.detect_drift(base, _injected(spark, sf_dir), _PN, _PC))
+
+
+# --------------------------------------------------------------------------- splits (D)
+
+SPLIT_SEED = 42
+
+
+def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.stratified_split(T.processed_profile(spark, sf_dir), "customer_id", "churn",
+                              0.2, 0.2, SPLIT_SEED)
+
+
+_SPLIT_SQL = O.split_sql(O.PROCESSED, "customer_id", "churn", 0.2, 0.2, SPLIT_SEED)
+
+
+@register("split_exact", f"SELECT customer_id, split FROM {_SPLIT_SQL} s")
+def split_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _split(spark, sf_dir).select("customer_id", "split")
+
+
+@register("split_sizes", f"""
+SELECT s.split, CAST(count(*) AS BIGINT) AS n, round(avg(CAST(p.churn AS DOUBLE)), 6)
+       AS positive_rate
+FROM {_SPLIT_SQL} s JOIN {O.PROCESSED} p ON s.customer_id = p.customer_id GROUP BY s.split""")
+def split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.rounded(D.split_stats(_split(spark, sf_dir), "churn"))
+
+
+@register("kfold", f"""
+SELECT customer_id, CAST(rk % 5 AS INTEGER) AS fold
+FROM {O.ranked_sql(O.PROCESSED, 'customer_id', 'churn', SPLIT_SEED)} r""")
+def kfold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.stratified_folds(T.processed_profile(spark, sf_dir), "customer_id", "churn", 5,
+                              SPLIT_SEED).select("customer_id", "fold")
+
+
+# --------------------------------------------------------------------------- fingerprint (A2)
+
+def _fp_sql(tbl: str, cols: list[tuple[str, str]]) -> str:
+    parts = []
+    for c, t in cols:
+        v = f"CAST(CAST({c} AS DECIMAL(38,6)) AS VARCHAR)" if t == "double" else \
+            f"CAST({c} AS VARCHAR)"
+        parts.append(f"coalesce({v}, '␀')")
+    text = " || '|' || ".join(parts)
+    h = f"('0x' || substr(md5({text}), 1, 8))::BIGINT"
+    return (f"SELECT '{tbl}' AS table_name, count(*) AS n_rows, "
+            f"CAST(sum(CAST({h} AS DECIMAL(38,0))) AS DECIMAL(38,0)) AS fp_sum, "
+            f"bit_xor({h}) AS fp_xor FROM {tbl}")
+
+
+_FP_TABLES = {
+    "orders": [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
+               ("o_totalprice", "double"), ("o_orderdate", "timestamp"),
+               ("o_orderpriority", "string")],
+    "customer": [("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"),
+                 ("c_acctbal", "double"), ("c_mktsegment", "string")],
+}
+
+
+@register("dataset_fingerprint",
+          "\nUNION ALL\n".join(_fp_sql(t, cols) for t, cols in _FP_TABLES.items()))
+def dataset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = [IO.fingerprint(T.table(spark, sf_dir, t), [c for c, _ in cols])
+             .select(F.lit(t).alias("table_name"), "n_rows", "fp_sum", "fp_xor")
+             for t, cols in _FP_TABLES.items()]
+    return parts[0].unionByName(parts[1])

@@ -213,3 +213,136 @@ def calibration_sql(src: str, keys: list[str], n_bins: int = 10) -> str:
                     count(*) AS cnt
              FROM {src} WHERE score >= 0 AND score <= 1 GROUP BY ALL) a
   ON {j} AND sp.bin = a.bin)"""
+
+
+# --------------------------------------------------------------------------- contracts
+
+def _lit(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("'", "''") + "'"
+    if isinstance(v, float):
+        return dbl(v)
+    return str(v)
+
+
+def contract_rules_sql(contract, columns: list[str]) -> list[tuple[str, str, str]]:
+    """(rule, column, violated-SQL) in the same order as the Spark compiler."""
+    out = []
+    for c in contract.columns:
+        if c.name not in columns:
+            continue
+        x = c.name
+        if not c.nullable:
+            out.append((f"{x}:not_null", x, f"({x} IS NULL)"))
+        checks = []
+        if c.isin is not None:
+            checks.append(("isin", f"{x} NOT IN ({', '.join(_lit(v) for v in c.isin)})"))
+        if c.ge is not None:
+            checks.append(("ge", f"{x} < {_lit(c.ge)}"))
+        if c.gt is not None:
+            checks.append(("gt", f"{x} <= {_lit(c.gt)}"))
+        if c.le is not None:
+            checks.append(("le", f"{x} > {_lit(c.le)}"))
+        if c.lt is not None:
+            checks.append(("lt", f"{x} >= {_lit(c.lt)}"))
+        for kind, bad in checks:
+            out.append((f"{x}:{kind}", x, f"coalesce({bad}, false)"))
+    return out
+
+
+def contract_summary_sql(src: str, contract, columns: list[str]) -> str:
+    rules = contract_rules_sql(contract, columns)
+    parts = [f"SELECT '{r}' AS rule, '{c}' AS column, CAST(count(*) FILTER (WHERE {b}) AS BIGINT)"
+             f" AS n_violations FROM {src} t" for r, c, b in rules]
+    for c in contract.columns:
+        if c.unique and c.name in columns:
+            parts.append(
+                f"SELECT '{c.name}:unique' AS rule, '{c.name}' AS column, "
+                f"CAST(coalesce(sum(n), 0) AS BIGINT) AS n_violations FROM "
+                f"(SELECT {c.name}, count(*) AS n FROM {src} t WHERE {c.name} IS NOT NULL "
+                f"GROUP BY {c.name} HAVING count(*) > 1)")
+    return "\nUNION ALL\n".join(parts)
+
+
+def contract_flags_sql(src: str, contract, columns: list[str]) -> str:
+    """src columns + _violations (comma-joined rule names, '' when clean)."""
+    rules = contract_rules_sql(contract, columns)
+    dups = [c.name for c in contract.columns if c.unique and c.name in columns]
+    joins = "".join(
+        f" LEFT JOIN (SELECT {d} AS _k_{d}, true AS _dup_{d} FROM {src} q WHERE {d} IS NOT NULL "
+        f"GROUP BY {d} HAVING count(*) > 1) ON t.{d} = _k_{d}" for d in dups)
+    items = [f"CASE WHEN {b} THEN '{r}' END" for r, _, b in rules]
+    items += [f"CASE WHEN coalesce(_dup_{d}, false) THEN '{d}:unique' END" for d in dups]
+    return f"(SELECT t.*, concat_ws(',', {', '.join(items)}) AS _violations FROM {src} t{joins})"
+
+
+def contract_detail_sql(src: str, contract, columns: list[str]) -> str:
+    key = ", ".join(contract.key)
+    rules = contract_rules_sql(contract, columns)
+    parts = [f"SELECT {key}, '{r}' AS rule, '{c}' AS column FROM {src} t WHERE {b}"
+             for r, c, b in rules]
+    for c in contract.columns:
+        if c.unique and c.name in columns:
+            parts.append(
+                f"SELECT {key}, '{c.name}:unique' AS rule, '{c.name}' AS column FROM {src} t "
+                f"WHERE {c.name} IN (SELECT {c.name} FROM {src} q WHERE {c.name} IS NOT NULL "
+                f"GROUP BY {c.name} HAVING count(*) > 1)")
+    return "\nUNION ALL\n".join(parts)
+
+
+# --------------------------------------------------------------------------- profile
+
+PROFILE = f"""(
+  SELECT customer_id, segment, nation, tenure, n_orders, total_spend,
+         total_spend / CAST(tenure + 1 AS DOUBLE) AS monthly_spend, acctbal, churned
+  FROM (SELECT c.c_custkey AS customer_id, c.c_mktsegment AS segment, n.n_name AS nation,
+               CAST((year(o._last) * 12 + month(o._last))
+                    - (year(o._first) * 12 + month(o._first)) AS INTEGER) AS tenure,
+               CAST(coalesce(o.n_orders, 0) AS BIGINT) AS n_orders, o.total_spend,
+               c.c_acctbal AS acctbal,
+               CASE WHEN o._last IS NULL OR o._last < TIMESTAMP '{T.CHURN_CUTOFF}' THEN 'Yes'
+                    ELSE 'No' END AS churned
+        FROM customer c
+        LEFT JOIN (SELECT o_custkey, min(o_orderdate) AS _first, max(o_orderdate) AS _last,
+                          count(*) AS n_orders, round(sum(o_totalprice), 2) AS total_spend
+                   FROM orders GROUP BY o_custkey) o ON c.c_custkey = o.o_custkey
+        LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey))"""
+
+PROCESSED = f"""(
+  SELECT customer_id, segment, nation, coalesce(tenure, 0) AS tenure, n_orders,
+         coalesce(total_spend, 0.0) AS total_spend, coalesce(monthly_spend, 0.0) AS monthly_spend,
+         acctbal, CAST(churned = 'Yes' AS INTEGER) AS churn
+  FROM {PROFILE})"""
+
+
+def allocation_sql(src: str, n_col: str, size: float, out: str) -> str:
+    """Largest-remainder allocation over strata rows (stratum, n_col, ...)."""
+    return f"""(
+  SELECT * EXCLUDE (_want, _quota, _base, _rest, _rk),
+         CAST(_base + CASE WHEN _rk <= _rest THEN 1 ELSE 0 END AS BIGINT) AS {out}
+  FROM (SELECT *, row_number() OVER (ORDER BY _quota - _base DESC, stratum) AS _rk
+        FROM (SELECT *, _want - sum(_base) OVER () AS _rest
+              FROM (SELECT *, floor(_quota) AS _base
+                    FROM (SELECT *, CAST(_want * {n_col} AS DOUBLE)
+                                    / CAST(sum({n_col}) OVER () AS DOUBLE) AS _quota
+                          FROM (SELECT *, ceil({dbl(size)} * CAST(sum({n_col}) OVER () AS DOUBLE))
+                                          AS _want FROM {src}))))))"""
+
+
+def ranked_sql(src: str, key: str, stratum: str, seed: int) -> str:
+    return f"""(
+  SELECT {key}, {stratum} AS stratum,
+         row_number() OVER (PARTITION BY {stratum}
+                            ORDER BY {uniform_hash_sql(seed, key)}, {key}) - 1 AS rk
+  FROM {src})"""
+
+
+def split_sql(src: str, key: str, stratum: str, test_size: float, val_size: float,
+              seed: int) -> str:
+    strata = f"(SELECT {stratum} AS stratum, count(*) AS ns FROM {src} GROUP BY 1)"
+    a1 = allocation_sql(strata, "ns", test_size, "t")
+    a2 = allocation_sql(f"(SELECT *, ns - t AS left_n FROM {a1})", "left_n", val_size, "v")
+    return f"""(
+  SELECT r.{key}, CASE WHEN r.rk < a.t THEN 'test' WHEN r.rk < a.t + a.v THEN 'val'
+                      ELSE 'train' END AS split
+  FROM {ranked_sql(src, key, stratum, seed)} r JOIN {a2} a ON r.stratum = a.stratum)"""

@@ -62,3 +62,55 @@ def scored_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return base.unpivot(["key", "label", "split"], ["s_qty", "s_price"], "model", "score") \
         .select(F.substring("model", 3, 10).alias("model"), "split", "key", "label", "score")
+
+
+# Fixed values of the customer-profile plan: churn = no order in the 180 days before
+# 2001-08-01 (the last order date in the data), i.e. last order before 2001-02-02.
+CHURN_CUTOFF = "2001-02-02 00:00:00"
+PROFILE_NUMERIC = ["tenure", "monthly_spend", "total_spend", "n_orders"]
+PROFILE_CATEGORICAL = ["segment", "nation"]
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+def _months(c: str) -> Column:
+    return F.year(c) * 12 + F.month(c)
+
+
+def customer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per customer: customer ⋈ (orders aggregated by customer) ⋈ nation.
+
+    Orders are aggregated before the join (map-side combined), so a customer holding a
+    large share of all orders is one row by the time it meets the customer table."""
+    o = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
+        F.min("o_orderdate").alias("_first"), F.max("o_orderdate").alias("_last"),
+        F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("o_totalprice"), 2).alias("total_spend"))
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal",
+                                                "c_mktsegment")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    tenure = (_months("_last") - _months("_first")).cast("int")
+    return (
+        c.join(o, c.c_custkey == o.o_custkey, "left")
+        .join(n, c.c_nationkey == n.n_nationkey, "left")
+        .select(
+            F.col("c_custkey").alias("customer_id"),
+            F.col("c_mktsegment").alias("segment"),
+            F.col("n_name").alias("nation"),
+            tenure.alias("tenure"),
+            F.coalesce(F.col("n_orders"), F.lit(0)).cast("long").alias("n_orders"),
+            F.col("total_spend"),
+            (F.col("total_spend") / (tenure + 1).cast("double")).alias("monthly_spend"),
+            F.col("c_acctbal").alias("acctbal"),
+            F.when(F.col("_last").isNull() | (F.col("_last") < ts(CHURN_CUTOFF)), "Yes")
+            .otherwise("No").alias("churned"),
+        )
+    )
+
+
+def processed_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 on the profile: NULL tenure / spend -> 0, label churn = churned == 'Yes'."""
+    from tabwatch.operators.prep import fill_and_label
+
+    p = customer_profile(spark, sf_dir)
+    out = fill_and_label(p, {"total_spend": 0.0, "monthly_spend": 0.0}, label_src="churned",
+                         label="churn")
+    return out.withColumn("tenure", F.coalesce(F.col("tenure"), F.lit(0)))
