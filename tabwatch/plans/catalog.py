@@ -453,3 +453,142 @@ def dataset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
              .select(F.lit(t).alias("table_name"), "n_rows", "fp_sum", "fp_xor")
              for t, cols in _FP_TABLES.items()]
     return parts[0].unionByName(parts[1])
+
+
+# --------------------------------------------------------------------------- features (E)
+
+from tabwatch.operators import behavior as BH  # noqa: E402
+from tabwatch.operators import features as FE  # noqa: E402
+from tabwatch.operators import models as MD  # noqa: E402
+from tabwatch.operators import scoring as SC  # noqa: E402
+
+
+def _train_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _split(spark, sf_dir).where(F.col("split") == "train")
+
+
+def _pipeline():
+    return FE.build_feature_pipeline(_PN, "tenure", _PC)
+
+
+@register("scaler_stats", " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, round(avg({c}), 6) AS mean, round(stddev_pop({c}), 6) AS std "
+    f"FROM {O.TRAIN} t" for c in _PN))
+def scaler_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.rounded(FE.population_stats(_train_rows(spark, sf_dir), _PN))
+
+
+def _wide_sql() -> str:
+    stats = ", ".join(f"avg({c}) AS m_{c}, coalesce(nullif(stddev_pop({c}), 0), 1.0) AS s_{c}"
+                      for c in _PN)
+    num = ", ".join(f"round((CAST(p.{c} AS DOUBLE) - m_{c}) / s_{c}, 6) AS numerical__{c}"
+                    for c in _PN)
+    bucket = ("CASE WHEN p.tenure < 12 THEN 0 WHEN p.tenure < 24 THEN 1 "
+              "WHEN p.tenure < 48 THEN 2 ELSE 3 END")
+    bk = ", ".join(f"CASE WHEN {bucket} = {k} THEN 1.0 ELSE 0.0 END AS "
+                   f"tenure_bucket__tenure_bucket_{k}" for k in range(4))
+    seg = ", ".join(f"CASE WHEN p.segment = '{v}' THEN 1.0 ELSE 0.0 END AS "
+                    f"categorical__segment_{v}" for v in T.SEGMENTS)
+    return (f"SELECT p.customer_id, {num}, {bk}, {seg} FROM {O.PROCESSED} p, "
+            f"(SELECT {stats} FROM {O.TRAIN} t) st")
+
+
+@register("wide_features", _wide_sql())
+def wide_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encoding fitted on the train split, applied to every customer as plain columns."""
+    fm = FE.build_feature_pipeline(_PN, "tenure", ["segment"]).fit(_train_rows(spark, sf_dir))
+    return T.rounded(FE.wide_encode(T.processed_profile(spark, sf_dir), fm, ["customer_id"]))
+
+
+@register("class_weights", f"""
+SELECT churn, n, round(CAST(tot AS DOUBLE) / (2.0 * n), 6) AS weight_linear,
+       round(CASE WHEN churn = 1 AND pos > 0 THEN CAST(neg AS DOUBLE) / pos ELSE 1.0 END, 6)
+       AS weight_trees
+FROM (SELECT churn, count(*) AS n, sum(count(*)) OVER () AS tot,
+             coalesce(sum(CASE WHEN churn = 1 THEN count(*) END) OVER (), 0) AS pos,
+             coalesce(sum(CASE WHEN churn = 0 THEN count(*) END) OVER (), 0) AS neg
+      FROM {O.TRAIN} t GROUP BY churn)""")
+def class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.rounded(MD.class_weight_table(_train_rows(spark, sf_dir), "churn"))
+
+
+# --------------------------------------------------------------------------- models (F, I, J)
+
+# Model set of the registered training plans. The boosted trees use 100 trees (registry
+# default 300) to bound the check run; every other setting is the registry default.
+TRAINED_MODELS = ("logreg", "gbt", "mlp")
+TRAIN_PARAMS = {"gbt": {"n_estimators": 100}}
+_TRAINED: dict = {}
+
+
+def _trained(spark: SparkSession, sf_dir: str):
+    """Train once per (session, data folder); later model queries reuse the fitted models and
+    the cached metric table."""
+    k = (id(spark.sparkContext), sf_dir)
+    if k not in _TRAINED:
+        data = _split(spark, sf_dir)
+        _TRAINED[k] = (data, *MD.train_all(data, _pipeline(), "churn", TRAINED_MODELS,
+                                           key="customer_id", params=TRAIN_PARAMS))
+    return _TRAINED[k]
+
+
+@register("train_metrics")
+def train_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """val / test metrics of every registry model (rows check: Spark ML estimators)."""
+    _, _, _, metrics = _trained(spark, sf_dir)
+    return T.rounded(metrics)
+
+
+@register("trained_champion")
+def trained_champion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """best model by test ROC-AUC."""
+    _, _, _, metrics = _trained(spark, sf_dir)
+    return T.rounded(M.champion(metrics.where(F.col("split") == "test")))
+
+
+def _logreg_fit(spark: SparkSession, sf_dir: str):
+    data, fm, fitted, _ = _trained(spark, sf_dir)
+    return data, fm, fitted["logreg"]
+
+
+@register("batch_scores")
+def batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every profile row through the scoring contract, preprocessing, features, model."""
+    _, fm, model = _logreg_fit(spark, sf_dir)
+    prof = T.customer_profile(spark, sf_dir)
+    prep = lambda d: d.fillna({"total_spend": 0.0, "monthly_spend": 0.0, "tenure": 0})
+    scored, _ = SC.score_batch(prof, PROFILE_SCORING_CONTRACT, prep, fm, model, ["customer_id"])
+    return scored
+
+
+@register("quality_gate")
+def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I3 on the test split of each trained model."""
+    data, fm, model = _logreg_fit(spark, sf_dir)
+    test = fm.transform(data.where(F.col("split") == "test"))
+    scored = model.score(test, keep=["churn"]).withColumn("model", F.lit("logreg"))
+    return T.rounded(BH.quality_gate(scored, ["model"], label="churn"))
+
+
+@register("invariance_check")
+def invariance_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Swapping two segments must barely move the scores."""
+    data, fm, model = _logreg_fit(spark, sf_dir)
+    return T.rounded(BH.invariance(data.where(F.col("split") == "test"), fm, model, "segment",
+                                   "AUTOMOBILE", "MACHINERY"))
+
+
+@register("directional_check")
+def directional_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long-tenure cohort, spend x 1.5."""
+    data, fm, model = _logreg_fit(spark, sf_dir)
+    return T.rounded(BH.directional(data, fm, model, F.col("tenure") >= 48, "total_spend", 1.5))
+
+
+@register("tuning_trials")
+def tuning_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F8: seeded random search for logistic regression, 3 stratified folds."""
+    data = D.stratified_folds(T.processed_profile(spark, sf_dir), "customer_id", "churn", 3,
+                              SPLIT_SEED)
+    table, _ = MD.tune("logreg", data, _pipeline(), "churn", "fold", n_trials=4)
+    return T.rounded(table)

@@ -346,3 +346,8 @@ def split_sql(src: str, key: str, stratum: str, test_size: float, val_size: floa
   SELECT r.{key}, CASE WHEN r.rk < a.t THEN 'test' WHEN r.rk < a.t + a.v THEN 'val'
                       ELSE 'train' END AS split
   FROM {ranked_sql(src, key, stratum, seed)} r JOIN {a2} a ON r.stratum = a.stratum)"""
+
+# train split of the processed profile, as used by the feature and model plans
+TRAIN = (f"(SELECT p.* FROM {PROCESSED} p JOIN "
+         f"{split_sql(PROCESSED, 'customer_id', 'churn', 0.2, 0.2, 42)} s "
+         f"ON p.customer_id = s.customer_id WHERE s.split = 'train')")
