@@ -35,7 +35,7 @@ def hint_small(df: DataFrame, max_rows: int | None) -> DataFrame:
     return df
 
 
-def count_below(df: DataFrame, sorted_arr: str, value: str, max_len: int, out: str,
+def count_below(df: DataFrame, sorted_arr, value, max_len: int, out: str,
                 inclusive: bool = False) -> DataFrame:
     """``out`` = number of elements of the ascending array ``sorted_arr`` that are < value
     (<= with ``inclusive``), by binary search: ceil(log2(max_len + 1)) ``element_at`` probes
@@ -47,8 +47,8 @@ def count_below(df: DataFrame, sorted_arr: str, value: str, max_len: int, out: s
     while s <= max_len:
         steps.append(s)
         s *= 2
-    v = F.col(value)
-    arr = F.col(sorted_arr)
+    v = F.col(value) if isinstance(value, str) else value
+    arr = F.col(sorted_arr) if isinstance(sorted_arr, str) else sorted_arr
     n = F.size(arr)
 
     def step(acc, st):
@@ -57,8 +57,25 @@ def count_below(df: DataFrame, sorted_arr: str, value: str, max_len: int, out: s
         hit = (e <= v) if inclusive else (e < v)
         return F.when((probe <= n) & hit, probe).otherwise(acc)
 
-    expr = F.aggregate(F.array(*[F.lit(x) for x in reversed(steps)]), F.lit(0), step)
-    return df.withColumn(out, expr)
+    return df.withColumn(out, count_below_expr(arr, v, max_len, inclusive))
+
+
+def count_below_expr(arr, v, max_len: int, inclusive: bool = False):
+    """Column form of ``count_below``."""
+    steps = []
+    s = 1
+    while s <= max_len:
+        steps.append(s)
+        s *= 2
+    n = F.size(arr)
+
+    def step(acc, st):
+        probe = acc + st
+        e = F.element_at(arr, probe)
+        hit = (e <= v) if inclusive else (e < v)
+        return F.when((probe <= n) & hit, probe).otherwise(acc)
+
+    return F.aggregate(F.array(*[F.lit(x) for x in reversed(steps)]), F.lit(0), step)
 
 
 @dataclass

@@ -592,3 +592,56 @@ def tuning_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
                               SPLIT_SEED)
     table, _ = MD.tune("logreg", data, _pipeline(), "churn", "fold", n_trials=4)
     return T.rounded(table)
+
+
+# --------------------------------------------------------------------------- streaming twin
+
+from tabwatch.streaming import baseline as SB  # noqa: E402
+
+# Fixed values of the events drift plan: the first seven days are the baseline.
+EVENTS_BASELINE_END = "2024-01-08 00:00:00"
+
+
+def _events_sql() -> str:
+    qs = ", ".join(O.dbl(q) for q in drift.quantile_probs(10))
+    base = f"(SELECT * FROM events WHERE ts < TIMESTAMP '{EVENTS_BASELINE_END}')"
+    cur = f"(SELECT * FROM events WHERE ts >= TIMESTAMP '{EVENTS_BASELINE_END}')"
+    binv = "CAST(len(list_filter(e.inner_edges, lambda x: x <= v.value + 0.0)) AS VARCHAR)"
+    return f"""
+WITH e AS (SELECT CASE WHEN len(ed) >= 2 THEN ed[2:len(ed) - 1] ELSE [] END AS inner_edges
+           FROM (SELECT list_sort(list_distinct(quantile_cont(value + 0.0, [{qs}]))) AS ed
+                 FROM {base} WHERE value IS NOT NULL)),
+bb AS (SELECT 'value' AS feature, {binv} AS bin, count(*) AS n FROM {base} v, e
+       WHERE v.value IS NOT NULL GROUP BY 1, 2
+       UNION ALL
+       SELECT 'event_type', coalesce(event_type, 'NULL'), count(*) FROM {base} GROUP BY 1, 2),
+bp AS (SELECT feature, bin, CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY feature) AS pb FROM bb),
+cb AS (SELECT date_trunc('day', ts) AS window_start, 'value' AS feature, {binv} AS bin,
+              count(*) AS n FROM {cur} v, e WHERE v.value IS NOT NULL GROUP BY 1, 2, 3
+       UNION ALL
+       SELECT date_trunc('day', ts), 'event_type', coalesce(event_type, 'NULL'), count(*)
+       FROM {cur} GROUP BY 1, 2, 3),
+cp AS (SELECT window_start, feature, bin, CAST(n AS DOUBLE) / sum(n) OVER
+              (PARTITION BY window_start, feature) AS pc,
+              sum(n) OVER (PARTITION BY window_start, feature) AS n_tot FROM cb),
+grid AS (SELECT DISTINCT window_start, feature, n_tot FROM cp),
+allb AS (SELECT g.window_start, g.feature, g.n_tot, b.bin FROM grid g JOIN bp b
+         ON g.feature = b.feature
+         UNION SELECT window_start, feature, n_tot, bin FROM cp)
+SELECT a.window_start, a.feature,
+       round(sum((coalesce(c.pc, 1e-6) - coalesce(b.pb, 1e-6))
+                 * ln(coalesce(c.pc, 1e-6) / coalesce(b.pb, 1e-6))), 6) AS psi,
+       CAST(a.n_tot AS BIGINT) AS n
+FROM allb a LEFT JOIN cp c ON a.window_start = c.window_start AND a.feature = c.feature
+     AND a.bin = c.bin
+LEFT JOIN bp b ON a.feature = b.feature AND a.bin = b.bin
+GROUP BY a.window_start, a.feature, a.n_tot"""
+
+
+@register("drift_events_daily", _events_sql())
+def drift_events_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 batch twin: daily PSI of events (value, event_type) against the first week."""
+    ev = T.table(spark, sf_dir, "events")
+    cut = T.ts(EVENTS_BASELINE_END)
+    base = SB.fit_baseline(ev.where(F.col("ts") < cut), ["value"], ["event_type"])
+    return T.rounded(SB.windowed_psi_batch(ev.where(F.col("ts") >= cut), base, "ts"))
