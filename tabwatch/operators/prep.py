@@ -21,8 +21,9 @@ def fill_and_label(df: DataFrame, fill: dict[str, float], label_src: str | None
     for c, v in fill.items():
         out = out.withColumn(c, F.coalesce(F.col(c).cast("double"), F.lit(float(v))))
     if label_src is not None:
-        out = out.withColumn(label, (F.col(label_src) == F.lit(positive)).cast("int")) \
-            .drop(label_src)
+        # names are case-insensitive ("Churn" vs "churn"): build under a temporary name
+        out = out.withColumn("__label", (F.col(label_src) == F.lit(positive)).cast("int")) \
+            .drop(label_src).withColumnRenamed("__label", label)
     return out.drop(*drop)
 
 

@@ -67,11 +67,16 @@ def drift_stream(stream: DataFrame, baseline: Baseline, ts_col: str, out_path: s
     closes (append); PSI per closed window against the frozen baseline in ``foreachBatch``."""
     spark = stream.sparkSession
     cols = [*baseline.numeric, *baseline.categorical]
+    # Watermarks need TIMESTAMP event time; a TIMESTAMP_NTZ column is cast (wall clock read
+    # in the session time zone, UTC by default here) and window starts are cast back.
+    ntz = dict(stream.dtypes).get(ts_col) == "timestamp_ntz"
+    ev = stream.select(F.col(ts_col).cast("timestamp").alias(ts_col), *cols)
     counts = (
-        binned(stream.select(ts_col, *cols).withWatermark(ts_col, watermark), baseline, [ts_col])
+        binned(ev.withWatermark(ts_col, watermark), baseline, [ts_col])
         .groupBy(F.window(ts_col, window).alias("w"), "feature", "bin")
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.col("w.start").alias("window_start"), "feature", "bin", "n")
+        .select((F.col("w.start").cast("timestamp_ntz") if ntz else F.col("w.start"))
+                .alias("window_start"), "feature", "bin", "n")
     )
 
     def sink(batch: DataFrame, batch_id: int) -> None:
