@@ -45,6 +45,11 @@ def score_counts(scored: DataFrame, keys: Sequence[str], label: str = "label",
 
 def rank_metrics(scored: DataFrame, keys: Sequence[str], label: str = "label",
                  score: str = "score", key_bound: int | None = None) -> DataFrame:
+    return _rank_from_counts(score_counts(scored, keys, label, score), keys, key_bound)
+
+
+def _rank_from_counts(counts: DataFrame, keys: Sequence[str],
+                      key_bound: int | None = None) -> DataFrame:
     """keys, roc_auc, pr_auc, n_pos, n_neg.
 
     roc_auc: ties count one half; NULL unless both classes are present.
@@ -52,7 +57,6 @@ def rank_metrics(scored: DataFrame, keys: Sequence[str], label: str = "label",
     (R_k - R_{k-1}) * P_k (step-wise, not trapezoidal); NULL without positives.
     """
     keys = list(keys)
-    counts = score_counts(scored, keys, label, score)
     rt = running_totals(counts, keys, "score", ["n_pos", "n_neg"], key_bound=key_bound)
     tot = rt.key_totals().select(*keys, F.col("total_n_pos").alias("P"),
                                  F.col("total_n_neg").alias("N"))
@@ -97,13 +101,36 @@ def point_metrics(scored: DataFrame, keys: Sequence[str], threshold: float = DEF
         "log_loss", "brier", "tp", "fp", "fn", "tn")
 
 
+def _point_from_counts(counts: DataFrame, keys: Sequence[str], threshold: float) -> DataFrame:
+    """Point metrics from distinct-score counts (the scored table is scanned once)."""
+    s = F.col("score")
+    pred = s >= F.lit(float(threshold))
+    lo, hi = F.lit(LOG_LOSS_EPS), F.lit(1.0 - LOG_LOSS_EPS)
+    agg = counts.groupBy(*keys).agg(
+        F.sum(F.when(pred, F.col("n_pos")).otherwise(0)).alias("tp"),
+        F.sum(F.when(pred, F.col("n_neg")).otherwise(0)).alias("fp"),
+        F.sum("n_pos").alias("_P"), F.sum("n_neg").alias("_N"),
+        F.sum(F.col("n_pos") * F.ln(F.least(F.greatest(s, lo), hi))
+              + F.col("n_neg") * F.ln(F.least(F.greatest(F.lit(1.0) - s, lo), hi))).alias("_ll"),
+        F.sum(F.col("n_pos") * F.pow(s - 1.0, 2) + F.col("n_neg") * F.pow(s, 2)).alias("_sq"),
+    )
+    n = (F.col("_P") + F.col("_N")).cast("double")
+    fn = F.col("_P") - F.col("tp")
+    return agg.select(
+        *keys, safe_div(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + fn).alias("f1"),
+        (-F.col("_ll") / n).alias("log_loss"), (F.col("_sq") / n).alias("brier"),
+        "tp", "fp", fn.alias("fn"), (F.col("_N") - F.col("fp")).alias("tn"))
+
+
 def classification_metrics(scored: DataFrame, keys: Sequence[str] = ("model", "split"),
                            threshold: float = DEFAULT_THRESHOLD, label: str = "label",
                            score: str = "score", key_bound: int | None = None) -> DataFrame:
-    """The five-metric set per group: keys, roc_auc, pr_auc, f1, log_loss, brier."""
+    """The five-metric set per group: keys, roc_auc, pr_auc, f1, log_loss, brier. One scan:
+    rank and point metrics both come from the distinct-score counts."""
     keys = list(keys)
-    r = rank_metrics(scored, keys, label, score, key_bound)
-    p = point_metrics(scored, keys, threshold, label, score)
+    counts = score_counts(scored, keys, label, score)
+    r = _rank_from_counts(counts, keys, key_bound)
+    p = _point_from_counts(counts, keys, threshold)
     return r.join(p, on=keys).select(*keys, "roc_auc", "pr_auc", "f1", "log_loss", "brier")
 
 

@@ -37,31 +37,29 @@ def hint_small(df: DataFrame, max_rows: int | None) -> DataFrame:
 
 def count_below(df: DataFrame, sorted_arr, value, max_len: int, out: str,
                 inclusive: bool = False) -> DataFrame:
-    """``out`` = number of elements of the ascending array ``sorted_arr`` that are < value
-    (<= with ``inclusive``), by binary search: ceil(log2(max_len + 1)) ``element_at`` probes
-    folded with ``aggregate`` -- O(log B) per row instead of the O(B) of a ``filter`` scan,
-    and one expression node, so the optimizer cannot blow the tree up when it merges
-    projections."""
-    steps = []
-    s = 1
-    while s <= max_len:
-        steps.append(s)
-        s *= 2
+    """``out`` = number of elements of the ascending array ``sorted_arr`` (at most
+    ``max_len`` long) that are < value (<= with ``inclusive``)."""
     v = F.col(value) if isinstance(value, str) else value
     arr = F.col(sorted_arr) if isinstance(sorted_arr, str) else sorted_arr
-    n = F.size(arr)
+    return df.withColumn(out, count_below_expr(arr, v, max_len, inclusive))
 
-    def step(acc, st):
-        probe = acc + st
-        e = F.element_at(arr, probe)
-        hit = (e <= v) if inclusive else (e < v)
-        return F.when((probe <= n) & hit, probe).otherwise(acc)
 
-    return df.withColumn(out, count_below_expr(arr, v, max_len, inclusive))
+#: Above this array length the search is folded with ``aggregate`` (log2 steps, one
+#: expression node) instead of a CASE tree whose generated code grows with the length.
+TREE_MAX_LEN = 31
 
 
 def count_below_expr(arr, v, max_len: int, inclusive: bool = False):
-    """Column form of ``count_below``."""
+    """Number of elements of the ascending array ``arr`` that are < v (<= with inclusive)."""
+    if max_len <= TREE_MAX_LEN:
+        return _count_below_tree(arr, v, max_len, inclusive)
+    return _count_below_fold(arr, v, max_len, inclusive)
+
+
+def _count_below_fold(arr, v, max_len: int, inclusive: bool = False):
+    """Binary search folded with ``aggregate``: ceil(log2(max_len + 1)) ``element_at`` probes,
+    O(log B) per row instead of the O(B) of a ``filter`` scan, and a single expression node,
+    so the optimizer cannot blow the tree up when it merges projections."""
     steps = []
     s = 1
     while s <= max_len:
@@ -78,6 +76,27 @@ def count_below_expr(arr, v, max_len: int, inclusive: bool = False):
     return F.aggregate(F.array(*[F.lit(x) for x in reversed(steps)]), F.lit(0), step)
 
 
+def _count_below_tree(arr, v, max_len: int, inclusive: bool = False):
+    """Binary search as a balanced ``CASE WHEN`` tree over ``element_at`` probes: O(max_len)
+    expression nodes, O(log max_len) comparisons per row, all inside whole-stage codegen (a
+    ``filter``/``aggregate`` lambda would be interpreted row by row). Each probe is guarded by
+    the array size, so shorter arrays (e.g. after de-duplication) are fine."""
+    n = F.size(arr)
+
+    def below(i):  # element i (0-based) is below v
+        e = F.element_at(arr, i + 1)
+        return (n > i) & ((e <= v) if inclusive else (e < v))
+
+    def tree(lo: int, hi: int):
+        # invariant: elements [0, lo) are below v, elements [hi, max_len) are not
+        if lo >= hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(below(mid), tree(mid + 1, hi)).otherwise(tree(lo, mid))
+
+    return tree(0, max_len)
+
+
 @dataclass
 class RunningTotals:
     """``rows``: input columns + ``_bucket`` + ``cum_<c>`` (inclusive running sums, ties
@@ -145,64 +164,51 @@ def running_totals(df: DataFrame, keys: list[str], order_col: str, value_cols: l
                          n_buckets)
 
 
+def quantile_targets(n_per_key: DataFrame, keys: list[str], n_col: str,
+                     probs: list[float]) -> DataFrame:
+    """keys + ``_lo_<i>``, ``_hi_<i>`` (0-based ranks floor/ceil of (n - 1) p_i) and
+    ``_fr_<i>`` (the fraction), one row per key with n > 0."""
+    cols = []
+    for i, p in enumerate(probs):
+        pos = (F.col(n_col) - 1).cast("double") * F.lit(float(p))
+        cols += [F.floor(pos).cast("long").alias(f"_lo_{i}"),
+                 F.ceil(pos).cast("long").alias(f"_hi_{i}"),
+                 (pos - F.floor(pos).cast("double")).alias(f"_fr_{i}")]
+    return n_per_key.where(F.col(n_col) > 0).select(*keys, *cols)
+
+
+def quantile_aggs(order_col: str, count_col: str, cum_col: str, n_probs: int) -> list:
+    """Aggregates picking, per key, the value holding each target rank: the row whose
+    [cum - count, cum) interval contains the rank. Rows with count 0 hold no rank."""
+    v, c, cum = F.col(order_col), F.col(count_col), F.col(cum_col)
+    out = []
+    for i in range(n_probs):
+        for side in ("lo", "hi"):
+            r = F.col(f"_{side}_{i}")
+            out.append(F.max(F.when((r >= cum - c) & (r < cum), v)).alias(f"_v{side}_{i}"))
+    return out
+
+
+def quantile_values(n_probs: int) -> list:
+    """lo + (hi - lo) * frac per target, as ``q_<i>`` columns."""
+    return [(F.col(f"_vlo_{i}") + (F.col(f"_vhi_{i}") - F.col(f"_vlo_{i}")) * F.col(f"_fr_{i}"))
+            .alias(f"q_{i}") for i in range(n_probs)]
+
+
 def exact_quantiles(rt: RunningTotals, count_col: str, probs: list[float]) -> DataFrame:
     """Exact quantiles with linear interpolation between order statistics.
 
     With n = total count of the key and pos = (n - 1) * p, the result is
     lo + (hi - lo) * (pos - floor(pos)) where lo / hi are the values at 0-based ranks
     floor(pos) / ceil(pos) -- the rule used by NumPy's default and DuckDB's quantile_cont.
-    Rows whose ``count_col`` is 0 take no rank. Returns keys, ``q_idx`` (0-based position
-    in ``probs``), ``q_value``.
+    One map-side combined aggregate over the running sums (the per-key target ranks are a
+    one-row-per-key side table). Returns keys, ``q_idx``, ``q_value``.
     """
     keys = rt.keys
     n = rt.buckets.groupBy(*keys).agg(F.sum(f"_tot_{count_col}").alias("_n"))
-    prob_arr = F.array(*[F.struct(F.lit(i).alias("q_idx"), F.lit(float(p)).alias("p"))
-                         for i, p in enumerate(probs)])
-    targets = (
-        n.where(F.col("_n") > 0)
-        .select(*keys, F.explode(prob_arr).alias("_q"), "_n")
-        .select(*keys, F.col("_q.q_idx").alias("q_idx"),
-                ((F.col("_n") - 1).cast("double") * F.col("_q.p")).alias("_pos"))
-        .select(*keys, "q_idx",
-                (F.col("_pos") - F.floor("_pos").cast("double")).alias("_frac"),
-                F.explode(F.array(
-                    F.struct(F.lit(0).alias("hi"), F.floor("_pos").cast("long").alias("rank")),
-                    F.struct(F.lit(1).alias("hi"), F.ceil("_pos").cast("long").alias("rank")),
-                )).alias("_r"))
-        .select(*keys, "q_idx", "_frac", F.col("_r.hi").alias("_hi"),
-                F.col("_r.rank").alias("_rank"))
-    )
-    # Which bucket holds each rank: offsets are exclusive prefix sums per bucket.
-    b = rt.buckets.select(*keys, "_bucket", F.col(f"_off_{count_col}").alias("_off"),
-                          F.col(f"_tot_{count_col}").alias("_tot"))
-    t = targets.alias("t")
-    located = t.join(
-        b.alias("b"),
-        on=[*(F.col(f"t.{k}") == F.col(f"b.{k}") for k in keys),
-            F.col("t._rank") >= F.col("b._off"),
-            F.col("t._rank") < F.col("b._off") + F.col("b._tot")],
-        how="inner",
-    ).select(*(F.col(f"t.{k}").alias(k) for k in keys), "t.q_idx", "t._frac", "t._hi",
-             "t._rank", "b._bucket")
-    small = None if rt.key_bound is None else rt.key_bound * len(probs) * 2
-    r = rt.rows.select(*keys, "_bucket", F.col(rt.order_col).alias("_v"),
-                       F.col(count_col).alias("_c"), F.col(f"cum_{count_col}").alias("_cum"))
-    picked = (
-        r.alias("r").join(
-            hint_small(located, small).alias("l"),
-            on=[*(F.col(f"r.{k}") == F.col(f"l.{k}") for k in keys),
-                F.col("r._bucket") == F.col("l._bucket"),
-                F.col("l._rank") >= F.col("r._cum") - F.col("r._c"),
-                F.col("l._rank") < F.col("r._cum")],
-            how="inner",
-        ).select(*(F.col(f"l.{k}").alias(k) for k in keys), "l.q_idx", "l._frac", "l._hi",
-                 "r._v")
-    )
-    return (
-        picked.groupBy(*keys, "q_idx", "_frac")
-        .agg(F.max(F.when(F.col("_hi") == 0, F.col("_v"))).alias("_lo_v"),
-             F.max(F.when(F.col("_hi") == 1, F.col("_v"))).alias("_hi_v"))
-        .select(*keys, "q_idx",
-                (F.col("_lo_v") + (F.col("_hi_v") - F.col("_lo_v")) * F.col("_frac"))
-                .alias("q_value"))
-    )
+    targets = quantile_targets(n, keys, "_n", probs)
+    agg = (rt.rows.join(hint_small(targets, rt.key_bound), on=keys)
+           .groupBy(*keys, *[f"_fr_{i}" for i in range(len(probs))])
+           .agg(*quantile_aggs(rt.order_col, count_col, f"cum_{count_col}", len(probs))))
+    q = agg.select(*keys, F.array(*quantile_values(len(probs))).alias("_q"))
+    return q.select(*keys, F.posexplode("_q").alias("q_idx", "q_value"))
