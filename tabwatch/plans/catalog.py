@@ -645,3 +645,35 @@ def drift_events_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = T.ts(EVENTS_BASELINE_END)
     base = SB.fit_baseline(ev.where(F.col("ts") < cut), ["value"], ["event_type"])
     return T.rounded(SB.windowed_psi_batch(ev.where(F.col("ts") >= cut), base, "ts"))
+
+
+# --------------------------------------------------------------------------- scored batch drift (H8, A4)
+
+def _scored_drift_parts(spark: SparkSession, sf_dir: str):
+    """Baseline = the whole processed profile, current = its perturbed copy, both scored by
+    the same trained model (the perturbed-copy drift demo, with prediction drift)."""
+    _, fm, fitted, _ = _trained(spark, sf_dir)
+    model = fitted["logreg"]
+    base = T.processed_profile(spark, sf_dir)
+    cur = _injected(spark, sf_dir)
+    keep = ["customer_id", *_PN, *_PC]
+    sb = model.score(fm.transform(base), keep=keep)
+    sc = model.score(fm.transform(cur), keep=keep)
+    table = drift.detect_drift(base, cur, _PN, _PC)
+    pred = drift.prediction_drift(sb, sc)
+    return table, pred
+
+
+@register("scored_batch_drift")
+def scored_batch_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H8: feature drift summary plus prediction drift of a scored batch."""
+    table, pred = _scored_drift_parts(spark, sf_dir)
+    s = drift.drift_summary(table, pred).withColumn("_k", F.lit(1))
+    return T.rounded(s.join(pred.withColumn("_k", F.lit(1)), "_k").drop("_k"))
+
+
+@register("drift_report")
+def drift_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: the one-row JSON-ready report (feature table, prediction drift, summary)."""
+    table, pred = _scored_drift_parts(spark, sf_dir)
+    return IO.report_frame(table, drift.drift_summary(table, pred), pred)
