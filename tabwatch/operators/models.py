@@ -211,7 +211,8 @@ def tune(name: str, data: DataFrame, feature_pipeline: Pipeline, label: str, fol
     if kind:
         d = with_class_weights(d, "label", kind)
     sum_w = float(d.agg(F.sum(WEIGHT) if kind else F.count(F.lit(1))).first()[0])
-    n_feat = _n_features(feature_pipeline.fit(d).transform(d.limit(1)))
+    from tabwatch.operators.features import feature_names
+    n_feat = len(feature_names(feature_pipeline.fit(d)))
     base_p = _expand(name, {}, spec, sum_w)
     if kind:
         base_p["weight_col"] = WEIGHT

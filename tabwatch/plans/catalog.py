@@ -526,7 +526,7 @@ def _trained(spark: SparkSession, sf_dir: str):
     the cached metric table."""
     k = (id(spark.sparkContext), sf_dir)
     if k not in _TRAINED:
-        data = _split(spark, sf_dir)
+        data = _split(spark, sf_dir).persist()
         _TRAINED[k] = (data, *MD.train_all(data, _pipeline(), "churn", TRAINED_MODELS,
                                            key="customer_id", params=TRAIN_PARAMS))
     return _TRAINED[k]
