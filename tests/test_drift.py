@@ -144,3 +144,16 @@ def test_running_totals_match_cumsum(spark, buckets):
     got = rt.rows.toPandas().sort_values(["k", "v"])
     want = pdf.sort_values(["k", "v"]).groupby("k")["w"].cumsum()
     assert list(got["cum_w"]) == list(want)
+
+
+def test_null_policy(spark):
+    b = spark.createDataFrame([(float(i), "a") for i in range(50)] + [(None, None)] * 10,
+                              "x double, g string")
+    c = spark.createDataFrame([(float(i), "a") for i in range(50)] + [(None, "a")] * 5,
+                              "x double, g string")
+    r = D.psi_numeric(b, c, ["x"]).first()
+    assert r.n_b == 50 and r.n_c == 50 and r.psi == pytest.approx(0.0, abs=1e-12)
+    k = D.ks_two_sample(b, c, ["x"]).first()
+    assert k.ks_statistic == 0.0
+    cat = D.psi_categorical(b, c, ["g"]).first()   # NULL is a category of its own
+    assert cat.n_b == 60 and cat.psi > 0.1

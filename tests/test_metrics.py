@@ -116,3 +116,11 @@ def test_compare_and_champion(spark):
     assert cmp.count() == 2
     best = M.champion(cmp).first()
     assert best.model == "a" and best.roc_auc == 1.0
+
+
+def test_null_scores_dropped(spark):
+    df = spark.createDataFrame([("m", 1, 0.9), ("m", 0, 0.1), ("m", 1, None), ("m", 0, 0.4)],
+                               "model string, label int, score double")
+    r = M.classification_metrics(df, ["model"]).first()
+    assert r.roc_auc == 1.0
+    assert r.brier == pytest.approx((0.01 + 0.01 + 0.16) / 3)
