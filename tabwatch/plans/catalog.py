@@ -692,3 +692,10 @@ def drift_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A4: the one-row JSON-ready report (feature table, prediction drift, summary)."""
     table, pred = _scored_drift_parts(spark, sf_dir)
     return IO.report_frame(table, drift.drift_summary(table, pred), pred)
+
+
+@register("drift_psi_numeric_approx")
+def drift_psi_numeric_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H1 with approx=True: sketch edges (rows check; the exact variant has the oracle)."""
+    b, c = T.lineitem_sides(spark, sf_dir)
+    return T.rounded(drift.psi_numeric(b, c, NUM, approx=True))

@@ -157,3 +157,14 @@ def test_null_policy(spark):
     assert k.ks_statistic == 0.0
     cat = D.psi_categorical(b, c, ["g"]).first()   # NULL is a category of its own
     assert cat.n_b == 60 and cat.psi > 0.1
+
+
+def test_approx_edges_close_to_exact(spark):
+    r = np.random.default_rng(8)
+    b, c = r.normal(size=3000), r.normal(size=3000) + 0.3
+    bd, cd = frame(spark, x=b), frame(spark, x=c)
+    exact = D.psi_numeric(bd, cd, ["x"]).first().psi
+    approx = D.psi_numeric(bd, cd, ["x"], approx=True).first().psi
+    assert approx == pytest.approx(exact, rel=0.05)
+    # with accuracy >= n the sketch is exact up to interpolation between neighbours
+    assert D.psi_numeric(bd, cd, ["x"], approx=True, accuracy=100000).first().n_bins_used == 10
