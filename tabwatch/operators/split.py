@@ -52,9 +52,11 @@ def _ordered(df: DataFrame, key: str, strata_col: str, seed: int, prefix_bits: i
 
 def stratified_split(df: DataFrame, key: str, strata_col: str, test_size: float = 0.2,
                      val_size: float = 0.2, seed: int = 42, prefix_bits: int = 16,
-                     strata_bound: int | None = 64, out: str = "split") -> DataFrame:
+                     strata_bound: int | None = None, out: str = "split") -> DataFrame:
     """Adds ``out`` in {'train', 'val', 'test'}: exact stratified sizes (64/16/20 for the
-    defaults), identical for any partitioning. ``key`` must be unique and non-NULL."""
+    defaults), identical for any partitioning. ``key`` must be unique and non-NULL.
+    ``strata_bound``: a known upper bound on the number of strata (e.g. 2 for a 0/1 label)
+    enables broadcast of the per-prefix offsets; without it AQE decides from measured sizes."""
     _check_size("test_size", test_size)
     _check_size("val_size", val_size)
     if strata_col not in df.columns:
@@ -88,7 +90,7 @@ def stratified_split(df: DataFrame, key: str, strata_col: str, test_size: float
 
 
 def stratified_folds(df: DataFrame, key: str, strata_col: str, k: int = 5, seed: int = 42,
-                     prefix_bits: int = 16, strata_bound: int | None = 64,
+                     prefix_bits: int = 16, strata_bound: int | None = None,
                      out: str = "fold") -> DataFrame:
     """Adds ``out`` = (rank of the row in its stratum by (h, key)) mod k: every fold gets
     floor or ceil of n_s / k rows of each stratum. Every row is ranked, but by a window over

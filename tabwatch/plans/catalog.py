@@ -394,8 +394,9 @@ SPLIT_SEED = 42
 
 
 def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the label is 0/1: two strata, a proven bound for broadcasting the offsets
     return D.stratified_split(T.processed_profile(spark, sf_dir), "customer_id", "churn",
-                              0.2, 0.2, SPLIT_SEED)
+                              0.2, 0.2, SPLIT_SEED, strata_bound=2)
 
 
 _SPLIT_SQL = O.split_sql(O.PROCESSED, "customer_id", "churn", 0.2, 0.2, SPLIT_SEED)
@@ -419,7 +420,7 @@ SELECT customer_id, CAST(rk % 5 AS INTEGER) AS fold
 FROM {O.ranked_sql(O.PROCESSED, 'customer_id', 'churn', SPLIT_SEED)} r""")
 def kfold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.stratified_folds(T.processed_profile(spark, sf_dir), "customer_id", "churn", 5,
-                              SPLIT_SEED).select("customer_id", "fold")
+                              SPLIT_SEED, strata_bound=2).select("customer_id", "fold")
 
 
 # --------------------------------------------------------------------------- fingerprint (A2)
