@@ -32,8 +32,8 @@ def _allocate(strata: DataFrame, n_col: str, size: float, out: str) -> DataFrame
     every = Window.partitionBy()
     total = F.sum(n_col).over(every)
     s = strata.withColumn("_want", F.ceil(F.lit(float(size)) * total.cast("double")))
-    s = s.withColumn("_quota", (F.col("_want") * F.col(n_col)).cast("double")
-                     / F.sum(n_col).over(every).cast("double"))
+    s = s.withColumn("_quota", F.when(total > 0, (F.col("_want") * F.col(n_col)).cast("double")
+                                      / total.cast("double")).otherwise(F.lit(0.0)))
     s = s.withColumn("_base", F.floor("_quota")).withColumn(
         "_rest", F.col("_want") - F.sum("_base").over(every))
     order = Window.partitionBy().orderBy(F.desc(F.col("_quota") - F.col("_base")),

@@ -168,3 +168,11 @@ def test_approx_edges_close_to_exact(spark):
     assert approx == pytest.approx(exact, rel=0.05)
     # with accuracy >= n the sketch is exact up to interpolation between neighbours
     assert D.psi_numeric(bd, cd, ["x"], approx=True, accuracy=100000).first().n_bins_used == 10
+
+
+def test_empty_side_ks_and_score_drift(spark):
+    b = frame(spark, x=np.arange(10.0))
+    k = D.ks_two_sample(b, b.limit(0), ["x"]).first()
+    assert k.ks_statistic is None and k.ks_pvalue is None and k.n_c == 0
+    t = D.detect_drift(b, b.limit(0), ["x"], []).first()
+    assert t.psi is None and t.psi_alert is False and t.ks_alert is False

@@ -66,3 +66,8 @@ def test_folds_balanced(spark):
     stats = {r.split: r for r in S.split_stats(
         S.stratified_split(df, "id", "churn"), "churn").collect()}
     assert sum(r.n for r in stats.values()) == 1003
+
+
+def test_tiny_table(spark):
+    df = spark.createDataFrame([(1, 0)], "id long, churn int")
+    assert [r.split for r in S.stratified_split(df, "id", "churn").collect()] == ["test"]
