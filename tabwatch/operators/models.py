@@ -229,9 +229,10 @@ def tune(name: str, data: DataFrame, feature_pipeline: Pipeline, label: str, fol
                 pm[est.getParam(prm.name)] = built.getOrDefault(prm)
         grid.append(pm)
     pipe = Pipeline(stages=[*feature_pipeline.getStages(), est])
+    n_folds = int(d.agg(F.max(fold_col)).first()[0]) + 1   # folds are 0..k-1
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid,
                         evaluator=BinaryClassificationEvaluator(labelCol="label"),
-                        foldCol=fold_col, parallelism=parallelism, seed=seed)
+                        foldCol=fold_col, numFolds=n_folds, parallelism=parallelism, seed=seed)
     cvm = cv.fit(d)
     spark = SparkSession.getActiveSession()
     rows = [(i, json.dumps(t, sort_keys=True), float(m)) for i, (t, m) in

@@ -98,3 +98,37 @@ def test_registry_and_quality_gate(spark, fitted, processed):
     assert inv.n == processed.count() and inv.max_abs_change >= inv.mean_abs_change
     d = B.directional(processed, fitted, fm, F.col("tenure") >= 48, "TotalCharges", 1.5).first()
     assert d.n_cohort == processed.where("tenure >= 48").count()
+
+
+def test_train_all_and_batch_scoring(spark, processed):
+    from tabwatch.operators import contracts as C
+    from tabwatch.operators import scoring as SC
+    from tabwatch.operators import split as S
+    data = S.stratified_split(processed.withColumn("id", F.monotonically_increasing_id()),
+                              "id", "churn", strata_bound=2)
+    pipe = FE.build_feature_pipeline(T.NUMERICAL, "tenure", T.CATEGORICAL)
+    fm, fitted, metrics = M.train_all(data, pipe, "churn", ["logreg"], key="id")
+    rows = {(r.model, r.split): r for r in metrics.collect()}
+    assert set(rows) == {("logreg", "val"), ("logreg", "test")}
+    assert all(0.0 <= r.brier <= 1.0 and r.roc_auc is not None for r in rows.values())
+    raw = data.drop("churn", "split").withColumn(
+        "tenure", F.when(F.col("id") == F.lit(0), F.lit(150)).otherwise(F.col("tenure")))
+    scored, bad = SC.score_batch(raw, T.SCORING_CONTRACT, T.preprocess_scoring, fm,
+                                 fitted["logreg"], ["id"])
+    assert scored.count() + bad.count() == raw.count()
+    assert bad.count() == raw.where("tenure > 100").count()
+    r = scored.first()
+    assert r.prediction == int(r.probability >= 0.5) and r.threshold == 0.5
+
+
+def test_tuning_trials(spark, processed):
+    from tabwatch.operators import split as S
+    folds = S.stratified_folds(processed.withColumn("id", F.monotonically_increasing_id()),
+                               "id", "churn", k=2, strata_bound=2)
+    pipe = FE.build_feature_pipeline(T.NUMERICAL, "tenure", T.CATEGORICAL)
+    table, best = M.tune("logreg", folds, pipe, "churn", "fold", n_trials=2, seed=1)
+    rows = table.collect()
+    assert len(rows) == 2 and all(0.0 <= r.mean_roc_auc <= 1.0 for r in rows)
+    assert set(best) == {"C", "balanced"}
+    again, _ = M.tune("logreg", folds, pipe, "churn", "fold", n_trials=2, seed=1)
+    assert [r.params for r in again.collect()] == [r.params for r in rows]
