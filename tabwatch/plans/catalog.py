@@ -486,9 +486,9 @@ def _wide_sql() -> str:
                     for c in _PN)
     bucket = ("CASE WHEN p.tenure < 12 THEN 0 WHEN p.tenure < 24 THEN 1 "
               "WHEN p.tenure < 48 THEN 2 ELSE 3 END")
-    bk = ", ".join(f"CASE WHEN {bucket} = {k} THEN 1.0 ELSE 0.0 END AS "
+    bk = ", ".join(f"CASE WHEN {bucket} = {k} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS "
                    f"tenure_bucket__tenure_bucket_{k}" for k in range(4))
-    seg = ", ".join(f"CASE WHEN p.segment = '{v}' THEN 1.0 ELSE 0.0 END AS "
+    seg = ", ".join(f"CASE WHEN p.segment = '{v}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS "
                     f"categorical__segment_{v}" for v in T.SEGMENTS)
     return (f"SELECT p.customer_id, {num}, {bk}, {seg} FROM {O.PROCESSED} p, "
             f"(SELECT {stats} FROM {O.TRAIN} t) st")
