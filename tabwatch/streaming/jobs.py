@@ -63,8 +63,9 @@ def drift_stream(stream: DataFrame, baseline: Baseline, ts_col: str, out_path: s
                  window: str = "1 day", watermark: str = "1 day",
                  checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
     """Counts per (window, feature, bin) with a watermark (state = open windows x
-    features x bins; rows later than the watermark are dropped), emitted once a window
-    closes (append); PSI per closed window against the frozen baseline in ``foreachBatch``."""
+    features x bins), emitted once a window closes (append); PSI per closed window against
+    the frozen baseline in ``foreachBatch``. Rows older than the previous batch's watermark
+    are dropped; a window already emitted never changes."""
     spark = stream.sparkSession
     cols = [*baseline.numeric, *baseline.categorical]
     # Watermarks need TIMESTAMP event time; a TIMESTAMP_NTZ column is cast (wall clock read
