@@ -133,7 +133,7 @@ def test_exact_quantiles_match_numpy(spark):
         assert got[i] == pytest.approx(w, abs=1e-12)
 
 
-@pytest.mark.parametrize("buckets", [1, 3, 64])
+@pytest.mark.parametrize("buckets", [1, 3, 64, 1024])
 def test_running_totals_match_cumsum(spark, buckets):
     r = np.random.default_rng(7)
     pdf = pd.DataFrame({"k": r.choice(["a", "b", "c"], 300), "v": r.normal(size=300),
