@@ -59,3 +59,14 @@ def values_table(spark: SparkSession, schema: list[tuple[str, str]], rows: list[
     body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
     cast = ", ".join(f"CAST({n} AS {t}) AS {n}" for n, t in schema)
     return spark.sql(f"SELECT {cast} FROM VALUES {body} AS v({', '.join(names)})")
+
+
+def packed(df: DataFrame, **columns: Column) -> DataFrame:
+    """The whole row as struct ``row`` next to the given columns, so that columns of the input
+    may have any names; ``unpacked`` gives the rows back."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
+                     *[c.alias(n) for n, c in columns.items()])
+
+
+def unpacked(df: DataFrame) -> DataFrame:
+    return df.select("row.*")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabwatch.llm.common import text_or_empty
+from tabwatch.llm.common import packed, text_or_empty, unpacked
 
 WINDOW = 5
 MIN_COVERAGE = 0.75
@@ -104,11 +104,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, with all their columns."""
-    leaks = find_leaks(docs, benchmark, id_col, text_col).select(
-        F.col("doc_id").alias("__leak_id"), F.col("text_hash").alias("__leak_h")).distinct()
-    return docs.join(leaks, docs[id_col].eqNullSafe(F.col("__leak_id"))
-                     & (F.xxhash64(text_or_empty(docs[text_col])) == F.col("__leak_h")),
-                     "left_anti")
+    leaks = find_leaks(docs, benchmark, id_col, text_col).select("doc_id", "text_hash").distinct()
+    rows = packed(docs, id=F.col(id_col), h=F.xxhash64(text_or_empty(text_col)))
+    return unpacked(rows.join(leaks, F.col("id").eqNullSafe(F.col("doc_id"))
+                              & (F.col("h") == F.col("text_hash")), "left_anti"))
 
 
 def oracle_sql() -> str:

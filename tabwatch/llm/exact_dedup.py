@@ -12,10 +12,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabwatch.llm.common import shared_dir, stored, text_or_empty
+from tabwatch.llm.common import packed, shared_dir, stored, text_or_empty, unpacked
 
 TABLE_BYTES = 64 << 20  # texts held by one table before sub-buckets leave it
 LEVELS = 16             # 16 levels x 4 bits = the 64 hash bits
@@ -201,19 +201,12 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           table_bytes: int = TABLE_BYTES) -> DataFrame:
     """The input rows that stay, with all their columns as they were."""
     classes = text_classes(docs, id_col, text_col, table_bytes)
-    keep = classes.select(F.col("keep_id").alias("__keep_id"),
-                          F.col("text_sha256").alias("__keep_sha"))
-    sha: Column = F.sha2(text_or_empty(docs[text_col]), 256)
-    kept = docs.join(keep, docs[id_col].cast("long").eqNullSafe(F.col("__keep_id"))
-                     & (sha == F.col("__keep_sha")), "left_semi")
-    if classes.where("n_keep > 1").isEmpty():
-        return kept
-    # rows equal in id and text: any one of them, chosen by the hash of the whole row
-    from pyspark.sql import Window
-    whole = F.xxhash64(*[F.to_json(F.struct(F.col(f"`{c}`"))) for c in docs.columns])
-    w = Window.partitionBy("__id", "__sha").orderBy("__row")
-    return (kept.select("*", F.col(id_col).alias("__id"),
-                        F.sha2(text_or_empty(text_col), 256).alias("__sha"),
-                        whole.alias("__row"))
-            .withColumn("__k", F.row_number().over(w)).where("__k = 1")
-            .drop("__id", "__sha", "__row", "__k"))
+    rows = packed(docs, id=F.col(id_col).cast("long"), sha=F.sha2(text_or_empty(text_col), 256))
+    keep = classes.select("keep_id", "text_sha256")
+    kept = rows.join(keep, F.col("id").eqNullSafe(F.col("keep_id"))
+                     & (F.col("sha") == F.col("text_sha256")), "left_semi")
+    if not classes.where("n_keep > 1").isEmpty():
+        # rows equal in id and text: any one of them, chosen by the hash of the whole row
+        w = Window.partitionBy("id", "sha").orderBy(F.xxhash64(F.to_json("row")))
+        kept = kept.withColumn("k", F.row_number().over(w)).where("k = 1")
+    return unpacked(kept)

@@ -1,0 +1,137 @@
+"""Token store, token counts, SentencePiece codec."""
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from pyarrow import fs
+from tokenizers import Tokenizer
+
+from tabwatch.llm import sp_codec, token_count, token_store
+from tabwatch.llm import queries as Q
+
+BPE = Q.BYTE_BPE
+ODD = ["", " ", "\n", "  a", "a  ", "a \n\n b", "don't we'll 'tis x's '' 's '''s I'M 'sx ''re'", "\t'll", "x" * 700,
+       "    　  x", "naïve café 東京タワー ñandú \U0001F600\U0001F469‍\U0001F4BB", "1234567 89½²٣",
+       "a<|endoftext|>b", "<|endoftext|><|endoftext|> ", "x <|endoftext|>  y", "\x00\x01\x1c\x1f\x85 ",
+       "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa", "é" * 1000, "!!!???---___...", "tab\t\ttab \r\n\r\n", "▁x ▁ y"]
+
+
+def texts():
+    r = random.Random(5)
+    alphabet = "abcdefghijklmnopqrstuvwxyzABC 0123'\n\t éßñ東!?.,-" + "eatoins" * 4 + " " * 8
+    return ODD + ["".join(r.choices(alphabet, k=r.randint(1, 2000))) for _ in range(120)]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(BPE)
+
+
+def test_transducer_counts_as_the_library(library):
+    t = texts()
+    want = [len(e.ids) for e in library.encode_batch(t, add_special_tokens=False)]
+    assert token_count.transducer(BPE).count(t).tolist() == want
+
+
+def test_transducer_on_long_text_without_boundary(library):
+    t = ["".join(random.Random(k).choices("abcdefgh", k=5000)) for k in range(3)] + ["z" * 3000 + " end"]
+    want = [len(e.ids) for e in library.encode_batch(t, add_special_tokens=False)]
+    assert token_count.Transducer(BPE).count(t).tolist() == want
+
+
+def test_transducer_survives_a_cleared_table(library, monkeypatch):
+    monkeypatch.setattr(token_count, "MAX_STATES", 50)
+    tr = token_count.Transducer(BPE)
+    for part in (texts()[:60], texts()[60:]):
+        assert tr.count(part).tolist() == [len(e.ids) for e in library.encode_batch(part, add_special_tokens=False)]
+
+
+def test_encoder_gives_the_library_ids(library, monkeypatch):
+    monkeypatch.setattr(token_store, "MAX_KEPT", 500)
+    t = texts()
+    enc = token_store.Encoder(BPE)
+    got = [np.frombuffer(x, "<u2").tolist() for x in enc.encode(t)]
+    assert got == [e.ids for e in library.encode_batch(t, add_special_tokens=False)]
+
+
+def test_count_tokens_rows(spark):
+    rows = [(1, "hello world"), (1, "hello world"), (None, None), (2, ""), (3, "word " * 3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS n_tokens", "'x' AS t")
+    got = sorted(((r.doc_id, r.n_bytes, r.n_tokens, r.over_limit) for r in
+                  token_count.count_tokens(df, BPE).collect()), key=repr)
+    assert got[0][:3] == (1, 11, 2) and got[0] == got[1]
+    assert (None, 0, 0, False) in got and (2, 0, 0, False) in got
+    assert [g for g in got if g[0] == 3][0][3] is True
+    assert token_count.count_tokens(df.limit(0), BPE).count() == 0
+
+
+def test_minimal_perfect_hash():
+    for n in (1, 2, 5, 1000, 20_000):
+        hashes = [token_store.key_hash(k * 7 - 3)[0] for k in range(n)]
+        seeds = token_store.build_mph(hashes)
+        assert sorted(token_store.find_slot(h, seeds, n) for h in hashes) == list(range(n))
+    assert token_store.build_mph([]) == [0]
+
+
+def test_token_store_reads_back(spark, library, tmp_path):
+    rows = [(k * 3, t) for k, t in enumerate(texts())] + [(6, "again"), (None, "no id"), (None, None), (10_000, "w " * 30000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'f' AS file", "2 AS part")
+    folder = f"file://{tmp_path}/store"
+    manifest = token_store.write_tokens(df, folder, BPE, shards=4)
+    got = token_store.read_digest(manifest, folder).orderBy("start").collect()
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    ids = [library.encode(t or "", add_special_tokens=False).ids + [0] for _, t in order]
+    assert [r.doc_id for r in got] == [d for d, _ in order]
+    assert [r.n_tokens for r in got] == list(map(len, ids))
+    assert [r.start for r in got] == (np.cumsum([0, *map(len, ids)])[:-1]).tolist()
+    assert [r.ids_crc32 for r in got] == [zlib.crc32(np.array(i, "<u4").tobytes()) for i in ids]
+    # keyed access, present and absent keys
+    local = fs.LocalFileSystem()
+    for m in manifest.collect():
+        reader = token_store.ShardReader(local, m.file)
+        for d, _ in order:
+            here = d is None and bool(reader.nulls.any()) or d is not None and m.min_id is not None \
+                and m.min_id <= d <= m.max_id
+            found = reader.lookup(d)
+            assert [x.tolist() for _, x in found] == ([i for (e, _), i in zip(order, ids) if e == d] if here else [])
+        assert reader.lookup(123_456_789) == []
+    assert token_store.tokens_digest(df.limit(0), BPE).count() == 0
+
+
+@pytest.fixture(scope="module")
+def sp():
+    return sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def test_codec_without_dropout_is_the_library(sp):
+    c = sp_codec.Codec(Q.PIECE_BPE, 0.0, 0, 1)
+    plain = [t for t in texts() if sp_codec.SPACE not in t]
+    assert [c.encode(t).tolist() for t in plain] == [sp.encode(t) for t in plain]
+
+
+def test_codec_is_lossless_seeded_and_varied():
+    a, b = sp_codec.Codec(Q.PIECE_BPE, 0.2, 1, 4), sp_codec.Codec(Q.PIECE_BPE, 0.2, 2, 4)
+    t = texts()
+    for v in range(4):
+        assert [a.decode(a.encode(x, v).tolist()) for x in t] == t
+    again = sp_codec.Codec(Q.PIECE_BPE, 0.2, 1, 4)
+    assert all((a.encode(x, 2) == again.encode(x, 2)).all() for x in reversed(t))
+    long = "the internationalization of segmentation " * 5
+    ways = {a.encode(long, v).tobytes() for v in range(4)} | {b.encode(long, v).tobytes() for v in range(4)}
+    assert len(ways) > 4
+    none = sp_codec.Codec(Q.PIECE_BPE, 1.0, 0, 1)  # every merge skipped: single characters
+    assert len(none.encode("abc def")) == 8
+
+
+def test_codec_report_rows(spark):
+    rows = [(1, "hello"), (1, "hello"), (2, None), (None, ""), (3, "ab " * 40000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "array(1) AS ids", "'x' AS decoded")
+    got = sp_codec.codec_report(df, Q.PIECE_BPE).collect()
+    assert len(got) == 5 and all(r.lossless for r in got)
+    assert sorted(r.n_pieces == 0 for r in got) == [False] * 3 + [True] * 2
+    assert len({r.ids_hash for r in got if r.doc_id == 1}) == 1
+    assert sp_codec.codec_report(df.limit(0), Q.PIECE_BPE).count() == 0
