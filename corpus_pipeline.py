@@ -1,24 +1,51 @@
-"""Corpus pipeline: toxicity, exact dedup, near dedup, decontamination, encoding."""
+"""Corpus pipeline: toxic documents go, then exact copies, near copies and documents that hold
+benchmark items; what stays is encoded. Each stage reads what its predecessor wrote."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabwatch.llm import decontam, exact_dedup
+from tabwatch.llm import decontam, exact_dedup, minhash, sp_codec, toxicity
 from tabwatch.llm.common import shared_dir, stored
 from tabwatch.plans.tables import table
 
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model does not reject."""
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts, the document with the largest id."""
     return exact_dedup.dedup(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group."""
+    return minhash.drop_near_duplicates(docs)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
     return decontam.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("exact_dedup", exact_duplicates), ("decontamination", decontaminate)]
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, ids, n_pieces and whether decoding gives back the text."""
+    d = sp_codec.decode_documents(sp_codec.encode_documents(docs, MODEL), MODEL)
+    return d.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"),
+                    (F.col("text") == F.col("decoded")).alias("lossless"))
+
+
+STAGES = [("toxicity", clean_documents), ("exact_dedup", exact_duplicates),
+          ("near_dedup", near_duplicates), ("decontamination", decontaminate),
+          ("sentencepiece", encode)]
 
+# Scores and segmentations have no SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
