@@ -40,26 +40,31 @@ def template_words(text: Column) -> Column:
 
 
 def _kind(word: Column) -> Column:
-    """Placeholder of a word, or the lower-case word itself."""
-    low = F.lower(word)
+    """Placeholder of a word, or null for an ordinary word."""
     return (F.when(word.startswith(NAME), F.lit("<name>"))
-            .when(F.substring(word, 1, 1).between("0", "9"), F.lit("<number>"))
-            .when(low.isin(UNITS), F.lit("<unit>")).otherwise(low))
+            .when((word >= "0") & (word < ":"), F.lit("<number>"))
+            .when(F.lower(word).isin(UNITS), F.lit("<unit>")))
 
 
 def windows(df: DataFrame, key: list[str], text: Column, out: str) -> DataFrame:
     """key, {out}_pos, wh (hash of the template window), {out}_slots (values of its slots,
     joined by spaces; null without slots) for every window of a text."""
     w = df.select(*key, template_words(text).alias("w"))
-    w = w.select(*key, "w", F.transform("w", _kind).alias("c"))
-    w = w.select(*key, F.transform("c", lambda x: F.xxhash64(x)).alias("c"),
-                 F.transform(F.arrays_zip("w", "c"), lambda z: F.when(
-                     z["c"].startswith("<"), F.lower(z["w"]))).alias("s"))
-    last = F.size("c") - WINDOW
+    w = w.select(*key, "w", F.transform("w", _kind).alias("k"))
+    w = w.select(*key, F.transform("w", lambda x, i: F.xxhash64(F.coalesce(F.get("k", i), F.lower(x)))).alias("c"),
+                 F.when(F.exists("k", lambda x: x.isNotNull()), F.transform("w", lambda x, i: F.when(
+                     F.get("k", i).isNotNull(), F.lower(x)))).alias("s"))
+    # no filter on the number of words here: pushed down, it would bring the definition of the
+    # words into the functions below, once per word
+    n = F.greatest(F.size("c") - (WINDOW - 1), F.lit(0))
     hashed = lambda i: F.xxhash64(*[F.get("c", i + k) for k in range(WINDOW)])
-    slots = lambda i: F.concat_ws(" ", F.slice("s", i + 1, WINDOW))
-    win = F.transform("c", lambda _, i: F.struct(hashed(i).alias("wh"), slots(i).alias("s")))
-    return w.where(last >= 0).select(*key, F.posexplode(F.slice(win, 1, last + 1)).alias("p", "x")) \
+    # values are only looked up in texts that have slots
+    plain = F.transform("c", lambda _, i: F.struct(hashed(i).alias("wh"), F.lit(None).cast("string").alias("s")))
+    slotted = F.transform("c", lambda _, i: F.struct(hashed(i).alias("wh"), F.when(
+        F.coalesce(*[F.get("s", i + k) for k in range(WINDOW)]).isNotNull(),
+        F.concat_ws(" ", *[F.get("s", i + k) for k in range(WINDOW)])).alias("s")))
+    win = F.when(F.col("s").isNull(), plain).otherwise(slotted)
+    return w.select(*key, F.posexplode(F.slice(win, 1, n)).alias("p", "x")) \
         .select(*key, F.col("p").alias(f"{out}_pos"), F.col("x.wh").alias("wh"),
                 F.col("x.s").alias(f"{out}_slots"))
 
