@@ -1,12 +1,10 @@
 """Column-expression helpers (JVM-side, no Python UDFs)."""
 
 from tabwatch.functions.columns import (  # noqa: F401
-    bucket_index,
     bucketize,
     clip,
     ks_pvalue,
     safe_div,
-    scale,
     swap_values,
 )
-from tabwatch.functions.hashing import row_fingerprint, uniform_hash, unit_hash  # noqa: F401
+from tabwatch.functions.hashing import row_digest, uniform_hash, unit_hash  # noqa: F401

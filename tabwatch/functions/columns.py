@@ -23,13 +23,6 @@ def clip(x: str | Column, lo: float, hi: float) -> Column:
     return F.least(F.greatest(_c(x), F.lit(lo)), F.lit(hi))
 
 
-def bucket_index(value: str | Column, inner_edges: str | Column) -> Column:
-    """Number of inner edges <= value: the bin of ``value`` for left-closed bins whose outer
-    edges are -inf / +inf (the histogram rule used by PSI)."""
-    v = _c(value)
-    return F.size(F.filter(_c(inner_edges), lambda e: e <= v))
-
-
 def bucketize(x: str | Column, bins: Sequence[float] = (12, 24, 48)) -> Column:
     """Left-closed buckets: x < bins[0] -> 0, bins[0] <= x < bins[1] -> 1, ... ,
     x >= bins[-1] -> len(bins). NULL stays NULL. Same edges as
@@ -43,10 +36,6 @@ def bucketize(x: str | Column, bins: Sequence[float] = (12, 24, 48)) -> Column:
     return F.when(col.isNull(), F.lit(None).cast("int")).otherwise(expr.cast("int"))
 
 
-def scale(x: str | Column, factor: float) -> Column:
-    return _c(x) * F.lit(float(factor))
-
-
 def swap_values(x: str | Column, mapping: dict[str, str]) -> Column:
     """Replace values by ``mapping`` (e.g. Female <-> Male); others unchanged."""
     col = _c(x)

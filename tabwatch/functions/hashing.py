@@ -13,22 +13,26 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Marker written for NULL in fingerprints, field separators.
-NULL_MARKER = "␀"
+# Fixed value: separator of the fields of a hashed key.
 KEY_SEP = ":"
-FIELD_SEP = "|"
 
 
 def _c(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def _escaped(k: str | Column) -> Column:
+    text = F.replace(_c(k).cast("string"), F.lit("\\"), F.lit("\\\\"))
+    return F.replace(text, F.lit(KEY_SEP), F.lit("\\" + KEY_SEP))
+
+
 def uniform_hash(seed: int | str, *keys: str | Column, salt: str | None = None) -> Column:
-    """32-bit unsigned hash (BIGINT in [0, 2^32)) of md5(seed[:salt]:key...)."""
+    """32-bit unsigned hash (BIGINT in [0, 2^32)) of md5(seed[:salt]:key...). Separators inside
+    a field are escaped and a NULL key has a mark of its own, so different fields differ."""
     parts = [F.lit(str(seed))]
     if salt is not None:
         parts.append(F.lit(str(salt)))
-    parts += [_c(k).cast("string") for k in keys]
+    parts += [F.coalesce(_escaped(k), F.lit("\\N")) for k in keys]
     return F.conv(F.substring(F.md5(F.concat_ws(KEY_SEP, *parts)), 1, 8), 16, 10).cast("long")
 
 
@@ -37,16 +41,44 @@ def unit_hash(seed: int | str, *keys: str | Column, salt: str | None = None) ->
     return uniform_hash(seed, *keys, salt=salt).cast("double") / F.lit(4294967296.0)
 
 
-def canonical_string(c: str | Column, dtype: str | None = None) -> Column:
-    """Engine-neutral text form of a value: floating values as DECIMAL(38,6) text so that
-    1e7 is not written as '1.0E7'; NULL as a marker because concat_ws drops NULLs."""
-    col = _c(c)
+def double_text_sql(x: str, text: str = "STRING") -> str:
+    """SQL of an exact text of a floating value: sign, integer part and three groups of 52
+    fraction bits, each an exact integer (so values 1e-9 apart differ). Beyond the 64-bit
+    integers or 156 fraction bits, the engine's own text is appended."""
+    a = f"abs(CAST({x} AS DOUBLE))"
+    f1 = f"(({a} - floor({a})) * 4503599627370496.0)"
+    f2 = f"(({f1} - floor({f1})) * 4503599627370496.0)"
+    f3 = f"(({f2} - floor({f2})) * 4503599627370496.0)"
+    part = lambda e: f"CAST(CAST(floor({e}) AS BIGINT) AS {text})"
+    own = f"CAST(CAST({x} AS DOUBLE) AS {text})"
+    return (f"CASE WHEN isnan(CAST({x} AS DOUBLE)) THEN 'nan' WHEN {a} >= 9e18 THEN {own} "
+            f"ELSE concat(CASE WHEN CAST({x} AS DOUBLE) < 0 THEN '-' ELSE '+' END, {part(a)}, '.', {part(f1)}, '.', "
+            f"{part(f2)}, '.', {part(f3)}, CASE WHEN {f3} <> floor({f3}) THEN {own} ELSE '' END) END")
+
+
+def canonical_sql(name: str, dtype: str) -> str:
+    """SQL of the text of one field. Floating values are exact; timestamps are microseconds;
+    arrays and structs are JSON."""
+    x = f"`{name}`"
     if dtype in ("double", "float"):
-        col = col.cast("decimal(38,6)")
-    return F.coalesce(col.cast("string"), F.lit(NULL_MARKER))
+        return double_text_sql(x)
+    if dtype == "timestamp_ntz":
+        return f"CAST(timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {x}) AS STRING)"
+    if dtype == "timestamp":
+        return f"CAST(unix_micros({x}) AS STRING)"
+    if dtype in ("array<float>", "array<double>"):
+        item = double_text_sql("e")
+        return f"concat_ws(',', transform({x}, e -> coalesce({item}, 'N')))"
+    if dtype.startswith(("array", "struct", "map")):
+        return f"to_json({x})"
+    return f"CAST({x} AS STRING)"
 
 
-def row_fingerprint(cols: Sequence[tuple[str, str]]) -> Column:
-    """BIGINT in [0, 2^32) from md5 of the canonical row text; ``cols`` = (name, dtype)."""
-    text = F.concat_ws(FIELD_SEP, *[canonical_string(n, t) for n, t in cols])
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+def row_digest(cols: Sequence[tuple[str, str]]) -> Column:
+    """md5 (32 hex digits) of the row: every field as its length, a colon and its text, NULL as
+    N, so that no two different rows share a text. ``cols`` = (name, simple type)."""
+    parts = []
+    for n, t in cols:
+        x = canonical_sql(n, t)
+        parts.append(f"coalesce(CASE WHEN `{n}` IS NOT NULL THEN concat(CAST(length({x}) AS STRING), ':', {x}) END, 'N')")
+    return F.expr(f"md5(concat({', '.join(parts)}))")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tabwatch.functions.columns import swap_values
 from tabwatch.operators.metrics import rank_metrics
 from tabwatch.operators.models import FittedModel
+from tabwatch.operators.prefix import join_null_safe
 
 # Fixed values of the checks.
 INVARIANCE_MEAN_MAX = 0.05
@@ -66,7 +67,7 @@ def quality_gate(scored: DataFrame, keys: Sequence[str] = ("model",), label: str
     keys = list(keys)
     auc = rank_metrics(scored, keys, label, score).select(*keys, "roc_auc")
     std = scored.groupBy(*keys).agg(F.stddev_pop(score).alias("score_std"))
-    return auc.join(std, on=keys).select(
+    return join_null_safe(auc, std, keys).select(
         *keys, "roc_auc", "score_std",
         F.coalesce(F.col("roc_auc") >= AUC_FLOOR, F.lit(False)).alias("above_floor"),
         F.coalesce(F.col("roc_auc") > AUC_CHANCE, F.lit(False)).alias("above_chance"),

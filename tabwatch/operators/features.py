@@ -82,6 +82,24 @@ class PopulationScalerModel(Model, _ScalerParams, DefaultParamsReadable, Default
                                for o, c, m, s in zip(self.output_cols(), cols, means, stds)})
 
 
+#: Categories become driver-side lists and columns; a column with more values is refused.
+MAX_CATEGORIES = 1000
+
+
+class FeaturePipeline(Pipeline):
+    """A Pipeline that checks, before anything is learned, how many values each categorical
+    column has (one aggregate, about 5 % off), and raises beyond MAX_CATEGORIES."""
+
+    def _fit(self, df: DataFrame) -> PipelineModel:
+        cols = [c for s in self.getStages() if isinstance(s, StringIndexer)
+                for c in s.getInputCols() if c in df.columns]
+        if cols:
+            r = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
+            if large := {c: r[c] for c in cols if r[c] > MAX_CATEGORIES}:
+                raise ValueError(f"more than {MAX_CATEGORIES} categories: {large}")
+        return super()._fit(df)
+
+
 def build_feature_pipeline(numerical: Sequence[str], bucket_col: str | None,
                            categorical: Sequence[str], bins: Sequence[float] = (12, 24, 48),
                            output_col: str = FEATURES) -> Pipeline:
@@ -103,7 +121,7 @@ def build_feature_pipeline(numerical: Sequence[str], bucket_col: str | None,
         stages.append(OneHotEncoder(inputCols=index_out, outputCols=vec_out, dropLast=True))
     stages.append(VectorAssembler(inputCols=[f"numerical__{c}" for c in numerical] + vec_out,
                                   outputCol=output_col))
-    return Pipeline(stages=stages)
+    return FeaturePipeline(stages=stages)
 
 
 def _indexer(model: PipelineModel):

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwatch.functions.columns import safe_div
-from tabwatch.operators.prefix import count_below, running_totals
+from tabwatch.operators.prefix import count_below, hint_small, join_null_safe, running_totals
 
 # float64 machine epsilon used to clip probabilities in the log loss, the
 # default decision threshold and the default sweep grid.
@@ -28,8 +28,13 @@ def default_thresholds() -> list[float]:
 
 
 def _prep(scored: DataFrame, label: str, score: str) -> DataFrame:
-    return scored.withColumn("_y", F.col(label).cast("int")).withColumn(
-        "_s", F.col(score).cast("double"))
+    """_y, _s. A label other than 0 or 1 (NULL too) fails the job instead of dropping out; a NaN
+    score counts as NULL."""
+    y = F.col(label)
+    bad = F.raise_error(F.concat(F.lit("a label must be 0 or 1; got "),
+                                 F.coalesce(y.cast("string"), F.lit("NULL"))))
+    return scored.withColumn("_y", F.when(y.isin(0, 1), y.cast("int")).otherwise(bad.cast("int"))) \
+        .withColumn("_s", F.nanvl(F.col(score).cast("double"), F.lit(None).cast("double")))
 
 
 def score_counts(scored: DataFrame, keys: Sequence[str], label: str = "label",
@@ -45,32 +50,41 @@ def score_counts(scored: DataFrame, keys: Sequence[str], label: str = "label",
 
 def rank_metrics(scored: DataFrame, keys: Sequence[str], label: str = "label",
                  score: str = "score", key_bound: int | None = None) -> DataFrame:
-    return _rank_from_counts(score_counts(scored, keys, label, score), keys, key_bound)
+    """keys, roc_auc, pr_auc, n_pos, n_neg per group (a NULL key is a group). ``key_bound``: a
+    bound on the number of groups, which lets the per-group tables be broadcast."""
+    return _rank_from_counts(score_counts(scored, keys, label, score), keys, key_bound,
+                             _scores(scored, keys, score))
 
 
-def _rank_from_counts(counts: DataFrame, keys: Sequence[str],
-                      key_bound: int | None = None) -> DataFrame:
-    """keys, roc_auc, pr_auc, n_pos, n_neg.
+def _scores(scored: DataFrame, keys: Sequence[str], score: str) -> DataFrame:
+    return scored.select(*keys, F.nanvl(F.col(score).cast("double"), F.lit(None).cast("double")).alias("score"))
+
+
+def _rank_from_counts(counts: DataFrame, keys: Sequence[str], key_bound: int | None = None,
+                      raw: DataFrame | None = None) -> DataFrame:
+    """keys, roc_auc, pr_auc, n_pos, n_neg. Bucket bounds come from a sketch of the raw scores,
+    so that the distinct-score counts are shuffled once and their exchange is shared.
 
     roc_auc: ties count one half; NULL unless both classes are present.
     pr_auc: average precision, sum over distinct scores (descending) of
     (R_k - R_{k-1}) * P_k (step-wise, not trapezoidal); NULL without positives.
     """
     keys = list(keys)
-    rt = running_totals(counts, keys, "score", ["n_pos", "n_neg"], key_bound=key_bound)
+    rt = running_totals(counts, keys, "score", ["n_pos", "n_neg"], key_bound=key_bound,
+                        bounds_from=raw)
     tot = rt.key_totals().select(*keys, F.col("total_n_pos").alias("P"),
                                  F.col("total_n_neg").alias("N"))
     # positives / negatives with score >= this score
     tp = F.col("P") - (F.col("cum_n_pos") - F.col("n_pos"))
     fp = F.col("N") - (F.col("cum_n_neg") - F.col("n_neg"))
     parts = (
-        rt.rows.join(tot, on=keys)
+        join_null_safe(rt.rows, hint_small(tot, key_bound), keys)
         .groupBy(*keys)
         .agg(F.sum(F.col("n_pos") * (F.col("cum_n_neg") - F.col("n_neg") / 2.0)).alias("_auc"),
              F.sum(F.when(F.col("n_pos") > 0, F.col("n_pos") * (tp / (tp + fp))))
              .alias("_ap"))
     )
-    return tot.join(parts, on=keys, how="left").select(
+    return join_null_safe(tot, hint_small(parts, key_bound), keys, "left").select(
         *keys,
         F.when((F.col("P") > 0) & (F.col("N") > 0),
                F.col("_auc") / (F.col("P").cast("double") * F.col("N"))).alias("roc_auc"),
@@ -129,14 +143,17 @@ def classification_metrics(scored: DataFrame, keys: Sequence[str] = ("model", "s
     rank and point metrics both come from the distinct-score counts."""
     keys = list(keys)
     counts = score_counts(scored, keys, label, score)
-    r = _rank_from_counts(counts, keys, key_bound)
+    r = _rank_from_counts(counts, keys, key_bound, _scores(scored, keys, score))
     p = _point_from_counts(counts, keys, threshold)
-    return r.join(p, on=keys).select(*keys, "roc_auc", "pr_auc", "f1", "log_loss", "brier")
+    return join_null_safe(r, hint_small(p, key_bound), keys).select(*keys, "roc_auc", "pr_auc", "f1", "log_loss", "brier")
 
 
 def compare_models(scored: DataFrame, model_col: str = "model",
-                   threshold: float = DEFAULT_THRESHOLD, **kw) -> DataFrame:
-    """One row per model: model, roc_auc, pr_auc, f1, log_loss, brier."""
+                   threshold: float = DEFAULT_THRESHOLD, strict: bool = False, **kw) -> DataFrame:
+    """One row per model: model, roc_auc, pr_auc, f1, log_loss, brier. ``strict``: raise if
+    there is no scored row, hence no model to compare."""
+    if strict and scored.isEmpty():
+        raise ValueError("no scored rows: there is no model to compare")
     return classification_metrics(scored, [model_col], threshold, **kw)
 
 
@@ -171,13 +188,15 @@ def threshold_sweep(scored: DataFrame, keys: Sequence[str] = ("model",),
     thresholds <= score, counts per k, then suffix sums over <= len(thresholds)+1 rows per
     key. Thresholds are de-duplicated and sorted."""
     keys = list(keys)
-    thr = sorted({float(t) for t in (thresholds or default_thresholds())})
+    thr = sorted({float(t) for t in (default_thresholds() if thresholds is None else thresholds)})
+    if not thr:
+        raise ValueError("no thresholds given")
     arr = F.array(*[F.lit(t) for t in thr])
     d = count_below(_prep(scored, label, score).where(F.col("_s").isNotNull())
                     .withColumn("_thr", arr), "_thr", "_s", len(thr), "k", inclusive=True)
     agg = d.groupBy(*keys, "k").agg(F.count_if(F.col("_y") == 1).alias("pos"),
                                     F.count_if(F.col("_y") == 0).alias("neg"))
-    full = _spine(agg, keys, len(thr) + 1, "k").join(agg, on=[*keys, "k"], how="left") \
+    full = join_null_safe(_spine(agg, keys, len(thr) + 1, "k"), agg, [*keys, "k"], "left") \
         .fillna(0, subset=["pos", "neg"])
     suffix = Window.partitionBy(*keys).orderBy(F.desc("k")).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
@@ -217,7 +236,7 @@ def calibration_table(scored: DataFrame, keys: Sequence[str] = ("model",), n_bin
     agg = d.groupBy(*keys, "bin").agg(
         F.avg("_s").alias("predicted_mean"), F.avg(F.col("_y").cast("double"))
         .alias("observed_rate"), F.count(F.lit(1)).alias("count"))
-    return _spine(agg, keys, n_bins, "bin").join(agg, on=[*keys, "bin"], how="left").select(
+    return join_null_safe(_spine(agg, keys, n_bins, "bin"), agg, [*keys, "bin"], "left").select(
         *keys, F.col("bin").cast("int").alias("bin"),
         F.element_at(earr, F.col("bin") + 1).alias("bin_lower"),
         F.element_at(earr, F.col("bin") + 2).alias("bin_upper"),

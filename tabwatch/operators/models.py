@@ -12,20 +12,23 @@ import math
 import random
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
+    GBTClassificationModel,
     GBTClassifier,
     LogisticRegression,
+    LogisticRegressionModel,
+    MultilayerPerceptronClassificationModel,
     MultilayerPerceptronClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabwatch.operators.features import FEATURES
+from tabwatch.operators.features import FEATURES, load_pipeline, save_pipeline
 from tabwatch.operators.metrics import classification_metrics
 
 WEIGHT = "weight"
@@ -34,25 +37,29 @@ WEIGHT = "weight"
 def with_class_weights(df: DataFrame, label: str, kind: str = "linear",
                        out: str = WEIGHT) -> DataFrame:
     """F1. linear: n / (2 n_c) per class ('balanced'); trees: n_neg / n_pos on positives and
-    1.0 on negatives (1.0 everywhere when there are no positives). The class counts are at
-    most two rows, joined by broadcast."""
-    w = _class_counts(df, label).withColumnRenamed("n", "count")
+    1.0 on negatives (1.0 everywhere when there are no positives). One aggregate counts the
+    classes; the weights are literals. A label other than 0 and 1 raises."""
+    if kind not in ("linear", "trees"):
+        raise ValueError(f"unknown weight kind {kind!r}")
+    y = F.col(label)
+    r = df.agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"),
+               F.count(F.lit(1)).alias("n")).first()
+    if r["pos"] + r["neg"] != r["n"]:
+        raise ValueError(f"{r['n'] - r['pos'] - r['neg']} label(s) are neither 0 nor 1")
     if kind == "linear":
-        w = w.select(label, (F.col("_n") / (F.lit(2.0) * F.col("count"))).alias(out))
-    elif kind == "trees":
-        w = w.select(label, F.when((F.col(label) == 1) & (F.coalesce(F.col("_pos"), F.lit(0)) > 0),
-                                   F.coalesce(F.col("_neg"), F.lit(0)) / F.col("_pos"))
-                     .otherwise(F.lit(1.0)).alias(out))
+        one, zero = (r["n"] / (2.0 * r[c]) if r[c] else 1.0 for c in ("pos", "neg"))
     else:
-        raise ValueError(f"unknown weight kind {kind!r}")
-    return df.join(F.broadcast(w), on=label, how="left")
+        one, zero = (r["neg"] / r["pos"] if r["pos"] else 1.0), 1.0
+    return df.withColumn(out, F.when(y == 1, F.lit(float(one))).otherwise(F.lit(float(zero))))
 
 
 def _class_counts(df: DataFrame, label: str) -> DataFrame:
-    """label, n, _n, _pos, _neg: class counts (one row per label value, two for a binary
-    label) with totals from a window over that tiny table."""
+    """label, n, _n, _pos, _neg: class counts (one row per label value; more than two raise when
+    the table is computed) with totals from a window over that tiny table."""
     every = Window.partitionBy()
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    y = F.when(F.col(label).isin(0, 1), F.col(label)).otherwise(
+        F.raise_error(F.lit("a label must be 0 or 1")).cast(df.schema[label].dataType))
+    counts = df.select(y.alias(label)).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
     return counts.select(
         label, "n", F.sum("n").over(every).alias("_n"),
         F.coalesce(F.sum(F.when(F.col(label) == 1, F.col("n"))).over(every), F.lit(0)).alias("_pos"),
@@ -77,16 +84,20 @@ class ModelSpec:
     space: Callable[[random.Random], dict] | None = None
 
 
+def _weight(p: dict) -> dict:
+    return {"weightCol": p["weight_col"]} if p.get("weight_col") else {}
+
+
 def _logreg(p: dict, n_features: int):
     # sklearn minimises C * sum(w loss) + 0.5 ||b||^2; Spark averages the weighted loss, so
     # regParam = 1 / (C * sum(w)). ``sum_w`` is filled in by ``fit_model``.
-    return LogisticRegression(featuresCol=FEATURES, labelCol="label", weightCol=p.get("weight_col"),
+    return LogisticRegression(featuresCol=FEATURES, labelCol="label", **_weight(p),
                               maxIter=p["max_iter"], elasticNetParam=0.0, standardization=False,
                               regParam=1.0 / (p["C"] * p["sum_w"]))
 
 
 def _gbt(p: dict, n_features: int):
-    return GBTClassifier(featuresCol=FEATURES, labelCol="label", weightCol=p.get("weight_col"),
+    return GBTClassifier(featuresCol=FEATURES, labelCol="label", **_weight(p),
                          maxIter=p["n_estimators"], stepSize=p["learning_rate"],
                          maxDepth=p["max_depth"], subsamplingRate=p["subsample"],
                          featureSubsetStrategy=str(p["colsample"]), seed=p["seed"], maxBins=64)
@@ -113,6 +124,7 @@ def _mlp_space(r: random.Random) -> dict:
             "max_iter": r.randrange(10, 51, 5) * 5, "batch_size": r.choice([128, 256, 512])}
 
 
+# Search ranges above and defaults below.
 # Registry: name -> spec. Defaults mirror the reference's settings where Spark has the knob
 # (no L2 on leaves for Spark GBT, sigmoid hidden units and no dropout for Spark's MLP).
 REGISTRY: dict[str, ModelSpec] = {
@@ -127,9 +139,16 @@ REGISTRY: dict[str, ModelSpec] = {
 
 
 def register_model(spec: ModelSpec) -> None:
+    """Add a model to the registry; train_all and tune then know it by name."""
     REGISTRY[spec.name] = spec
 
 
+MODEL_VERSION = 1
+_TAG = "tabwatch.FittedModel"
+_LOADERS = {c.__name__: c for c in (LogisticRegressionModel, GBTClassificationModel,
+                                    MultilayerPerceptronClassificationModel)}
+
+
 @dataclass
 class FittedModel:
     name: str
@@ -144,6 +163,54 @@ class FittedModel:
         return out.select(*cols, vector_to_array("probability")[1].alias("score")) \
             .withColumn("prediction", (F.col("score") >= F.lit(self.threshold)).cast("int"))
 
+    def save(self, path: str, features: PipelineModel) -> str:
+        """the model with the features it was fitted on, its threshold and a version, so that
+        another process scores as this one does."""
+        path = path.rstrip("/")
+        save_pipeline(features, f"{path}/features")
+        self.model.write().overwrite().save(f"{path}/model")
+        meta = json.dumps({"class": _TAG, "version": MODEL_VERSION, "name": self.name,
+                           "model_class": type(self.model).__name__, "params": self.params,
+                           "threshold": self.threshold})
+        SparkSession.getActiveSession().createDataFrame([(meta,)], "value string").coalesce(1) \
+            .write.mode("overwrite").text(f"{path}/meta")
+        return path
+
+    @staticmethod
+    def load(path: str) -> "tuple[FittedModel, PipelineModel]":
+        """(model, features); refuses folders that are no saved model of this version."""
+        path = path.rstrip("/")
+        try:
+            meta = json.loads(SparkSession.getActiveSession().read.text(f"{path}/meta").first()[0])
+        except Exception as e:  # noqa: BLE001
+            raise TypeError(f"{path} is not a saved model: {e}") from e
+        if meta.get("class") != _TAG or meta.get("version") != MODEL_VERSION:
+            raise TypeError(f"{path} holds {meta.get('class')} version {meta.get('version')}, "
+                            f"expected {_TAG} version {MODEL_VERSION}")
+        model = _LOADERS[meta["model_class"]].load(f"{path}/model")
+        return (FittedModel(meta["name"], model, meta["params"], meta["threshold"]),
+                load_pipeline(f"{path}/features"))
+
+
+@dataclass
+class LinearModel(FittedModel):
+    """Logistic scores from given coefficients of plain numeric columns and offsets of category
+    values: a model that SQL can state, scored by the same code paths as fitted ones."""
+    bias: float = 0.0
+    weights: dict[str, float] = field(default_factory=dict)
+    offsets: dict[str, dict[str, float]] = field(default_factory=dict)
+
+    def score(self, df: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
+        z = F.lit(float(self.bias))
+        for c, w in self.weights.items():
+            z = z + F.lit(float(w)) * F.col(c).cast("double")
+        for c, values in self.offsets.items():
+            for v, w in values.items():
+                z = z + F.when(F.col(c) == v, F.lit(float(w))).otherwise(F.lit(0.0))
+        cols = list(keep) if keep is not None else df.columns
+        return df.select(*cols, (F.lit(1.0) / (F.lit(1.0) + F.exp(-z))).alias("score")) \
+            .withColumn("prediction", (F.col("score") >= F.lit(self.threshold)).cast("int"))
+
 
 def _n_features(df: DataFrame) -> int:
     meta = df.schema[FEATURES].metadata.get("ml_attr", {})
@@ -172,7 +239,7 @@ def train_all(data: DataFrame, feature_pipeline: Pipeline, label: str, models: S
               params: dict[str, dict] | None = None) -> tuple[PipelineModel, dict, DataFrame]:
     """one feature fit on the train rows, the transformed table cached once and shared by
     every model; val and test scored by each model; metrics for all (model, split) from one
-    grouped job. Returns (feature model, fitted models, metric table)."""
+    grouped job. Returns (feature model, fitted models, metric table of a row per group)."""
     train = data.where(F.col(split_col) == "train")
     fmodel = feature_pipeline.fit(train)
     keep = [c for c in [key, label, split_col] if c]
@@ -187,56 +254,47 @@ def train_all(data: DataFrame, feature_pipeline: Pipeline, label: str, models: S
             scored = s if scored is None else scored.unionByName(s)
         metrics = classification_metrics(scored.withColumnRenamed(label, "label"),
                                          ["model", split_col], key_bound=3 * len(models))
-        metrics = metrics.cache()
-        metrics.count()
+        rows = metrics.collect()  # a row per model and split
     finally:
         enc.unpersist()
-    return fmodel, fitted, metrics
-
-
-def _expand(name: str, drawn: dict, spec: ModelSpec, sum_w: float) -> dict:
-    return {**spec.defaults, **drawn, "sum_w": sum_w}
+    return fmodel, fitted, data.sparkSession.createDataFrame(rows, metrics.schema)
 
 
 def tune(name: str, data: DataFrame, feature_pipeline: Pipeline, label: str, fold_col: str,
-         n_trials: int = 10, seed: int = 42, parallelism: int = 2) -> tuple[DataFrame, dict]:
-    """F8: seeded random search over the model's space, each trial scored by mean ROC-AUC over
-    the folds in ``fold_col`` (features fitted inside each fold, so no statistic leaks from
-    the held-out fold). Returns (trial table, best params)."""
+         n_trials: int = 30, seed: int = 42, parallelism: int = 4) -> tuple[DataFrame, dict]:
+    """F8: seeded random search over the model's space, each trial scored by its mean exact
+    ROC-AUC over the folds in ``fold_col``. Give it the train rows only.
+
+    Features, class weights, the sum of weights and the input width are fitted on each fold's
+    training rows, so nothing of the held-out fold leaks and a category that one fold lacks
+    changes only that fold's width. A trial with ``balanced: false`` is fitted unweighted.
+    Returns (trial table, best params); ties go to the first trial."""
     spec = REGISTRY[name]
     r = random.Random(seed)
     trials = [spec.space(r) for _ in range(n_trials)]
-    d = data.withColumn("label", F.col(label).cast("double"))
-    kind = spec.weights
-    if kind:
-        d = with_class_weights(d, "label", kind)
-    sum_w = float(d.agg(F.sum(WEIGHT) if kind else F.count(F.lit(1))).first()[0])
-    from tabwatch.operators.features import feature_names
-    n_feat = len(feature_names(feature_pipeline.fit(d)))
-    base_p = _expand(name, {}, spec, sum_w)
-    if kind:
-        base_p["weight_col"] = WEIGHT
-    est = spec.build(base_p, n_feat)
-    grid = []
-    for t in trials:
-        p = {**base_p, **t}
-        if name == "logreg" and not t.get("balanced", True):
-            p["weight_col"] = None
-        built = spec.build(p, n_feat)
-        pm = {}
-        for prm in built.params:
-            if built.isSet(prm) and prm.name not in ("featuresCol", "labelCol", "weightCol"):
-                pm[est.getParam(prm.name)] = built.getOrDefault(prm)
-        grid.append(pm)
-    pipe = Pipeline(stages=[*feature_pipeline.getStages(), est])
-    n_folds = int(d.agg(F.max(fold_col)).first()[0]) + 1   # folds are 0..k-1
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid,
-                        evaluator=BinaryClassificationEvaluator(labelCol="label"),
-                        foldCol=fold_col, numFolds=n_folds, parallelism=parallelism, seed=seed)
-    cvm = cv.fit(d)
-    spark = SparkSession.getActiveSession()
-    rows = [(i, json.dumps(t, sort_keys=True), float(m)) for i, (t, m) in
-            enumerate(zip(trials, cvm.avgMetrics))]
-    table = spark.createDataFrame(rows, "trial int, params string, mean_roc_auc double")
-    best = trials[max(range(len(trials)), key=lambda i: cvm.avgMetrics[i])]
-    return table, best
+    data = data.withColumn("label", F.col(label).cast("double"))
+    folds = sorted(x[0] for x in data.select(fold_col).distinct().collect())
+    if len(folds) < 2:
+        raise ValueError("tuning needs at least two folds")
+    auc = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", numBins=0)
+    scores: list[list[float]] = [[] for _ in trials]
+    for fold in folds:
+        rest, held = data.where(F.col(fold_col) != fold), data.where(F.col(fold_col) == fold)
+        features = feature_pipeline.fit(rest)
+        train = features.transform(rest).select("label", FEATURES).persist()
+        valid = features.transform(held).select("label", FEATURES).persist()
+        try:
+            def one(params: dict, train=train, valid=valid) -> float:
+                model = fit_model(name, train, "label", params)
+                return float(auc.evaluate(model.score(valid, ["label"])))
+
+            with ThreadPool(max(1, parallelism)) as pool:
+                for i, value in enumerate(pool.map(one, trials)):
+                    scores[i].append(value)
+        finally:
+            train.unpersist()
+            valid.unpersist()
+    means = [sum(s) / len(s) for s in scores]
+    rows = [(i, json.dumps(t, sort_keys=True), m) for i, (t, m) in enumerate(zip(trials, means))]
+    table = data.sparkSession.createDataFrame(rows, "trial int, params string, mean_roc_auc double")
+    return table, trials[max(range(len(trials)), key=lambda i: means[i])]

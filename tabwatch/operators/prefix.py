@@ -23,18 +23,30 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Broadcast a per-key side table only when its row count is proven below this bound.
-BROADCAST_ROW_LIMIT = 2_000_000
+#: Broadcast a side table only when its size is proven below this bound.
+BROADCAST_BYTES = 64 << 20
 
 
-def hint_small(df: DataFrame, max_rows: int | None) -> DataFrame:
-    """Broadcast ``df`` when the caller can bound its row count; otherwise leave the choice
-    to AQE, which broadcasts at run time only if the measured shuffle output is small."""
-    if max_rows is not None and max_rows <= BROADCAST_ROW_LIMIT:
+def hint_small(df: DataFrame, max_rows: int | None, row_bytes: int = 128) -> DataFrame:
+    """Broadcast ``df`` when the caller can bound its rows and their width; otherwise leave the
+    choice to AQE, which broadcasts at run time only if the measured output is small."""
+    if max_rows is not None and max_rows * row_bytes <= BROADCAST_BYTES:
         return F.broadcast(df)
     return df
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys where NULL equals NULL, so that no group is lost; the keys appear
+    once, as in a join by names."""
+    renamed = right.select(*[F.col(k).alias(f"__{k}") for k in keys],
+                           *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(F.col(f"__{k}"))
+        cond = c if cond is None else cond & c
+    return left.join(renamed, cond, how).drop(*[f"__{k}" for k in keys])
+
+
 def count_below(df: DataFrame, sorted_arr, value, max_len: int, out: str,
                 inclusive: bool = False) -> DataFrame:
     """``out`` = number of elements of the ascending array ``sorted_arr`` (at most
@@ -77,22 +89,24 @@ def _count_below_fold(arr, v, max_len: int, inclusive: bool = False):
 
 
 def _count_below_tree(arr, v, max_len: int, inclusive: bool = False):
-    """Binary search as a balanced ``CASE WHEN`` tree over ``element_at`` probes: O(max_len)
-    expression nodes, O(log max_len) comparisons per row, all inside whole-stage codegen (a
+    """Binary search as a balanced ``CASE WHEN`` tree over array probes: O(max_len) expression
+    nodes, O(log max_len) comparisons per row, all inside whole-stage codegen (a
     ``filter``/``aggregate`` lambda would be interpreted row by row). Each probe is guarded by
     the array size, so shorter arrays (e.g. after de-duplication) are fine."""
     n = F.size(arr)
 
     def below(i):  # element i (0-based) is below v
-        e = F.element_at(arr, i + 1)
+        e = F.get(arr, F.lit(i))
         return (n > i) & ((e <= v) if inclusive else (e < v))
 
+    probes = [below(i) for i in range(max_len)]
+
     def tree(lo: int, hi: int):
         # invariant: elements [0, lo) are below v, elements [hi, max_len) are not
         if lo >= hi:
             return F.lit(lo)
         mid = (lo + hi) // 2
-        return F.when(below(mid), tree(mid + 1, hi)).otherwise(tree(lo, mid))
+        return F.when(probes[mid], tree(mid + 1, hi)).otherwise(tree(lo, mid))
 
     return tree(0, max_len)
 
@@ -104,30 +118,28 @@ def _assign_buckets(df: DataFrame, bounds: DataFrame, keys: list[str], order_col
                     max_len: int, key_bound: int | None) -> DataFrame:
     """``_bucket`` = number of per-key cut points below the value.
 
-    Up to 31 cut points: one code-generated CASE tree. More (up to 1023): two levels -- a tree
-    over every 32nd cut point gives the chunk c, then a broadcast join on (key, c) brings the
-    31 cut points inside that chunk and a second tree finishes: bucket = 32 c + f. Rows carry
-    at most two 31-element arrays and evaluate ~10 comparisons, all in whole-stage codegen."""
+    A search with 32 branches: each level joins, by (key, place so far), the at most 31 cut
+    points that divide the range still open, and one code-generated CASE tree picks the part.
+    Any number of cut points: 1,023 take two levels, 32,767 three. Keys are compared
+    null-safe."""
     v = F.col(order_col)
-    if max_len <= TREE_MAX_LEN:
-        return (df.join(hint_small(bounds, key_bound), on=keys, how="inner")
-                .withColumn("_bucket", _count_below_tree(F.col("_bounds"), v, max_len))
-                .drop("_bounds"))
-    if max_len > _CHUNK * _CHUNK - 1:
-        raise ValueError(f"at most {_CHUNK * _CHUNK} buckets; got {max_len + 1}")
-    k = _CHUNK
-    coarse = bounds.select(*keys, F.filter("_bounds", lambda x, i: (i + 1) % k == 0).alias("_cb"))
-    fine = bounds.select(*keys, F.explode(F.sequence(F.lit(0), F.floor(F.size("_bounds") / k)
-                                                     .cast("int"))).alias("_c"), "_bounds") \
-        .select(*keys, "_c", F.slice("_bounds", F.col("_c") * k + 1, k - 1).alias("_fb"))
-    fine_bound = None if key_bound is None else key_bound * k
-    return (
-        df.join(hint_small(coarse, key_bound), on=keys, how="inner")
-        .withColumn("_c", _count_below_tree(F.col("_cb"), v, k - 1)).drop("_cb")
-        .join(hint_small(fine, fine_bound), on=[*keys, "_c"], how="inner")
-        .withColumn("_bucket", F.col("_c") * k + _count_below_tree(F.col("_fb"), v, k - 1))
-        .drop("_c", "_fb")
-    )
+    levels = 1
+    while _CHUNK ** levels - 1 < max_len:
+        levels += 1
+    out, bound = df.withColumn("_bucket", F.lit(0)), key_bound
+    for level in range(levels - 1, -1, -1):
+        step = _CHUNK ** level          # cut points between two neighbours of this level
+        width = step * _CHUNK           # cut points under one place of this level
+        parts = bounds.select(*keys, F.explode(F.sequence(
+            F.lit(0), F.floor(F.size("_bounds") / width).cast("int"))).alias("_p"), "_bounds")
+        cuts = parts.select(*keys, (F.col("_p") * width).alias("_bucket"), F.filter(
+            F.slice("_bounds", F.col("_p") * width + 1, width - 1),
+            lambda x, i: (i + 1) % step == 0).alias("_c"))
+        out = join_null_safe(out, hint_small(cuts, bound, 31 * 8 + 32), [*keys, "_bucket"]) \
+            .withColumn("_bucket", F.col("_bucket") + step * _count_below_tree(F.col("_c"), v, TREE_MAX_LEN)) \
+            .drop("_c")
+        bound = None if bound is None else bound * _CHUNK
+    return out
 
 
 @dataclass
@@ -153,17 +165,21 @@ class RunningTotals:
 
 def running_totals(df: DataFrame, keys: list[str], order_col: str, value_cols: list[str],
                    n_buckets: int = 1024, key_bound: int | None = None,
-                   accuracy: int = 10000) -> RunningTotals:
+                   accuracy: int = 10000, bounds_from: DataFrame | None = None) -> RunningTotals:
     """Inclusive running sums of ``value_cols`` ordered by ``order_col`` within ``keys``.
 
     ``key_bound``: an upper bound on the number of distinct keys when the caller knows it
     (e.g. the number of feature columns); enables broadcast of the per-key side tables.
+    ``bounds_from``: rows (keys, order column) whose sketch gives the bucket bounds, instead of
+    ``df`` itself; bounds only affect balance. NULL keys are groups of their own.
     """
     small = None if key_bound is None else key_bound * max(n_buckets, 1)
+    accuracy = max(accuracy, n_buckets)
     if n_buckets > 1:
         probs = [i / n_buckets for i in range(1, n_buckets)]
-        bounds = df.groupBy(*keys).agg(
-            F.array_distinct(F.percentile_approx(order_col, probs, accuracy)).alias("_bounds")
+        bounds = (df if bounds_from is None else bounds_from).groupBy(*keys).agg(F.coalesce(
+            F.array_distinct(F.percentile_approx(order_col, probs, accuracy)),
+            F.array().cast("array<double>")).alias("_bounds")
         )
         bucketed = _assign_buckets(df, bounds, keys, order_col, n_buckets - 1, key_bound)
     else:
@@ -183,7 +199,7 @@ def running_totals(df: DataFrame, keys: list[str], order_col: str, value_cols: l
     within = (Window.partitionBy(*keys, "_bucket").orderBy(order_col)
               .rangeBetween(Window.unboundedPreceding, Window.currentRow))
     rows = (
-        bucketed.join(hint_small(offsets, small), on=[*keys, "_bucket"], how="inner")
+        join_null_safe(bucketed, hint_small(offsets, small), [*keys, "_bucket"])
         .select(
             *bucketed.columns,
             *[(F.sum(c).over(within) + F.col(f"_off_{c}")).alias(f"cum_{c}")
@@ -237,7 +253,7 @@ def exact_quantiles(rt: RunningTotals, count_col: str, probs: list[float]) -> Da
     keys = rt.keys
     n = rt.buckets.groupBy(*keys).agg(F.sum(f"_tot_{count_col}").alias("_n"))
     targets = quantile_targets(n, keys, "_n", probs)
-    agg = (rt.rows.join(hint_small(targets, rt.key_bound), on=keys)
+    agg = (join_null_safe(rt.rows, hint_small(targets, rt.key_bound, 64 * len(probs)), keys)
            .groupBy(*keys, *[f"_fr_{i}" for i in range(len(probs))])
            .agg(*quantile_aggs(rt.order_col, count_col, f"cum_{count_col}", len(probs))))
     q = agg.select(*keys, F.array(*quantile_values(len(probs))).alias("_q"))

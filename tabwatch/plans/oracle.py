@@ -4,6 +4,7 @@ plain window functions for running sums, brute-force CASE sums for sweeps."""
 
 from __future__ import annotations
 
+from tabwatch.functions.hashing import double_text_sql
 from tabwatch.operators.drift import quantile_probs
 from tabwatch.plans import tables as T
 
@@ -13,10 +14,6 @@ def dbl(x: float) -> str:
     return f"'{float(x)!r}'::DOUBLE"
 
 
-def round_cols(cols: list[str], doubles: set[str], digits: int = 6) -> str:
-    return ", ".join(f"round({c}, {digits}) AS {c}" if c in doubles else c for c in cols)
-
-
 def long_numeric(src: str, cols: list[str], side: str) -> str:
     return " UNION ALL ".join(
         f"SELECT '{side}' AS side, '{c}' AS feature, CAST({c} AS DOUBLE) + 0.0 AS value "
@@ -250,43 +247,48 @@ def contract_rules_sql(contract, columns: list[str]) -> list[tuple[str, str, str
     return out
 
 
+def _unique_keys(contract) -> list[list[str]]:
+    return [[c.name] for c in contract.columns if c.unique] + [list(u) for u in contract.unique]
+
+
+def _dup_sql(src: str, key: list[str]) -> str:
+    cols = ", ".join(key)
+    present = " AND ".join(f"{c} IS NOT NULL" for c in key)
+    return f"SELECT {cols}, count(*) AS n FROM {src} q WHERE {present} GROUP BY {cols} HAVING count(*) > 1"
+
+
 def contract_summary_sql(src: str, contract, columns: list[str]) -> str:
     rules = contract_rules_sql(contract, columns)
     parts = [f"SELECT '{r}' AS rule, '{c}' AS column, CAST(count(*) FILTER (WHERE {b}) AS BIGINT)"
              f" AS n_violations FROM {src} t" for r, c, b in rules]
-    for c in contract.columns:
-        if c.unique and c.name in columns:
-            parts.append(
-                f"SELECT '{c.name}:unique' AS rule, '{c.name}' AS column, "
-                f"CAST(coalesce(sum(n), 0) AS BIGINT) AS n_violations FROM "
-                f"(SELECT {c.name}, count(*) AS n FROM {src} t WHERE {c.name} IS NOT NULL "
-                f"GROUP BY {c.name} HAVING count(*) > 1)")
+    for key in _unique_keys(contract):
+        name = ",".join(key)
+        parts.append(f"SELECT '{name}:unique' AS rule, '{name}' AS column, "
+                     f"CAST(coalesce(sum(n), 0) AS BIGINT) AS n_violations FROM ({_dup_sql(src, key)})")
     return "\nUNION ALL\n".join(parts)
 
 
 def contract_flags_sql(src: str, contract, columns: list[str]) -> str:
     """src columns + _violations (comma-joined rule names, '' when clean)."""
     rules = contract_rules_sql(contract, columns)
-    dups = [c.name for c in contract.columns if c.unique and c.name in columns]
-    joins = "".join(
-        f" LEFT JOIN (SELECT {d} AS _k_{d}, true AS _dup_{d} FROM {src} q WHERE {d} IS NOT NULL "
-        f"GROUP BY {d} HAVING count(*) > 1) ON t.{d} = _k_{d}" for d in dups)
-    items = [f"CASE WHEN {b} THEN '{r}' END" for r, _, b in rules]
-    items += [f"CASE WHEN coalesce(_dup_{d}, false) THEN '{d}:unique' END" for d in dups]
+    joins, items = "", [f"CASE WHEN {b} THEN '{r}' END" for r, _, b in rules]
+    for i, key in enumerate(_unique_keys(contract)):
+        on = " AND ".join(f"t.{c} = _u{i}.{c}" for c in key)
+        joins += f" LEFT JOIN ({_dup_sql(src, key)}) _u{i} ON {on}"
+        items.append(f"CASE WHEN _u{i}.n IS NOT NULL THEN '{','.join(key)}:unique' END")
     return f"(SELECT t.*, concat_ws(',', {', '.join(items)}) AS _violations FROM {src} t{joins})"
 
 
 def contract_detail_sql(src: str, contract, columns: list[str]) -> str:
-    key = ", ".join(contract.key)
+    key = ", ".join(f"t.{c}" for c in contract.key)
     rules = contract_rules_sql(contract, columns)
     parts = [f"SELECT {key}, '{r}' AS rule, '{c}' AS column FROM {src} t WHERE {b}"
              for r, c, b in rules]
-    for c in contract.columns:
-        if c.unique and c.name in columns:
-            parts.append(
-                f"SELECT {key}, '{c.name}:unique' AS rule, '{c.name}' AS column FROM {src} t "
-                f"WHERE {c.name} IN (SELECT {c.name} FROM {src} q WHERE {c.name} IS NOT NULL "
-                f"GROUP BY {c.name} HAVING count(*) > 1)")
+    for u in _unique_keys(contract):
+        on = " AND ".join(f"t.{c} = d.{c}" for c in u)
+        name = ",".join(u)
+        parts.append(f"SELECT {key}, '{name}:unique' AS rule, '{name.split(':')[0]}' AS column FROM {src} t "
+                     f"JOIN ({_dup_sql(src, u)}) d ON {on}")
     return "\nUNION ALL\n".join(parts)
 
 
@@ -351,3 +353,24 @@ def split_sql(src: str, key: str, stratum: str, test_size: float, val_size: floa
 TRAIN = (f"(SELECT p.* FROM {PROCESSED} p JOIN "
          f"{split_sql(PROCESSED, 'customer_id', 'churn', 0.2, 0.2, 42)} s "
          f"ON p.customer_id = s.customer_id WHERE s.split = 'train')")
+
+
+# --------------------------------------------------------------------------- fingerprint
+
+def fingerprint_sql(tbl: str, cols: list[tuple[str, str]]) -> str:
+    """cols: (name, DuckDB type)."""
+    def text(c: str, t: str) -> str:
+        if t in ("DOUBLE", "FLOAT"):
+            return double_text_sql(c, "VARCHAR")
+        if t == "TIMESTAMP":
+            return f"CAST(epoch_us({c}) AS VARCHAR)"
+        if t == "FLOAT[]":
+            return (f"array_to_string(list_transform({c}, lambda e: coalesce({double_text_sql('e', 'VARCHAR')}, 'N')), ',')")
+        return f"CAST({c} AS VARCHAR)"
+
+    fields = " || ".join(f"coalesce(CAST(length({text(c, t)}) AS VARCHAR) || ':' || {text(c, t)}, 'N')" for c, t in cols)
+    word = lambda k: f"('0x' || substr(d, {8 * k + 1}, 8))::BIGINT"
+    half = lambda k: f"CAST(sum({word(2 * k)}::HUGEINT * 4294967296 + {word(2 * k + 1)}) AS DECIMAL(38,0))"
+    xors = ", ".join(f"lpad(lower(to_hex(bit_xor({word(k)}))), 8, '0')" for k in range(4))
+    return (f"SELECT '{tbl}' AS table_name, count(*) AS n_rows, {half(0)} AS fp_sum_hi, {half(1)} AS fp_sum_lo, "
+            f"concat({xors}) AS fp_xor FROM (SELECT md5({fields}) AS d FROM {tbl})")

@@ -69,6 +69,7 @@ def scored_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 CHURN_CUTOFF = "2001-02-02 00:00:00"
 PROFILE_NUMERIC = ["tenure", "monthly_spend", "total_spend", "n_orders"]
 PROFILE_CATEGORICAL = ["segment", "nation"]
+NATIONS = [f"NATION_{i}" for i in range(25)]
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
@@ -106,11 +107,17 @@ def customer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def processed_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C1 on the profile: NULL tenure / spend -> 0, label churn = churned == 'Yes'."""
+# What a missing number of the profile becomes, for training and scoring alike.
+PROFILE_FILL = {"total_spend": 0.0, "monthly_spend": 0.0}
+
+
+def fill_profile(df: DataFrame, **label) -> DataFrame:
+    """C1 and C2 share this: NULL tenure / spend -> 0."""
     from tabwatch.operators.prep import fill_and_label
 
-    p = customer_profile(spark, sf_dir)
-    out = fill_and_label(p, {"total_spend": 0.0, "monthly_spend": 0.0}, label_src="churned",
-                         label="churn")
-    return out.withColumn("tenure", F.coalesce(F.col("tenure"), F.lit(0)))
+    return fill_and_label(df, PROFILE_FILL, **label).withColumn("tenure", F.coalesce(F.col("tenure"), F.lit(0)))
+
+
+def processed_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 on the profile: filled, label churn = churned == 'Yes'."""
+    return fill_profile(customer_profile(spark, sf_dir), label_src="churned", label="churn")

@@ -4,10 +4,10 @@ CSV reader. The values below are fixed: they must equal the source data's domain
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, StringType
 
-from tabwatch.operators.contracts import ColumnSpec, Contract
+from tabwatch.operators.contracts import ColumnSpec, Contract, validate
+from tabwatch.operators.prep import fill_and_label
 
 # Category domains of the customer table.
 BINARY = ("Yes", "No")
@@ -80,26 +80,23 @@ def raw_schema() -> StructType:
 
 
 def load_raw(spark: SparkSession, path: str) -> DataFrame:
-    """A1: header CSV -> typed frame. Unparseable numbers (e.g. a blank TotalCharges) become
-    NULL through try_cast; the contract then reports every violation."""
-    df = spark.read.schema(raw_schema()).option("header", True).csv(path)
-    typed = df.select(*[
-        F.expr(f"try_cast(trim(`{c}`) AS {RAW_CONTRACT.spec(c).dtype})").alias(c)
-        if RAW_CONTRACT.spec(c).dtype != "string" else F.col(c)
-        for c in RAW_ORDER])
-    return typed
+    """A1: header CSV -> typed, validated frame. The contract sees the text: a number that
+    does not parse, a value outside its domain or a repeated id raises ContractError with
+    every broken rule (a blank TotalCharges is NULL, which the contract allows)."""
+    return validate(spark.read.schema(raw_schema()).option("header", True).csv(path), RAW_CONTRACT)
 
 
-def preprocess(df: DataFrame) -> DataFrame:
-    """Drop the id, TotalCharges NULL -> 0.0, churn = (Churn == 'Yes') as int."""
-    from tabwatch.operators.prep import fill_and_label
+def _filled(df: DataFrame, **kw) -> DataFrame:
+    """The one expression that training (C1) and scoring (C2) share."""
+    return fill_and_label(df, {"TotalCharges": 0.0}, **kw)
+
 
-    return fill_and_label(df, {"TotalCharges": 0.0}, label_src="Churn", label=TARGET,
-                          drop=["customerID"])
+def preprocess(df: DataFrame) -> DataFrame:
+    """Drop the id, TotalCharges NULL -> 0.0, churn = (Churn == 'Yes') as int; the result
+    must meet the processed contract."""
+    return validate(_filled(df, label_src="Churn", label=TARGET, drop=["customerID"]), PROCESSED_CONTRACT)
 
 
 def preprocess_scoring(df: DataFrame) -> DataFrame:
     """The same fill for label-less records."""
-    from tabwatch.operators.prep import fill_and_label
-
-    return fill_and_label(df, {"TotalCharges": 0.0})
+    return _filled(df)

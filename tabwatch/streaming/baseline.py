@@ -14,16 +14,20 @@ full PSI over the union of bins without materialising windows x bins.
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwatch.operators.drift import EMPTY_BIN_PROPORTION, _NumericDrift
 from tabwatch.operators.prefix import count_below_expr, hint_small
+from tabwatch.session import ensure_checkpoint_dir
 
 EPS = EMPTY_BIN_PROPORTION
+BASELINE_VERSION = 1
 
 
 @dataclass
@@ -40,7 +44,7 @@ class Baseline:
         for f in self.numeric:
             e = self.edges[f]
             inner = F.array(*[F.lit(float(x)) for x in e[1:-1]]) if len(e) >= 2 else F.array().cast("array<double>")
-            v = F.col(f).cast("double") + F.lit(0.0)
+            v = F.nanvl(F.col(f).cast("double") + F.lit(0.0), F.lit(None).cast("double"))
             b = F.when(v.isNotNull(), count_below_expr(inner, v, max(len(e) - 2, 0), True)
                        .cast("string"))
             out.append(F.struct(F.lit(f).alias("feature"), b.alias("bin")))
@@ -61,20 +65,37 @@ def binned(df: DataFrame, baseline: Baseline, keep: Sequence[str] = ()) -> DataF
 
 
 def fit_baseline(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
-                 n_bins: int = 10) -> Baseline:
-    """Exact baseline edges (collected: features x (n_bins + 1) values) and bin shares."""
+                 n_bins: int = 10, path: str | None = None) -> Baseline:
+    """Exact baseline edges (collected: features x (n_bins + 1) values) and bin shares. The
+    baseline is frozen: both are written to ``path`` (by default a new folder below the shared
+    checkpoint folder), and the shares are read from there ever after."""
+    spark = df.sparkSession
+    path = path or f"{ensure_checkpoint_dir(spark).rstrip('/')}/tabwatch-baseline-{uuid.uuid4().hex}"
     edges: dict[str, list[float]] = {}
     if numeric:
-        nd = _NumericDrift(df, df.limit(0), list(numeric))
-        edges = {r["feature"]: list(r["edges"]) for r in nd.edges(n_bins).collect()}
-        for f in numeric:
-            edges.setdefault(f, [])
+        edges = _NumericDrift(df, df.limit(0), list(numeric)).edges(n_bins)
     b = Baseline(edges, list(numeric), list(categorical), None)  # type: ignore[arg-type]
     counts = binned(df, b).groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n"))
     tot = counts.groupBy("feature").agg(F.sum("n").alias("_n"))
-    b.props = counts.join(hint_small(tot, len(numeric) + len(categorical)), "feature").select(
+    props = counts.join(hint_small(tot, len(numeric) + len(categorical)), "feature").select(
         "feature", "bin", (F.col("n") / F.col("_n")).alias("pb"))
-    return b
+    props.write.mode("overwrite").parquet(f"{path}/props")
+    meta = json.dumps({"version": BASELINE_VERSION, "edges": edges, "numeric": list(numeric),
+                       "categorical": list(categorical)})
+    spark.createDataFrame([(meta,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
+    return load_baseline(spark, path)
+
+
+def load_baseline(spark: SparkSession, path: str) -> Baseline:
+    """A stored baseline; refuses other folders and versions."""
+    try:
+        meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
+    except Exception as e:  # noqa: BLE001
+        raise TypeError(f"{path} is not a saved baseline: {e}") from e
+    if meta.get("version") != BASELINE_VERSION:
+        raise TypeError(f"{path} has version {meta.get('version')}, expected {BASELINE_VERSION}")
+    props = spark.read.schema("feature string, bin string, pb double").parquet(f"{path}/props")
+    return Baseline(meta["edges"], meta["numeric"], meta["categorical"], props)
 
 
 def psi_from_counts(counts: DataFrame, baseline: Baseline, keys: Sequence[str]) -> DataFrame:

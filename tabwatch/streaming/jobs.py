@@ -81,7 +81,11 @@ def drift_stream(stream: DataFrame, baseline: Baseline, ts_col: str, out_path: s
     )
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        _write_batch(psi_from_counts(batch, baseline, ["window_start"]), out_path, batch_id)
+        batch = batch.persist()
+        try:
+            _write_batch(psi_from_counts(batch, baseline, ["window_start"]), out_path, batch_id)
+        finally:
+            batch.unpersist()
 
     w = counts.writeStream.outputMode("append").foreachBatch(sink).option(
         "checkpointLocation", _checkpoint(spark, "drift", checkpoint))

@@ -105,7 +105,7 @@ def test_train_all_and_batch_scoring(spark, processed):
     from tabwatch.operators import scoring as SC
     from tabwatch.operators import split as S
     data = S.stratified_split(processed.withColumn("id", F.monotonically_increasing_id()),
-                              "id", "churn", strata_bound=2)
+                              "id", "churn")
     pipe = FE.build_feature_pipeline(T.NUMERICAL, "tenure", T.CATEGORICAL)
     fm, fitted, metrics = M.train_all(data, pipe, "churn", ["logreg"], key="id")
     rows = {(r.model, r.split): r for r in metrics.collect()}
@@ -124,7 +124,7 @@ def test_train_all_and_batch_scoring(spark, processed):
 def test_tuning_trials(spark, processed):
     from tabwatch.operators import split as S
     folds = S.stratified_folds(processed.withColumn("id", F.monotonically_increasing_id()),
-                               "id", "churn", k=2, strata_bound=2)
+                               "id", "churn", k=2)
     pipe = FE.build_feature_pipeline(T.NUMERICAL, "tenure", T.CATEGORICAL)
     table, best = M.tune("logreg", folds, pipe, "churn", "fold", n_trials=2, seed=1)
     rows = table.collect()
