@@ -24,7 +24,9 @@ from tabwatch.llm import pretokens as P
 from tabwatch.llm.common import text_or_empty
 
 CHUNK = 256          # bytes of a chunk
-MAX_STATES = 120_000  # beyond it the table is emptied between batches and made anew
+MAX_STATES = 100_000  # beyond it the table is emptied between batches and made anew
+BATCH = 1 << 20      # characters advanced at once
+GROW = 1 << 14       # states by which the table grows
 START, WAIT = 0, 1   # after a boundary; before the first boundary of a chunk (emits nothing)
 
 
@@ -54,9 +56,9 @@ class Transducer:
         self.clear()
 
     def clear(self) -> None:
-        self.next = np.full((1 << 12, 256), -1, np.int32)
-        self.delta = np.zeros((1 << 12, 256), np.int16)
-        self.next[WAIT] = WAIT
+        """An empty table. A cell holds 64 * next state + emitted tokens + 32, or -1."""
+        self.table = np.full((GROW, 256), -1, np.int32)
+        self.table[WAIT] = 64 * WAIT + 32
         self.states: list[tuple] = [(b"", (None,), (0,)), ()]
         self.number = {self.states[START]: START}
 
@@ -107,20 +109,21 @@ class Transducer:
         if number is None:
             number = self.number[new] = len(self.states)
             self.states.append(new)
-            if number >= len(self.next):
-                more = np.full((len(self.next), 256), -1, np.int32)
-                self.next = np.concatenate([self.next, more])
-                self.delta = np.concatenate([self.delta, np.zeros_like(more, np.int16)])
-        self.next[state, byte], self.delta[state, byte] = number, grown
+            if number >= len(self.table):
+                self.table.resize((len(self.table) + GROW, 256), refcheck=False)
+                self.table[-GROW:] = -1
+        if not -32 <= grown < 32:
+            raise AssertionError("a transition emits too many tokens for its cell")
+        self.table[state, byte] = 64 * number + grown + 32
 
     def _step(self, state: np.ndarray, byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = (state.astype(np.int64) << 8) | byte
-        new = self.next.ravel()[at]
-        if (new < 0).any():
-            for key in np.unique(at[new < 0]).tolist():
+        cell = self.table.ravel()[at]
+        if (cell < 0).any():
+            for key in np.unique(at[cell < 0]).tolist():
                 self._make(key >> 8, key & 255)
-            new = self.next.ravel()[at]
-        return new, self.delta.ravel()[at]
+            cell = self.table.ravel()[at]
+        return cell >> 6, (cell & 63) - 32
 
     def _emitted(self, u8: np.ndarray, reset: np.ndarray) -> np.ndarray:
         """Tokens emitted at each byte; ``reset``: where pre-tokens begin (at 0 in any case)."""
@@ -129,7 +132,7 @@ class Transducer:
         data = np.ascontiguousarray(np.pad(u8, (0, pad)).reshape(n, CHUNK).T)
         cut = np.pad(reset, (0, pad), constant_values=True).reshape(n, CHUNK)
         cut_t = np.ascontiguousarray(cut.T)
-        out = np.zeros((CHUNK, n), np.int16)
+        out = np.zeros((CHUNK, n), np.int8)
         state = np.full(n, WAIT, np.int32)
         for k in range(CHUNK):
             state, out[k] = self._step(np.where(cut_t[k], START, state), data[k])
@@ -154,7 +157,7 @@ class Transducer:
 
     def count(self, texts: list[str]) -> np.ndarray:
         total = np.zeros(len(texts), np.int64)
-        for first, part in P.small_batches(texts, 4 << 20):
+        for first, part in P.small_batches(texts, BATCH):
             if len(self.states) > MAX_STATES:
                 self.clear()
                 self._pairs.clear()
