@@ -9,8 +9,9 @@ on skipped keys are counted by comparing the signatures of a candidate pair.
 
 Texts with equal shingle sets are one class. In each posting list the classes are first
 compared with the list's best connected class, which joins groups of near copies at a cost
-linear in the list; then pairs of one list that are still in different components are
-compared. Links are confirmed on the full shingle sets."""
+linear in the list. Members of one list that are still in different components are compared in
+blocks of bounded size, inside the tasks; only pairs with enough collisions leave them, each
+pair from one list. Links are confirmed on the full shingle sets."""
 
 from __future__ import annotations
 
@@ -25,17 +26,21 @@ from pyspark.sql import functions as F
 from tabwatch.llm.common import packed, shared_dir, stored, text_or_empty, unpacked
 
 WORDS = 5
-SIGNATURE = 64
-MATCHES = 32
+SIGNATURE = 64           # coordinates that are posted
+MATCHES = 32             # collisions among them, at least
+MORE = 128               # further coordinates (8 bits each) that are only counted
+ENOUGH = 116             # collisions among all, at least: 4.7 deviations under a similarity of 0.75
+BLOCK = 256              # classes of a posting list that are held together
 SIMILAR = 75             # percent
 BROADCAST_IDS = 1_000_000  # ids of texts to be compared in full; more are shuffled
+BROADCAST_SHINGLES = 3_000_000  # shingles (8 bytes each) of those texts; more are shuffled
 SLICE = 1 << 20          # bytes hashed at once
 
 _rng = np.random.default_rng(20240501)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = _rng.integers(1, 1 << 63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_XOR = _rng.integers(0, 1 << 63, SIGNATURE, dtype=np.uint64)
-_TIMES = _rng.integers(1, 1 << 63, SIGNATURE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_XOR = _rng.integers(0, 1 << 63, SIGNATURE + MORE, dtype=np.uint64)
+_TIMES = _rng.integers(1, 1 << 63, SIGNATURE + MORE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -96,11 +101,13 @@ def shingle_sets(texts: list[str]) -> Iterator[np.ndarray]:
         yield np.unique(s)
 
 
-def signature(s: np.ndarray) -> np.ndarray:
-    least = np.full(SIGNATURE, np.iinfo(np.uint64).max, np.uint64)
-    for k in range(0, len(s), 1024):
-        least = np.minimum(least, ((s[k:k + 1024, None] ^ _XOR) * _TIMES).min(0))
-    return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
+def signature(s: np.ndarray) -> tuple[np.ndarray, bytes]:
+    """(posted coordinates, 8 bits of each further coordinate)."""
+    least = np.full(SIGNATURE + MORE, np.iinfo(np.uint64).max, np.uint64)
+    for k in range(0, len(s), 512):
+        least = np.minimum(least, ((s[k:k + 512, None] ^ _XOR) * _TIMES).min(0))
+    high = (least >> np.uint64(32)).astype(np.uint32)
+    return high[:SIGNATURE].view(np.int32), _mix(least[SIGNATURE:]).astype(np.uint8).tobytes()
 
 
 def _small(texts: list[str], chars: int = 1 << 19) -> Iterator[tuple[int, int]]:
@@ -118,18 +125,21 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         texts = b.column(2).to_pylist()
         for i, j in _small(texts):
-            n, cid, sig, ends = [], [], [], [0]
+            n, cid, sig, more, ends = [], [], [], [], [0]
             for s in shingle_sets(texts[i:j]):
                 n.append(len(s))
                 cid.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                 if len(s):
-                    sig.append(signature(s))
+                    posted, counted = signature(s)
+                    sig.append(posted)
+                more.append(counted if len(s) else None)
                 ends.append(len(sig) * SIGNATURE)
             flat = np.concatenate(sig) if sig else np.empty(0, np.int32)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), pa.array(n, pa.int64()),
-                 pa.array(cid, pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
-                ["doc_id", "h", "n_shingles", "cid", "sig"])
+                 pa.array(cid, pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
+                 pa.array(more, pa.binary())],
+                ["doc_id", "h", "n_shingles", "cid", "sig", "more"])
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,23 +155,97 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def sign_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, h (text hash), n_shingles, cid (digest of the shingle set; null if empty), sig."""
+    """doc_id, h (text hash), n_shingles, cid (digest of the shingle set; null if empty), sig,
+    more."""
     t = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     return t.select("doc_id", F.xxhash64("text").alias("h"), "text").mapInArrow(
-        _sign, "doc_id long, h long, n_shingles long, cid binary, sig array<int>")
+        _sign, "doc_id long, h long, n_shingles long, cid binary, sig array<int>, more binary")
 
 
 def prefix_postings(classes: DataFrame) -> DataFrame:
-    """token, cid, hub: the rarest keys of each class, as many as a similar pair can't miss.
-    hub grows with the number of classes that share the keys of this one."""
+    """token, k (its coordinate), cid, hub, mask: the rarest keys of each class, as many as a
+    similar pair can't miss. hub grows with the number of classes that share the keys of this
+    one; mask has the bits of all coordinates in the prefix."""
     keys = classes.select("cid", F.posexplode("sig").alias("k", "v")) \
-        .select("cid", F.xxhash64("k", "v").alias("token"))
+        .select("cid", "k", F.xxhash64("k", "v").alias("token"))
     lists = keys.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     own = keys.join(lists, "token").groupBy("cid").agg(
-        F.sort_array(F.collect_list(F.struct("n", "token"))).alias("t"), F.sum("n").alias("hub"))
-    return own.where(F.size("t") >= MATCHES).select(
-        "cid", "hub", F.explode(F.slice("t", 1, F.size("t") - (MATCHES - 1))).alias("x")) \
-        .select(F.col("x.token").alias("token"), "cid", "hub")
+        F.sort_array(F.collect_list(F.struct("n", "token", "k"))).alias("t"), F.sum("n").alias("hub"))
+    prefix = own.where(F.size("t") >= MATCHES).select(
+        "cid", "hub", F.slice("t", 1, F.size("t") - (MATCHES - 1)).alias("t"))
+    return prefix.select("cid", "hub", F.expr("aggregate(t, 0L, (m, x) -> m | shiftleft(1L, x.k))").alias("mask"),
+                         F.explode("t").alias("x")) \
+        .select(F.col("x.token").alias("token"), F.col("x.k").alias("k"), "cid", "hub", "mask")
+
+
+def _cell_pairs(rows: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
+    """Pairs of one cell (token, i, j) that are in different components, have enough collisions
+    and share no earlier coordinate of both prefixes (so that only one list gives the pair).
+    Rows: i, j, block, k, cid, label, mask, sig, more."""
+    i, j, _, k = rows[0][:4]
+    side = [r for r in rows if r[2] == i], [r for r in rows if r[2] == j]
+    left, right = (sorted(x, key=lambda r: r[4]) for x in side)
+    if not left or not right:
+        return
+    names: dict[bytes, int] = {}
+    pack = lambda x: (np.array([r[7] for r in x], np.int32), np.frombuffer(b"".join(r[8] for r in x), np.uint8).reshape(len(x), -1),
+                      np.array([names.setdefault(r[5], len(names)) for r in x]),
+                      (np.array([r[6] for r in x], np.int64)[:, None] >> np.arange(SIGNATURE)) & 1 == 1)
+    sa, ma, la, ba = pack(left)
+    sb, mb, lb, bb = pack(right)
+    for a in range(len(left)):
+        met = sa[a] == sb
+        ok = (met.sum(1) >= MATCHES) & (lb != la[a])
+        if i == j:
+            ok[:a + 1] = False
+        at = np.flatnonzero(ok)
+        if not len(at):
+            continue
+        enough = met[at].sum(1) + (mb[at] == ma[a]).sum(1) >= ENOUGH
+        first = (met[at] & ba[a] & bb[at]).argmax(1) == k
+        for b in at[enough & first].tolist():
+            x, y = left[a][4], right[b][4]
+            yield (x, y) if x < y else (y, x)
+
+
+def _compare_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by (token, i, j); a cell's rows are held together, no more."""
+    found: list[tuple[bytes, bytes]] = []
+    current, rows = None, []
+    emit = lambda: pa.RecordBatch.from_arrays(
+        [pa.array(c, pa.binary()) for c in zip(*found)], ["a", "b"])
+    for batch in batches:
+        for row in zip(*(batch.column(c).to_pylist() for c in range(batch.num_columns))):
+            if row[:3] != current:
+                if rows:
+                    found += _cell_pairs(rows)
+                    if len(found) >= 20_000:
+                        yield emit()
+                        found.clear()
+                current, rows = row[:3], []
+            rows.append(row[1:])
+    if rows:
+        found += _cell_pairs(rows)
+    if found:
+        yield emit()
+
+
+def pairs_apart(posts: DataFrame, label: DataFrame, classes: DataFrame) -> DataFrame:
+    """a, b: candidate pairs of the posting lists whose members lie in several components. A
+    list is cut into blocks; a member goes to one cell for each block of its list."""
+    at = posts.select("token", "k", "cid", "mask").join(label, F.col("cid") == F.col("node"), "left") \
+        .select("token", "k", "cid", "mask", F.coalesce("label", "cid").alias("label"))
+    open_lists = at.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
+                                         F.count(F.lit(1)).alias("n")) \
+        .where("lo <> hi").select("token", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    rows = at.join(open_lists, "token").join(classes.select("cid", "sig", "more"), "cid") \
+        .withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")) \
+        .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = rows.select("token", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"),
+                        "block", "k", "cid", "label", "mask", "sig", "more")
+    n = int(posts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cells.repartition(n, "token", "i", "j").sortWithinPartitions("token", "i", "j") \
+        .mapInArrow(_compare_cells, "a binary, b binary")
 
 
 def _similar(pairs: DataFrame, classes: DataFrame, docs: DataFrame, path: str) -> DataFrame:
@@ -182,8 +266,10 @@ def _similar(pairs: DataFrame, classes: DataFrame, docs: DataFrame, path: str) -
         .join(both.select("cid").distinct(), "cid", "left_semi").dropDuplicates(["cid"])
     sets = stored(sets, f"{path}-sets")
     common = F.size(F.array_intersect("sa", "sb"))
-    return stored(near.select("a", "b").join(sets.select(F.col("cid").alias("a"), F.col("shingles").alias("sa")), "a")
-                  .join(sets.select(F.col("cid").alias("b"), F.col("shingles").alias("sb")), "b")
+    total = sets.agg(F.sum(F.size("shingles")).alias("n")).first().n or 0
+    hint = F.broadcast if total <= BROADCAST_SHINGLES else lambda d: d
+    return stored(near.select("a", "b").join(hint(sets.select(F.col("cid").alias("a"), F.col("shingles").alias("sa"))), "a")
+                  .join(hint(sets.select(F.col("cid").alias("b"), F.col("shingles").alias("sb"))), "b")
                   .where(100 * common >= SIMILAR * (F.size("sa") + F.size("sb") - common))
                   .select("a", "b"), f"{path}-links")
 
@@ -226,7 +312,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     folder = shared_dir(spark)
     signed = stored(sign_documents(docs, id_col, text_col), f"{folder}/signed")
     classes = stored(signed.where("cid IS NOT NULL").groupBy("cid").agg(
-        F.min("doc_id").alias("rep"), F.first("sig").alias("sig")), f"{folder}/classes")
+        F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("more").alias("more")), f"{folder}/classes")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     posts = stored(prefix_postings(classes), f"{folder}/postings")
 
@@ -239,16 +325,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = _similar(first, classes, texts, f"{folder}/1")
     label = components(links, f"{folder}/c1")
 
-    # pairs of a list that are still apart
-    at = posts.select("token", "cid").join(label, F.col("cid") == F.col("node"), "left") \
-        .select("token", "cid", F.coalesce("label", "cid").alias("label"))
-    open_lists = at.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")) \
-        .where("lo <> hi").select("token")
-    left = stored(at.join(open_lists, "token"), f"{folder}/open")
-    apart = left.select("token", F.col("cid").alias("a"), F.col("label").alias("la")).join(
-        left.select("token", F.col("cid").alias("b"), F.col("label").alias("lb")), "token") \
-        .where("a < b AND la <> lb").select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
-    more = _similar(stored(apart, f"{folder}/pairs2"), classes, texts, f"{folder}/2")
+    # members of a list that are still apart
+    apart = stored(pairs_apart(posts, label, classes), f"{folder}/pairs2")
+    more = _similar(apart, classes, texts, f"{folder}/2")
     if not more.isEmpty():
         label = components(links.unionByName(more), f"{folder}/c2")
 
