@@ -27,7 +27,7 @@ def corpus(spark):
             w[r.randrange(40)] = r.choice(["idiot", "moron", "loser"])
         docs.append((k, " ".join(w)))
         labels.append((k, 1, int(toxic)))
-    docs += [(1000, None), (1001, ""), (None, "you idiot"), (1002, "what an 1d10t you are"), (1003, "a l o s e r here"),
+    docs += [(1000, None), (1001, ""), (None, "you idiot"), (1002, "what an 1d10t you are"), (1003, "what l o s e r here"),
              (1004, "moooorooon"), (1005, "brown dogs " * 20000 + "m0r0n"), (1006, "2001 was 100% fine"), (0, docs[0][1])]
     labels += [(None, 0, 1), (5, 1, None), (6, None, 0)]
     return (spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "0 AS score", "1 AS toxic"),
