@@ -14,6 +14,7 @@ import functools
 import heapq
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -23,12 +24,14 @@ from pyspark.sql import functions as F
 from tabwatch.llm.common import text_or_empty
 
 SPACE = "▁"
-MAX_KEPT = 400_000  # segments a worker keeps; then it begins anew
+MAX_KEPT = 600_000  # segments a worker keeps; then it begins anew
+SHORT = 48          # symbols up to which a plain list is the agenda; beyond it a heap
+NO_PIECE = (float("inf"), -1)
 SEGMENT = re.compile(f" *[^ \n{SPACE}]+| +|\n|{SPACE}")
 
 
 class Codec:
-    def __init__(self, model: str, dropout: float = 0.1, seed: int = 0, variants: int = 4):
+    def __init__(self, model: str, dropout: float = 0.1, seed: int = 0, variants: int = 2):
         import sentencepiece
 
         if not (0 <= dropout <= 1 and variants >= 1):
@@ -67,7 +70,40 @@ class Codec:
         if seg == SPACE:  # this character itself, not a space
             return np.array([self.byte_id[b] for b in SPACE.encode()], "<u4").tobytes()
         key = zlib.crc32(seg.encode(), (self.seed * 0x01000193 + variant) & 0xFFFFFFFF)
-        sym: list[str | None] = list(seg.replace(" ", SPACE))
+        sym = list(seg.replace(" ", SPACE))
+        sym = self._short(sym, key) if len(sym) <= SHORT else self._long(sym, key)
+        ids = array("I")
+        for s in sym:
+            if p := self.piece.get(s):
+                ids.append(p[1])
+            else:
+                ids.extend([self.byte_id[b] for b in s.encode()])
+        return ids.tobytes()
+
+    def _short(self, sym: list[str], key: int) -> list[str]:
+        """Merges with the scores of the neighbours in a list; the first least one is due."""
+        get, none = self.piece.get, NO_PIECE
+        due = [get(a + b, none) for a, b in zip(sym, sym[1:])]
+        place = list(range(len(sym)))
+        while due:
+            best = min(due)
+            if best is none:
+                break
+            i = due.index(best)
+            if self.dropped and self._skip(key, place[i], best[1]):
+                due[i] = none
+                continue
+            sym[i] += sym.pop(i + 1)
+            del due[i], place[i + 1]
+            if i < len(due):
+                due[i] = get(sym[i] + sym[i + 1], none)
+            if i:
+                due[i - 1] = get(sym[i - 1] + sym[i], none)
+        return sym
+
+    def _long(self, start: list[str], key: int) -> list[str]:
+        """The same merges with a heap."""
+        sym: list[str | None] = list(start)
         n = len(sym)
         left, right = list(range(-1, n - 1)), list(range(1, n + 1))
         piece, agenda = self.piece, []
@@ -91,14 +127,7 @@ class Codec:
             if (k := left[i]) >= 0:
                 if p := piece.get(sym[k] + sym[i]):
                     heapq.heappush(agenda, (p[0], k, i, p[1], size + len(sym[k])))
-        ids: list[int] = []
-        for s in sym:
-            if s is not None:
-                if p := piece.get(s):
-                    ids.append(p[1])
-                else:
-                    ids += [self.byte_id[b] for b in s.encode()]
-        return np.array(ids, "<u4").tobytes()
+        return [s for s in sym if s is not None]
 
     def encode(self, text: str, variant: int = 0) -> np.ndarray:
         kept = self.kept[variant]
@@ -124,7 +153,7 @@ def codec(model: str, dropout: float, seed: int, variants: int) -> Codec:
     return Codec(model, dropout, seed, variants)
 
 
-def encoder(model: str, dropout: float = 0.1, seed: int = 0, variants: int = 4):
+def encoder(model: str, dropout: float = 0.1, seed: int = 0, variants: int = 2):
     """A column function (id, text) -> ids. The id only picks the text's variant."""
     @F.arrow_udf("array<int>")
     def ids(doc_id: pa.Array, text: pa.Array) -> pa.Array:
@@ -149,7 +178,7 @@ def decoder(model: str):
 
 
 def encode_documents(docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 0,
-                     variants: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                     variants: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text, ids (array<int>) of each row. Null text: empty, no ids. Repeated rows get
     equal ids; null ids are kept. Empty table: no rows. No shuffle."""
     t = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))

@@ -127,6 +127,13 @@ def test_codec_is_lossless_seeded_and_varied():
     assert len(none.encode("abc def")) == 8
 
 
+def test_list_and_heap_agendas_merge_alike():
+    c = sp_codec.Codec(Q.PIECE_BPE, 0.3, 7, 1)
+    for k, t in enumerate(texts()):
+        for w in t.split():
+            assert c._short(list(w), k) == c._long(list(w), k)
+
+
 def test_codec_report_rows(spark):
     rows = [(1, "hello"), (1, "hello"), (2, None), (None, ""), (3, "ab " * 40000)]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "array(1) AS ids", "'x' AS decoded")
