@@ -15,6 +15,7 @@ import heapq
 import re
 import zlib
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,16 +23,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwatch.llm.common import text_or_empty
+from tabwatch.llm.pretokens import small_batches
 
 SPACE = "▁"
-MAX_KEPT = 600_000  # segments a worker keeps; then it begins anew
+MAX_KEPT = 400_000  # segments a worker keeps; then it begins anew
 SHORT = 48          # symbols up to which a plain list is the agenda; beyond it a heap
 NO_PIECE = (float("inf"), -1)
 SEGMENT = re.compile(f" *[^ \n{SPACE}]+| +|\n|{SPACE}")
 
 
 class Codec:
-    def __init__(self, model: str, dropout: float = 0.1, seed: int = 0, variants: int = 2):
+    def __init__(self, model: str, dropout: float = 0.1, seed: int = 0, variants: int = 1):
         import sentencepiece
 
         if not (0 <= dropout <= 1 and variants >= 1):
@@ -82,7 +84,7 @@ class Codec:
 
     def _short(self, sym: list[str], key: int) -> list[str]:
         """Merges with the scores of the neighbours in a list; the first least one is due."""
-        get, none = self.piece.get, NO_PIECE
+        get, none, dropped = self.piece.get, NO_PIECE, self.dropped
         due = [get(a + b, none) for a, b in zip(sym, sym[1:])]
         place = list(range(len(sym)))
         while due:
@@ -90,7 +92,7 @@ class Codec:
             if best is none:
                 break
             i = due.index(best)
-            if self.dropped and self._skip(key, place[i], best[1]):
+            if dropped and self._skip(key, place[i], best[1]):
                 due[i] = none
                 continue
             sym[i] += sym.pop(i + 1)
@@ -153,36 +155,41 @@ def codec(model: str, dropout: float, seed: int, variants: int) -> Codec:
     return Codec(model, dropout, seed, variants)
 
 
-def encoder(model: str, dropout: float = 0.1, seed: int = 0, variants: int = 2):
-    """A column function (id, text) -> ids. The id only picks the text's variant."""
-    @F.arrow_udf("array<int>")
-    def ids(doc_id: pa.Array, text: pa.Array) -> pa.Array:
-        c = codec(model, dropout, seed, variants)
-        parts = [c.encode(t, zlib.crc32(str(i).encode()) % variants)
-                 for i, t in zip(doc_id.to_pylist(), text.to_pylist())]
-        ends = np.cumsum([0, *map(len, parts)])
-        flat = np.concatenate(parts).astype(np.int32) if parts else np.empty(0, np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
-    return ids
-
-
 def decoder(model: str):
     """A column function ids -> text."""
     @F.arrow_udf("string")
     def text(ids: pa.Array) -> pa.Array:
         c = codec(model, 0.0, 0, 1)
-        flat, ends = ids.flatten().to_pylist(), ids.offsets.to_numpy()
+        flat, ends = ids.flatten().to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
         ends = (ends - ends[0]).tolist()
-        return pa.array([c.decode(flat[a:b]) for a, b in zip(ends, ends[1:])], pa.string())
+        return pa.array([c.decode(flat[a:b].tolist()) for a, b in zip(ends, ends[1:])], pa.string())
     return text
 
 
+def _encode(model: str, dropout: float, seed: int, variants: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = codec(model, dropout, seed, variants)
+        for batch in batches:
+            for i, part in small_batches(batch.column(1).to_pylist()):
+                keys = batch.column(0).slice(i, len(part))
+                ids = [c.encode(t, zlib.crc32(str(k).encode()) % variants)
+                       for k, t in zip(keys.to_pylist(), part)]
+                ends = np.cumsum([0, *map(len, ids)])
+                yield pa.RecordBatch.from_arrays(
+                    [keys, batch.column(1).slice(i, len(part)),
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids).astype(np.int32)))],
+                    ["doc_id", "text", "ids"])
+    return run
+
+
 def encode_documents(docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 0,
-                     variants: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text, ids (array<int>) of each row. Null text: empty, no ids. Repeated rows get
-    equal ids; null ids are kept. Empty table: no rows. No shuffle."""
+                     variants: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, text, ids (array<int>) of each row; the id only picks the text's variant. Null
+    text: empty, no ids. Repeated rows get equal ids; null ids are kept. Empty table: no rows.
+    No shuffle."""
     t = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
-    return t.withColumn("ids", encoder(model, dropout, seed, variants)("doc_id", "text"))
+    kind = t.schema["doc_id"].dataType.simpleString()
+    return t.mapInArrow(_encode(model, dropout, seed, variants), f"doc_id {kind}, text string, ids array<int>")
 
 
 def decode_documents(encoded: DataFrame, model: str) -> DataFrame:
