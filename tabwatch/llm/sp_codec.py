@@ -29,7 +29,7 @@ SPACE = "▁"
 MAX_KEPT = 400_000  # segments a worker keeps; then it begins anew
 SHORT = 48          # symbols up to which a plain list is the agenda; beyond it a heap
 NO_PIECE = (float("inf"), -1)
-SEGMENT = re.compile(f" *[^ \n{SPACE}]+| +|\n|{SPACE}")
+PUNCTUATION = ".,;:!?%&*#$|\")]}"
 
 
 class Codec:
@@ -60,6 +60,12 @@ class Codec:
             raise ValueError(f"{model} has no byte fallback or no space piece")
         if bad := [p for p in self.piece if re.search(f"[^{SPACE}]{SPACE}", p) or "\n" in p]:
             raise ValueError(f"pieces that cross a word's end: {bad[:3]}")
+        # no merge joins a letter with a mark that never follows a letter in a piece, so a text
+        # may be cut there, too
+        marks = "".join(re.escape(c) for c in PUNCTUATION
+                        if not any(re.search(rf"[^\W\d_]{re.escape(c)}", p) for p in self.piece))
+        cut = rf" *[^ \n{SPACE}{marks}]+(?<=[^\W\d_])(?=[{marks}])|" if marks else ""
+        self.segments = re.compile(rf"{cut} *[^ \n{SPACE}]+| +|\n|{SPACE}")
         self.kept: list[dict[str, bytes]] = [{} for _ in range(variants)]
 
     def _skip(self, key: int, place: int, piece: int) -> bool:
@@ -135,7 +141,7 @@ class Codec:
         kept = self.kept[variant]
         if len(kept) > MAX_KEPT // self.variants:
             kept.clear()
-        segs = SEGMENT.findall(" " + text) if text else []
+        segs = self.segments.findall(" " + text) if text else []
         out = []
         for s in segs:
             ids = kept.get(s)
