@@ -1,21 +1,26 @@
 """SentencePiece BPE encoding with seeded merge-dropout, and lossless decoding.
 
-The agenda holds the possible merges of a segment by score. When a candidate is due, a keyed
-hash of (seed, variant, segment, place, merged piece) decides whether it is skipped. Equal
-keys give equal segmentations on any machine and after any retry; another seed or variant
-gives another one. A skipped pair stays apart unless a merge beside it offers a new pair.
+The agenda holds the possible merges of a segment by score. When a candidate is due, a hash
+keyed by (seed, row, position of the segment, place, merged piece) decides whether it is
+skipped, so a word is segmented anew wherever it stands. Equal rows give equal segmentations on
+any machine and after any retry; another seed, id or text gives another one. A skipped pair
+stays apart unless a merge beside it offers a new pair.
 
 Only pieces without an inner border between a word and the space after it exist (checked at
-load), so a text is cut there and each segment is encoded on its own and kept by the worker."""
+load), so a text is cut there. The worker keeps a tree per segment, without any dropout result:
+a node is the run of candidates that are due after a given series of skips, with the pieces if
+none of them is skipped, and has a child for each candidate. The hashes of all occurrences are
+taken together, and each occurrence walks to its child until none of its candidates is skipped."""
 
 from __future__ import annotations
 
 import functools
 import heapq
+import itertools
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +31,9 @@ from tabwatch.llm.common import text_or_empty
 from tabwatch.llm.pretokens import small_batches
 
 SPACE = "▁"
-MAX_KEPT = 400_000  # segments a worker keeps; then it begins anew
+MAX_KEPT = 400_000  # segments a worker keeps, with twice as many nodes; then it begins anew
+TREE = 32           # symbols up to which a segment has a tree; longer ones are merged each time
+TOGETHER = 1 << 16  # occurrences whose hashes are taken together
 SHORT = 48          # symbols up to which a plain list is the agenda; beyond it a heap
 NO_PIECE = (float("inf"), -1)
 PUNCTUATION = ".,;:!?%&*#$|\")]}"
@@ -66,7 +73,14 @@ class Codec:
                         if not any(re.search(rf"[^\W\d_]{re.escape(c)}", p) for p in self.piece))
         cut = rf" *[^ \n{SPACE}{marks}]+(?<=[^\W\d_])(?=[{marks}])|" if marks else ""
         self.segments = re.compile(rf"{cut} *[^ \n{SPACE}]+| +|\n|{SPACE}")
-        self.kept: list[dict[str, bytes]] = [{} for _ in range(variants)]
+        self._clear()
+
+    def _clear(self) -> None:
+        self.root: dict[str, int] = {}                   # node of a segment without skips; -1: met once
+        self.node: list[tuple[str, tuple[int, ...]]] = []  # segment, numbers of its skipped candidates
+        self.step, self.step_at = array("I"), array("q", [0])  # candidates after the last skip
+        self.child = array("i")                          # node if this candidate is skipped; -1: not met, -2: once
+        self.ids, self.ids_at = array("I"), array("q", [0])
 
     def _skip(self, key: int, place: int, piece: int) -> bool:
         x = (key ^ (place * 0x9E3779B1) ^ (piece * 0xC2B2AE35)) & 0xFFFFFFFF
@@ -74,22 +88,106 @@ class Codec:
         x = ((x ^ (x >> 13)) * 0xC2B2AE35) & 0xFFFFFFFF
         return (x ^ (x >> 16)) < self.dropped
 
-    def _segment(self, seg: str, variant: int) -> bytes:
+    def _segment(self, seg: str, skip: Callable[[int, int], bool]) -> array:
         if seg == SPACE:  # this character itself, not a space
-            return np.array([self.byte_id[b] for b in SPACE.encode()], "<u4").tobytes()
-        key = zlib.crc32(seg.encode(), (self.seed * 0x01000193 + variant) & 0xFFFFFFFF)
+            return array("I", [self.byte_id[b] for b in SPACE.encode()])
         sym = list(seg.replace(" ", SPACE))
-        sym = self._short(sym, key) if len(sym) <= SHORT else self._long(sym, key)
+        sym = self._short(sym, skip) if len(sym) <= SHORT else self._long(sym, skip)
         ids = array("I")
         for s in sym:
             if p := self.piece.get(s):
                 ids.append(p[1])
             else:
                 ids.extend([self.byte_id[b] for b in s.encode()])
-        return ids.tobytes()
+        return ids
+
+    def _add(self, seg: str, ids: array, steps: list[int], skips: tuple[int, ...] = ()) -> int:
+        self.node.append((seg, skips))
+        self.step.extend(steps)
+        self.step_at.append(len(self.step))
+        self.child.extend([-1] * len(steps))
+        self.ids.extend(ids)
+        self.ids_at.append(len(self.ids))
+        return len(self.node) - 1
+
+    def _grow(self, seg: str, skips: tuple[int, ...] = ()) -> int:
+        """Node of a segment after the skips of the candidates with these numbers."""
+        seen: list[int] = []
+
+        def skip(place: int, piece: int) -> bool:
+            seen.append(((place * 0x9E3779B1) ^ (piece * 0xC2B2AE35)) & 0xFFFFFFFF)
+            return len(seen) - 1 in skips
+        ids = self._segment(seg, skip)
+        return self._add(seg, ids, seen[skips[-1] + 1 if skips else 0:], skips)
+
+    def _alone(self, seg: str, key: int) -> int:
+        """Node of one occurrence. What is met for the first time gets no tree: most is rare."""
+        return self._add(seg, self._segment(seg, functools.partial(self._skip, key)), [])
+
+    def _skipped(self, nodes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(occurrences with a skip, the step of its first one)."""
+        at, step = np.frombuffer(self.step_at, np.int64), np.frombuffer(self.step, np.uint32)
+        flat, owner = _spread(at[nodes], at[nodes + 1])
+        hit = np.flatnonzero(_mixed(keys[owner] ^ step[flat]) < self.dropped)
+        who, first = np.unique(owner[hit], return_index=True)
+        return who, flat[hit[first]]
+
+    def _walk(self, segs: list[str], keys: np.ndarray) -> np.ndarray:
+        """Node of each occurrence; ``keys``: a hash of its row and position."""
+        found = list(map(self.root.get, segs))
+        for k, n in enumerate(found):
+            if n is None or n < 0:
+                s = segs[k]
+                if len(s) > TREE or (n := self.root.get(s)) is None:
+                    found[k] = self._alone(s, int(keys[k]))
+                    if len(s) <= TREE:
+                        self.root[s] = -1
+                elif n < 0:
+                    found[k] = self.root[s] = self._grow(s)
+                else:
+                    found[k] = n
+        nodes = np.array(found, np.int64)
+        live = np.arange(len(segs))
+        while self.dropped and len(self.step) and len(live):
+            who, step = self._skipped(nodes[live], keys[live])
+            live = live[who]
+            child = np.frombuffer(self.child, np.int32)[step].astype(np.int64)
+            for k in np.flatnonzero(child < 0).tolist():
+                parent, at = int(nodes[live[k]]), int(step[k])
+                seg, skips = self.node[parent]
+                if (n := self.child[at]) == -1:
+                    self.child[at] = -2
+                    n = self._alone(seg, int(keys[live[k]]))
+                elif n < 0:
+                    number = at - self.step_at[parent] + (skips[-1] + 1 if skips else 0)
+                    n = self.child[at] = self._grow(seg, (*skips, number))
+                child[k] = n
+            nodes[live] = child
+        return nodes
 
-    def _short(self, sym: list[str], key: int) -> list[str]:
-        """Merges with the scores of the neighbours in a list; the first least one is due."""
+    def encode_rows(self, texts: list[str], keys: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, end of each text's ids); ``keys``: a hash of each row."""
+        cut = [self.segments.findall(" " + t) if t else [] for t in texts]
+        n = np.array([len(c) for c in cut], np.int64)
+        segs = list(itertools.chain.from_iterable(cut))
+        place = np.arange(len(segs)) - np.repeat(np.cumsum(n) - n, n)
+        key = _mixed(np.repeat(np.array(keys, np.uint32), n) ^ (place + 1).astype(np.uint32) * np.uint32(0x85EBCA77))
+        out, sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
+        for k in range(0, len(segs), TOGETHER):
+            if len(self.root) > MAX_KEPT or len(self.node) > 2 * MAX_KEPT:
+                self._clear()
+            nodes = self._walk(segs[k:k + TOGETHER], key[k:k + TOGETHER])
+            at = np.frombuffer(self.ids_at, np.int64)
+            sizes.append(at[nodes + 1] - at[nodes])
+            out.append(np.frombuffer(self.ids, np.uint32)[_spread(at[nodes], at[nodes + 1])[0]])
+            del at
+        ends = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])[np.cumsum(n)]
+        return np.concatenate(out), ends
+
+    def _short(self, sym: list[str], key: int | Callable[[int, int], bool]) -> list[str]:
+        """Merges with the scores of the neighbours in a list; the first least one is due.
+        ``key``: of the hash, or a function that decides instead."""
+        skip = key if callable(key) else functools.partial(self._skip, key)
         get, none, dropped = self.piece.get, NO_PIECE, self.dropped
         due = [get(a + b, none) for a, b in zip(sym, sym[1:])]
         place = list(range(len(sym)))
@@ -98,7 +196,7 @@ class Codec:
             if best is none:
                 break
             i = due.index(best)
-            if dropped and self._skip(key, place[i], best[1]):
+            if dropped and skip(place[i], best[1]):
                 due[i] = none
                 continue
             sym[i] += sym.pop(i + 1)
@@ -109,8 +207,9 @@ class Codec:
                 due[i - 1] = get(sym[i - 1] + sym[i], none)
         return sym
 
-    def _long(self, start: list[str], key: int) -> list[str]:
+    def _long(self, start: list[str], key: int | Callable[[int, int], bool]) -> list[str]:
         """The same merges with a heap."""
+        skip = key if callable(key) else functools.partial(self._skip, key)
         sym: list[str | None] = list(start)
         n = len(sym)
         left, right = list(range(-1, n - 1)), list(range(1, n + 1))
@@ -124,7 +223,7 @@ class Codec:
             a, b = sym[i], sym[j]
             if a is None or b is None or right[i] != j or len(a) + len(b) != size:
                 continue
-            if self.dropped and self._skip(key, i, pid):
+            if self.dropped and skip(i, pid):
                 continue
             sym[i], sym[j] = a + b, None
             right[i] = r = right[j]
@@ -138,24 +237,31 @@ class Codec:
         return [s for s in sym if s is not None]
 
     def encode(self, text: str, variant: int = 0) -> np.ndarray:
-        kept = self.kept[variant]
-        if len(kept) > MAX_KEPT // self.variants:
-            kept.clear()
-        segs = self.segments.findall(" " + text) if text else []
-        out = []
-        for s in segs:
-            ids = kept.get(s)
-            if ids is None:
-                ids = self._segment(s, variant)
-                if len(s) <= 64:
-                    kept[s] = ids
-            out.append(ids)
-        return np.frombuffer(b"".join(out), "<u4")
+        """Ids of one text in one of its variants."""
+        if not 0 <= variant < self.variants:
+            raise ValueError("no such variant")
+        return self.encode_rows([text], [self.row_key(variant, text)])[0]
+
+    def row_key(self, row, text: str) -> int:
+        return zlib.crc32(text.encode(), zlib.crc32(str(row).encode(), self.seed * 0x01000193 & 0xFFFFFFFF))
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8")[1:]
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint32(16))) * np.uint32(0x85EBCA6B)
+    x = (x ^ (x >> np.uint32(13))) * np.uint32(0xC2B2AE35)
+    return x ^ (x >> np.uint32(16))
+
+
+def _spread(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the numbers of all ranges one after another, the range of each)."""
+    n = end - start
+    owner = np.repeat(np.arange(len(n)), n)
+    return np.arange(len(owner)) + (start - np.cumsum(n) + n)[owner], owner
+
+
 @functools.lru_cache(8)
 def codec(model: str, dropout: float, seed: int, variants: int) -> Codec:
     return Codec(model, dropout, seed, variants)
@@ -172,30 +278,29 @@ def decoder(model: str):
     return text
 
 
-def _encode(model: str, dropout: float, seed: int, variants: int):
+def _encode(model: str, dropout: float, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(model, dropout, seed, variants)
+        c = codec(model, dropout, seed, 1)
         for batch in batches:
             for i, part in small_batches(batch.column(1).to_pylist()):
                 keys = batch.column(0).slice(i, len(part))
-                ids = [c.encode(t, zlib.crc32(str(k).encode()) % variants)
-                       for k, t in zip(keys.to_pylist(), part)]
-                ends = np.cumsum([0, *map(len, ids)])
+                ids, ends = c.encode_rows(part, list(map(c.row_key, keys.to_pylist(), part)))
                 yield pa.RecordBatch.from_arrays(
                     [keys, batch.column(1).slice(i, len(part)),
-                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids).astype(np.int32)))],
+                     pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()),
+                                              pa.array(ids.astype(np.int32)))],
                     ["doc_id", "text", "ids"])
     return run
 
 
 def encode_documents(docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 0,
-                     variants: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text, ids (array<int>) of each row; the id only picks the text's variant. Null
+                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, text, ids (array<int>) of each row; id and text pick the row's segmentation. Null
     text: empty, no ids. Repeated rows get equal ids; null ids are kept. Empty table: no rows.
     No shuffle."""
     t = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     kind = t.schema["doc_id"].dataType.simpleString()
-    return t.mapInArrow(_encode(model, dropout, seed, variants), f"doc_id {kind}, text string, ids array<int>")
+    return t.mapInArrow(_encode(model, dropout, seed), f"doc_id {kind}, text string, ids array<int>")
 
 
 def decode_documents(encoded: DataFrame, model: str) -> DataFrame:

@@ -142,3 +142,36 @@ def test_codec_report_rows(spark):
     assert sorted(r.n_pieces == 0 for r in got) == [False] * 3 + [True] * 2
     assert len({r.ids_hash for r in got if r.doc_id == 1}) == 1
     assert sp_codec.codec_report(df.limit(0), Q.PIECE_BPE).count() == 0
+
+
+def test_default_segmentation_varies_by_row_and_position(spark):
+    rows = [(k, "internationalization " * 40) for k in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.ids for r in sp_codec.encode_documents(df, Q.PIECE_BPE).collect()}
+    c = sp_codec.Codec(Q.PIECE_BPE)
+    ways = set()
+    for ids in got.values():
+        words, now = set(), []
+        for i in ids:
+            if now and c.bytes_of[i].startswith(b" "):
+                words.add(tuple(now))
+                now = []
+            now.append(i)
+        assert len(words) > 1  # the same word within one document
+        ways.add(tuple(ids))
+    assert len(ways) == len(rows)  # the same text in other documents
+    again = sp_codec.encode_documents(df.repartition(3), Q.PIECE_BPE).collect()
+    assert {r.doc_id: r.ids for r in again} == got
+
+
+def test_tree_gives_the_merges_of_the_agenda(monkeypatch):
+    monkeypatch.setattr(sp_codec, "MAX_KEPT", 3000)
+    t = texts()
+    for dropout in (0.1, 0.6):
+        c = sp_codec.Codec(Q.PIECE_BPE, dropout, 3, 1)
+        ids, ends = c.encode_rows(t, list(range(len(t))))
+        monkeypatch.setattr(sp_codec, "TREE", 0)  # every occurrence by its own agenda
+        d = sp_codec.Codec(Q.PIECE_BPE, dropout, 3, 1)
+        want, want_ends = d.encode_rows(t, list(range(len(t))))
+        monkeypatch.setattr(sp_codec, "TREE", 32)
+        assert ids.tolist() == want.tolist() and ends.tolist() == want_ends.tolist()
