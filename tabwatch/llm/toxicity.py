@@ -1,7 +1,7 @@
 """Toxicity by noisy-channel deobfuscation.
 
-A character trigram model is counted over all documents. Suspicious spans (digits and symbols
-inside words, spelled-out words, runs of one letter) become lattices of the letters that may
+A character trigram model is counted over all documents. Suspicious spans (words with
+digits and symbols, spelled-out words, repeated letters) become lattices of the letters that may
 be meant; Viterbi decoding under the trigram model picks the most likely reading. Restored
 texts are scored by words and word beginnings that mark toxic documents, learned from a
 bounded sample of labelled rows."""
@@ -35,10 +35,14 @@ LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "
         "$": "s", "!": "i", "|": "il", "+": "t"}
 SWAP, KEEP, DROP_REPEAT, KEEP_GAP = 0.5, 2.0, 0.2, 3.0  # channel costs, in nats
 
-_SYMBOLS = re.escape("".join(LEET))
-LEET_SPAN = re.compile(f"(?<![a-z{_SYMBOLS}])(?:[a-z]++[{_SYMBOLS}]++[a-z]|[{_SYMBOLS}]++[a-z])[a-z{_SYMBOLS}]*+")
-GAP_SPAN = re.compile(rf"(?<![^\W_])(?:[a-z{_SYMBOLS}][ ._*\-]){{3,}}[a-z{_SYMBOLS}](?![^\W_])")
+_ALL_SYMBOLS = "".join(LEET)
+_SYMBOLS = re.escape(_ALL_SYMBOLS)
+LEET_SPAN = re.compile(f"(?<![a-z{_SYMBOLS}])(?=[a-z]*+[{_SYMBOLS}])(?=[{_SYMBOLS}]*+[a-z])[a-z{_SYMBOLS}]++")
+GAP_SPAN = re.compile(rf"(?<![^\W_])(?:[a-z{_SYMBOLS}][ ._*\-]++){{2,}}[a-z{_SYMBOLS}](?![^\W_])")
 RUN_SPAN = re.compile(r"([a-z])\1\1")
+DOUBLED = re.compile(r"(?<![a-z])[a-z]*?([a-z])\1[a-z]*+")
+LETTER = re.compile(r"[a-z]")
+SYMBOL = re.compile(f"[{_SYMBOLS}]")
 WORD = re.compile(r"[^\W_]+")
 
 
@@ -134,24 +138,36 @@ def _runs(text: str) -> Iterator[tuple[int, int]]:
 
 
 class Restorer:
-    """Text restoration with a bounded memory of spans met before."""
+    """Text restoration with a bounded memory of spans met before. Readings that may as well be
+    wrong stand after the text, once each: words with doubled letters read as if these were
+    single, and words without the symbols at their end. Exclamation marks at an end are none."""
 
     def __init__(self, cost: np.ndarray):
         self._read = functools.lru_cache(50_000)(lambda s: decode_span(s, cost))
 
     def __call__(self, text: str) -> str:
         low = text.lower()
-        spans = [m.span() for m in GAP_SPAN.finditer(low)]
-        spans += [m.span() for m in LEET_SPAN.finditer(low)]
+        spans = [m.span() for m in GAP_SPAN.finditer(low) if LETTER.search(m[0])]
+        more: dict[str, None] = {}
+        for m in LEET_SPAN.finditer(low):
+            span = m[0].rstrip("!")
+            if SYMBOL.search(span):
+                spans.append((m.start(), m.start() + len(span)))
+                if span[-1] in LEET and len(stem := span.rstrip(_ALL_SYMBOLS)) >= 3:
+                    more[self._read(stem) if SYMBOL.search(stem) else stem] = None
+        for w in {m[0] for m in DOUBLED.finditer(low)}:
+            if not RUN_SPAN.search(w) and (reading := self._read(w)) != w:
+                more[reading] = None
         spans += _runs(low)
+        tail = "".join(f" {w}" for w in sorted(more))
         if not spans:
-            return low
+            return low + tail
         out, at = [], 0
         for a, b in sorted(spans, key=lambda s: (s[0], -s[1])):
             if a >= at:
                 out += [low[at:a], self._read(low[a:b])]
                 at = b
-        return "".join([*out, low[at:]])
+        return "".join([*out, low[at:], tail])
 
 
 def marks_of(restored: str) -> set[str]:

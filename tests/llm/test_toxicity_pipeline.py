@@ -122,3 +122,22 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
     final = steps[-1].collect()
     assert {r.doc_id for r in final} == set(rows[3]) and all(r.lossless and r.n_pieces == len(r.ids) for r in final)
     assert corpus_pipeline.run(spark, sf).count() == len(final)
+
+
+def test_short_trailing_spelled_and_doubled_forms(spark):
+    r = random.Random(9)
+    clean = [w for w in WORDS if w not in ("idiot", "moron", "loser")] + ["page", "good", "letter"]
+    rows = []
+    for k in range(400):
+        w = [r.choice(clean) for _ in range(30)]
+        if k % 4 == 0:
+            w[r.randrange(30)] = ("hate", "scum", "idiot", "ass", "die")[k // 4 % 5]
+        rows.append((k, " ".join(w)))
+    forms = ["hat3", "a$$", "scum8", "idio7", "idi07", "d i e", "i d  i . o t", "idiioott", "hhate", "idiot!"]
+    fine = ["page2", "good letter", "hello!", "clever 2001", "page 1 2 3", "page4"]
+    rows += [(1000 + k, f"the quick brown {f} jumps over") for k, f in enumerate([*forms, *fine])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1, int(k % 4 == 0)) for k in range(400)], "doc_id long, quality int, toxic int")
+    model = T.fit(docs, labels)
+    assert [f for k, f in enumerate(forms) if model.score(rows[400 + k][1]) < 0.5] == []
+    assert [t for _, t in rows[400 + len(forms):] if model.score(t) >= 0.5] == []
