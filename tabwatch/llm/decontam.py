@@ -2,9 +2,11 @@
 
 Numbers, units and names become typed placeholders, so a question whose parameters were
 changed keeps its template. Windows of five template words are joined by hash to those of the
-benchmark. Per document, item and diagonal the values that fill the slots are compared: one
-benchmark value must always meet the same document value. Consistent diagonals whose windows
-cover at least 0.75 of an item mark a leak."""
+benchmark; windows with slots are also joined by their plain lower-case words, as what looks
+like a name depends on case and place. Per document, item and diagonal, a benchmark name must
+always meet the same document word: windows holding a name that meets several do not count.
+Equal numbers or units in several slots are parameters of their own and may change one by one.
+Windows that cover at least 0.75 of an item mark a leak."""
 
 from __future__ import annotations
 
@@ -28,13 +30,14 @@ NAME = "\uE002"  # private-use mark put before a word that looks like a name
 # Capitalised words after a word that ends no sentence. Both patterns mean the same to the
 # regular expressions of Java and RE2.
 NAME_PATTERN = r"([^.!?:;\s][ \t]+)(\p{Lu}\p{Ll})"
+ANY_SPACE = NAME_PATTERN.replace(r"[ \t]", r"\s")
 NUMBER_JOIN = r"([0-9])[.,]([0-9])"
 NO_WORD = r"[^\p{L}\p{N}" + NAME + "]+"
 
 
 def template_words(text: Column) -> Column:
     """Raw words of a text; a word that looks like a name bears the NAME mark."""
-    t = F.regexp_replace(text, NAME_PATTERN, "$1" + NAME + "$2")
+    t = F.regexp_replace(text, ANY_SPACE, "$1" + NAME + "$2")
     t = F.regexp_replace(t, NUMBER_JOIN, "$1$2")
     return F.array_remove(F.split(t, NO_WORD), "")
 
@@ -48,25 +51,33 @@ def _kind(word: Column) -> Column:
 
 def windows(df: DataFrame, key: list[str], text: Column, out: str) -> DataFrame:
     """key, {out}_pos, wh (hash of the template window), {out}_slots (values of its slots,
-    joined by spaces; null without slots) for every window of a text."""
+    joined by spaces; null without slots), {out}_plain (false) for every window of a text; a
+    window with slots stands there again with the hash of its plain words and {out}_plain true."""
     w = df.select(*key, template_words(text).alias("w"))
     w = w.select(*key, "w", F.transform("w", _kind).alias("k"))
+    slots = F.exists("k", lambda x: x.isNotNull())
     w = w.select(*key, F.transform("w", lambda x, i: F.xxhash64(F.coalesce(F.get("k", i), F.lower(x)))).alias("c"),
-                 F.when(F.exists("k", lambda x: x.isNotNull()), F.transform("w", lambda x, i: F.when(
-                     F.get("k", i).isNotNull(), F.lower(x)))).alias("s"))
+                 F.when(slots, F.transform("w", lambda x, i: F.when(
+                     F.get("k", i).isNotNull(), F.lower(x)))).alias("s"),
+                 F.when(slots, F.transform("w", lambda x: F.xxhash64(
+                     F.lower(F.translate(x, NAME, ""))))).alias("l"))
     # no filter on the number of words here: pushed down, it would bring the definition of the
     # words into the functions below, once per word
     n = F.greatest(F.size("c") - (WINDOW - 1), F.lit(0))
-    hashed = lambda i: F.xxhash64(*[F.get("c", i + k) for k in range(WINDOW)])
+    hashed = lambda c, i: F.xxhash64(*[F.get(c, i + k) for k in range(WINDOW)])
+    row = lambda i, c, s, plain: F.struct(
+        i.alias("p"), hashed(c, i).alias("wh"), s.alias("s"), F.lit(plain).alias("plain"))
     # values are only looked up in texts that have slots
-    plain = F.transform("c", lambda _, i: F.struct(hashed(i).alias("wh"), F.lit(None).cast("string").alias("s")))
-    slotted = F.transform("c", lambda _, i: F.struct(hashed(i).alias("wh"), F.when(
-        F.coalesce(*[F.get("s", i + k) for k in range(WINDOW)]).isNotNull(),
-        F.concat_ws(" ", *[F.get("s", i + k) for k in range(WINDOW)])).alias("s")))
-    win = F.when(F.col("s").isNull(), plain).otherwise(slotted)
-    return w.select(*key, F.posexplode(F.slice(win, 1, n)).alias("p", "x")) \
-        .select(*key, F.col("p").alias(f"{out}_pos"), F.col("x.wh").alias("wh"),
-                F.col("x.s").alias(f"{out}_slots"))
+    held = lambda i: F.coalesce(*[F.get("s", i + k) for k in range(WINDOW)]).isNotNull()
+    values = lambda i: F.when(held(i), F.concat_ws(" ", *[F.get("s", i + k) for k in range(WINDOW)]))
+    bare = F.transform("c", lambda _, i: row(i, "c", F.lit(None).cast("string"), False))
+    slotted = F.transform("c", lambda _, i: row(i, "c", values(i), False))
+    plain = F.transform("l", lambda _, i: F.when(held(i), row(i, "l", values(i), True)))
+    win = F.when(F.col("s").isNull(), F.slice(bare, 1, n)).otherwise(
+        F.concat(F.slice(slotted, 1, n), F.array_compact(F.slice(plain, 1, n))))
+    return w.select(*key, F.explode(win).alias("x")) \
+        .select(*key, F.col("x.p").alias(f"{out}_pos"), F.col("x.wh").alias("wh"),
+                F.col("x.s").alias(f"{out}_slots"), F.col("x.plain").alias(f"{out}_plain"))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
@@ -75,8 +86,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """One row per document (id and text hash) and item that it holds: doc_id, text_hash,
     item_id, n_matched, n_windows, coverage, first_word, verbatim.
 
-    coverage: distinct item windows found on consistent diagonals over all item windows, at
-    least MIN_COVERAGE. first_word: smallest word at which a matched window starts. verbatim:
+    coverage: distinct item windows found, but for those with a name in conflict on their
+    diagonal, over all item windows, at least MIN_COVERAGE. Template windows alone are counted
+    if they reach it, or else both kinds. first_word: smallest word at which a matched window starts. verbatim:
     every slot has the benchmark's own value. Null and empty texts, and texts or items under
     five words, have no window and match nothing. Rows equal in id and text count once; items
     equal in id count as one item. Empty tables: no rows."""
@@ -84,24 +96,38 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                              text_or_empty(item_text).alias("t")).distinct()
     b = windows(items, ["item_id"], F.col("t"), "b")
     n_b = b.count()
-    sizes = b.groupBy("item_id").agg(F.countDistinct("b_pos", "wh").alias("n_windows"))
+    sizes = b.groupBy("item_id").agg(F.countDistinct(
+        F.when(~F.col("b_plain"), F.struct("b_pos", "wh"))).alias("n_windows"))
     d = windows(docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("t"))
                 .withColumn("h", F.xxhash64("t")), ["doc_id", "h"], F.col("t"), "d")
     hits = d.join(F.broadcast(b) if n_b <= broadcast_windows else b, "wh")
     diag = (F.col("d_pos") - F.col("b_pos")).alias("diag")
+    # equal plain words: each slot has the benchmark's own value
+    own = F.when(F.col("b_plain"), F.col("b_slots")).otherwise(F.col("d_slots"))
     pairs = F.when(F.length("b_slots") > 0, F.arrays_zip(F.split("b_slots", " ").alias("b"),
-                                                         F.split("d_slots", " ").alias("d")))
+                                                         F.split(own, " ").alias("d")))
     lines = hits.groupBy("doc_id", "h", "item_id", diag).agg(
-        F.collect_set("b_pos").alias("bs"), F.min("d_pos").alias("first"),
-        F.flatten(F.collect_set(pairs)).alias("v"))
-    values = F.array_distinct("v")
-    consistent = F.size(values) == F.size(F.array_distinct(F.transform("v", lambda x: x["b"])))
-    verbatim = F.forall("v", lambda x: x["b"] == x["d"])
-    found = lines.where(consistent).groupBy("doc_id", "h", "item_id").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("bs")))).cast("long").alias("n_matched"),
-        F.min("first").cast("long").alias("first_word"), F.every(verbatim).alias("verbatim"))
+        F.collect_set(F.struct("b_pos", (F.col("b_plain") | F.col("d_plain")).alias("plain"), pairs.alias("v"))).alias("hits"))
+    names = F.filter(F.array_distinct(F.flatten(F.array_compact(F.col("hits.v")))),
+                     lambda x: x["b"].startswith(NAME))
+    lines = lines.withColumn("names", names).withColumn("bad", F.transform(F.filter("names", lambda x: F.exists(
+        "names", lambda y: (x["b"] == y["b"]) & (x["d"] != y["d"]))), lambda x: x["b"]))
+    lines = lines.withColumn("kept", F.filter("hits", lambda x: F.coalesce(F.forall(
+        x["v"], lambda y: ~F.array_contains("bad", y["b"])), F.lit(True))))
+    lines = lines.withColumn("templates", F.filter("kept", lambda x: ~x["plain"]))
+
+    def totals(hits: str) -> Column:
+        own = F.forall(hits, lambda x: F.coalesce(F.forall(x["v"], lambda y: y["b"] == y["d"]), F.lit(True)))
+        return F.struct(
+            F.size(F.array_distinct(F.flatten(F.collect_list(f"{hits}.b_pos")))).cast("long").alias("n_matched"),
+            F.min(F.array_min(f"{hits}.b_pos") + F.col("diag")).cast("long").alias("first_word"),
+            F.every(own).alias("verbatim"))
+    found = lines.where(F.size("kept") > 0).groupBy("doc_id", "h", "item_id").agg(
+        totals("templates").alias("t"), totals("kept").alias("a")).join(sizes, "item_id")
+    best = F.when(F.col("t.n_matched") / F.col("n_windows") >= MIN_COVERAGE, F.col("t")).otherwise(F.col("a"))
+    found = found.select("doc_id", "h", "item_id", "n_windows", best.alias("x")).select("*", "x.*")
     cover = F.col("n_matched") / F.col("n_windows")
-    return found.join(sizes, "item_id").where(cover >= MIN_COVERAGE).select(
+    return found.where(cover >= MIN_COVERAGE).select(
         "doc_id", F.col("h").alias("text_hash"), "item_id", "n_matched", "n_windows",
         F.round(cover, 6).alias("coverage"), "first_word", "verbatim")
 

@@ -141,3 +141,21 @@ def test_decontamination_against_brute_force(spark):
                 want.add((d, i))
     got = {(r.doc_id, r.item_id) for r in Q.op6_decontamination(spark, sf).collect()}
     assert got == want and want
+
+
+REPEATED = ("the farmer put 2 apples and 2 pears into one large basket and then walked along the river until the "
+            "sun went down behind the old mill near the town")
+NAMED = ("when the teacher asked Alice about the long river that runs past the old mill she said that Robert "
+         "knew the answer and that Maria had seen the boat")
+
+
+@pytest.mark.parametrize("item,copy", [
+    (REPEATED, REPEATED.replace("2 pears", "5 pears")),
+    (REPEATED, REPEATED.replace("2 apples", "3 apples").replace("2 pears", "5 pears")),
+    (NAMED, NAMED.lower()), (NAMED, NAMED.replace(" Alice", "\nAlice").replace(" Robert", "\nRobert").replace(" Maria", "\nMaria")),
+    ("What is the capital of France", "Question 5 What is the capital of France")])
+def test_decontamination_keeps_windows_beside_a_conflict(spark, item, copy):
+    d = spark.createDataFrame([(1, copy), (2, "nothing of the kind is in this text")], "doc_id long, text string")
+    b = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = decontam.find_leaks(d, b).collect()
+    assert [(r.doc_id, r.n_matched) for r in got] == [(1, got[0].n_windows)]
