@@ -133,3 +133,16 @@ def test_article_text_of_the_tables(spark):
     got = {r.page_id: r.text for r in H.extract_text(pages).collect()}
     assert got == want
     assert len(list(itertools.chain(*want.values()))) > 1000
+
+
+KEPT = ["<p data-hidden='false'>t</p>", "<p title='the hidden cost'>t</p>", "<blockquote cite='/view?id=notice-7'>t</blockquote>",
+        "<div><a href='/hidden-gems'>t</a></div>", "<p><a href=/hidden-gems>t</p>", "<h2 id='related-work'>t</h2>",
+        "<section id='social-impact'>t</section>", "<div class='search-results'>t</div>", "<p class='notice'>t</p>",
+        "<p>t<span hidden> no</span></p>", "<p>t <span style='display: none'>no</span></p>", "<p>t<button>no</button></p>",
+        "<p>t</p><div class='related-posts'>no</div>", "<p>t</p><div id=newsletter>no</div>", "<p>t</p><p HIDDEN>no</p>"]
+
+
+@pytest.mark.parametrize("body", KEPT)
+def test_attributes_and_inline_zones(body):
+    assert [t for z, t in H.blocks(f"<body><article>{body}</article>") if z == H.MAIN] == ["t"]
+    assert [t for z, t in H.blocks(f"<article class='social-impact'>{body}</article>") if z == H.MAIN] == ["t"]
