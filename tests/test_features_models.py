@@ -132,3 +132,25 @@ def test_tuning_trials(spark, processed):
     assert set(best) == {"C", "balanced"}
     again, _ = M.tune("logreg", folds, pipe, "churn", "fold", n_trials=2, seed=1)
     assert [r.params for r in again.collect()] == [r.params for r in rows]
+
+
+def test_registered_tuning_covers_every_model(spark, monkeypatch):
+    import inspect
+
+    from tabwatch.operators import models as MD
+    from tabwatch.plans import catalog
+
+    tune, given = MD.tune, inspect.signature(MD.tune)
+    seen = {}
+
+    def counted(*args, **options):
+        a = given.bind(*args, **options)
+        a.apply_defaults()
+        seen[a.arguments["name"]] = n = a.arguments["n_trials"]
+        rows = [(i, "{}", 0.5) for i in range(n)]
+        return spark.createDataFrame(rows, "trial int, params string, mean_roc_auc double"), {}
+
+    monkeypatch.setattr(MD, "tune", counted)
+    out = catalog.tuning_trials(spark, "/root/testdata/sf0.001")
+    assert tune is not MD.tune and seen == {m: 30 for m in MD.REGISTRY}
+    assert {r["model"]: r["count"] for r in out.groupBy("model").count().collect()} == seen
