@@ -636,12 +636,13 @@ def _source_state(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _trained(spark: SparkSession, sf_dir: str):
-    """(features, models, metric table), trained once per state of the source files and kept as
-    saved models below the shared checkpoint folder; a changed table trains anew."""
+    """(features, models, metric table), trained once per application and state of the source
+    files and kept as saved models below the shared checkpoint folder; a changed table trains anew."""
     from tabwatch.session import ensure_checkpoint_dir
 
     jvm = spark.sparkContext._jvm
-    top = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tabwatch-models-{_source_state(spark, sf_dir)}"
+    top = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tabwatch-models-" \
+          f"{spark.sparkContext.applicationId}-{_source_state(spark, sf_dir)}"
     done = jvm.org.apache.hadoop.fs.Path(f"{top}/metrics/_SUCCESS")
     if not done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
         data = _split(spark, sf_dir).persist()

@@ -154,3 +154,23 @@ def test_registered_tuning_covers_every_model(spark, monkeypatch):
     out = catalog.tuning_trials(spark, "/root/testdata/sf0.001")
     assert tune is not MD.tune and seen == {m: 30 for m in MD.REGISTRY}
     assert {r["model"]: r["count"] for r in out.groupBy("model").count().collect()} == seen
+
+
+def test_saved_models_belong_to_the_application(spark, monkeypatch, tmp_path):
+    from pyspark.errors import AnalysisException
+
+    from tabwatch.plans import catalog
+
+    state = catalog._source_state(spark, "/root/testdata/sf0.001")
+    monkeypatch.setattr("tabwatch.session.ensure_checkpoint_dir", lambda s: f"file://{tmp_path}")
+    spark.range(1).write.parquet(f"file://{tmp_path}/tabwatch-models-{state}/metrics")  # another session's
+    asked = []
+
+    def train(*args, **options):
+        asked.append(1)
+        raise AnalysisException("trains")
+
+    monkeypatch.setattr(catalog.MD, "train_all", train)
+    with pytest.raises(AnalysisException, match="trains"):
+        catalog._trained(spark, "/root/testdata/sf0.001")
+    assert asked
