@@ -38,6 +38,13 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def finished(df: DataFrame, folder: str) -> DataFrame:
+    """Store a result beside ``folder`` and delete the tables below ``folder`` that led to it."""
+    out = stored(df, f"{folder}-result")
+    drop_path(df.sparkSession, folder)
+    return out
+
+
 def text_or_empty(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 

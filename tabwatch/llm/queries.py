@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabwatch.llm import (decontam, exact_dedup, html_extract, license_scan, minhash, sp_codec,
-                          token_count, token_store, toxicity, warc)
+from tabwatch.llm import (centroids, collocations, decontam, exact_dedup, html_extract, license_scan,
+                          line_dedup, minhash, sp_codec, token_count, token_store, toxicity, warc)
 from tabwatch.plans.tables import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -54,9 +54,22 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_report(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_store, op2_license_scan, op3_sentencepiece, op4_exact_dedup, op5_html_extract,
-    op6_decontamination, op7_minhash, op8_warc, op9_token_count, op10_toxicity)}
+    op6_decontamination, op7_minhash, op8_warc, op9_token_count, op10_toxicity, op11_collocations,
+    op12_line_dedup, op13_centroids)}
 
 ORACLE = {
     "op2_license_scan": license_scan.oracle_sql(),
@@ -73,4 +86,7 @@ r AS (SELECT *, CASE WHEN n >= {warc.MIN_REVISIT} THEN min(page_id) OVER (PARTIT
 SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
   CASE WHEN first IS NULL OR page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN first <> page_id THEN first END AS refers_to FROM r""",
+    "op11_collocations": collocations.oracle_sql(),
+    "op12_line_dedup": line_dedup.oracle_sql(),
+    "op13_centroids": centroids.oracle_sql(),
 }
