@@ -40,14 +40,18 @@ def line_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .select("doc_id", "row_hash", "pos", digest(F.col("key")).alias("line_hash"))
 
 
-def lost_positions(index: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """doc_id, row_hash, lost (sorted positions): the lines that at least ``min_docs`` documents
-    hold, but for those of the smallest doc_id holding them. Null ids are one document, larger
-    than all others."""
-    repeated = index.groupBy("line_hash").agg(
+def repeated_lines(index: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """line_hash, keeper: the lines that at least ``min_docs`` documents hold, and the smallest
+    doc_id that holds them. Null ids are one document, larger than all others."""
+    return index.groupBy("line_hash").agg(
         F.countDistinct("doc_id").alias("ids"), F.max(F.col("doc_id").isNull().cast("int")).alias("no_id"),
         F.min("doc_id").alias("keeper")) \
         .where(F.col("ids") + F.col("no_id") >= min_docs).select("line_hash", "keeper")
+
+
+def lost_positions(index: DataFrame, repeated: DataFrame) -> DataFrame:
+    """doc_id, row_hash, lost (sorted positions): the repeated lines of each document but those
+    that it keeps. ``repeated`` is a stored table, so that Spark can split a hot line."""
     return index.join(repeated, "line_hash").where(~F.col("doc_id").eqNullSafe(F.col("keeper"))) \
         .groupBy("doc_id", "row_hash").agg(F.sort_array(F.collect_set("pos")).alias("lost"))
 
@@ -56,7 +60,8 @@ def _kept_lines(docs: DataFrame, folder: str, id_col: str, text_col: str, min_do
                 min_chars: int) -> DataFrame:
     """row (the input row), lines, lost (never null), kept (lines that stay)."""
     index = stored(line_index(docs, id_col, text_col, min_chars), f"{folder}/lines")
-    lost = stored(lost_positions(index, min_docs), f"{folder}/lost")
+    repeated = stored(repeated_lines(index, min_docs), f"{folder}/repeated")
+    lost = stored(lost_positions(index, repeated), f"{folder}/lost")
     text = text_or_empty(text_col)
     rows = packed(docs, id=F.col(id_col).cast("long"), h=digest(text), text=text)
     both = rows.join(lost, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("h") == F.col("row_hash")), "left") \
