@@ -18,6 +18,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,7 +34,8 @@ BLOCK = 1 << 15          # bits that Spark's bitmap functions put into one value
 FIRST = 4 * TOP          # nodes of a language that the first round expands, about
 GROWTH = 8               # each further round expands so many times more
 SMALL_LANGS = 10_000     # languages whose bounds are broadcast; more are shuffled
-SLICE = 8 << 20          # bytes of text that are held as arrays
+SLICE = 2 << 20          # bytes of text that are held as arrays
+ROWS = 256               # texts taken from a batch at once
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _KIND = np.zeros(256, np.uint8)
@@ -87,15 +89,16 @@ def _pieces(text: bytes) -> Iterator[bytes]:
     yield text[at:]
 
 
-def _slices(langs: list[int], texts: list[bytes]) -> Iterator[list[tuple[int, bytes]]]:
+def _slices(langs: pa.Array, texts: pa.Array) -> Iterator[list[tuple[int, bytes]]]:
     rows, size = [], 0
-    for lang, text in zip(langs, texts):
-        for part in _pieces(text):
-            if rows and size + len(part) > SLICE:
-                yield rows
-                rows, size = [], 0
-            rows.append((lang, part))
-            size += len(part)
+    for k in range(0, len(texts), ROWS):
+        for lang, text in zip(langs.slice(k, ROWS).to_pylist(), texts.slice(k, ROWS).to_pylist()):
+            for part in _pieces(text):
+                if rows and size + len(part) > SLICE:
+                    yield rows
+                    rows, size = [], 0
+                rows.append((lang, part))
+                size += len(part)
     if rows:
         yield rows
 
@@ -114,6 +117,12 @@ def _words(rows: list[tuple[int, bytes]]) -> tuple[pa.Array, np.ndarray, np.ndar
     return words, lang, np.cumsum(kind == 2, dtype=np.int32)[begin]
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys, the number of each key among them, their counts)."""
+    at, found = pd.factorize(keys)
+    return found, at, np.bincount(at, minlength=len(found))
+
+
 def _grams(rows: list[tuple[int, bytes]], level: int, lang_hash: np.ndarray, known: np.ndarray | None,
            fresh: np.ndarray | None) -> tuple[pa.Array, np.ndarray, list[np.ndarray], np.ndarray]:
     """(dictionary, language of each phrase, its words in the dictionary, its count) of one slice.
@@ -122,7 +131,7 @@ def _grams(rows: list[tuple[int, bytes]], level: int, lang_hash: np.ndarray, kno
     coded = words.dictionary_encode()
     names, code = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
     v = max(len(names), 1)
-    word, at, count = np.unique(lang * v + code, return_inverse=True, return_counts=True)
+    word, at, count = _distinct(lang * v + code)
     owner, spelled = word // v, word % v
     if level == 1:
         return names, owner, [spelled], count
@@ -132,7 +141,7 @@ def _grams(rows: list[tuple[int, bytes]], level: int, lang_hash: np.ndarray, kno
         alive = _has(known, _place(hl, h))[at]
         near &= alive[1:] & alive[:-1]
     u = max(len(word), 1)
-    pair, of, count = np.unique(at[:-1][near] * u + at[1:][near], return_inverse=True, return_counts=True)
+    pair, of, count = _distinct(at[:-1][near] * u + at[1:][near])
     one, two = pair // u, pair % u
     if level == 2:
         return names, owner[one], [spelled[one], spelled[two]], count
@@ -144,7 +153,7 @@ def _grams(rows: list[tuple[int, bytes]], level: int, lang_hash: np.ndarray, kno
     go = np.flatnonzero((a >= 0) & (b >= 0))
     a, b = a[go], b[go]
     go = node[a] & node[b] & (new[a] | new[b])
-    three, count = np.unique(a[go] * u + two[b[go]], return_counts=True)
+    three, _, count = _distinct(a[go] * u + two[b[go]])
     a, c = three // u, three % u
     return names, owner[one[a]], [spelled[one[a]], spelled[two[a]], spelled[c]], count
 
@@ -161,10 +170,10 @@ def count_phrases(texts: DataFrame, level: int, known: np.ndarray | None = None,
         for b in batches:
             langs = b.column(0).dictionary_encode()
             lang_hash = _crc(langs.dictionary)
-            for rows in _slices(langs.indices.to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
+            for rows in _slices(langs.indices, b.column(1).cast(pa.binary())):
                 words, lang, parts, count = _grams(rows, level, lang_hash, *held)
-                for k in range(0, len(count), 100_000):
-                    cut = slice(k, k + 100_000)
+                for k in range(0, len(count), 20_000):
+                    cut = slice(k, k + 20_000)
                     yield pa.RecordBatch.from_arrays(
                         [langs.dictionary.take(pa.array(lang[cut])), *[words.take(pa.array(p[cut])) for p in parts],
                          pa.array(count[cut].astype(np.int64))], ["lang", *names, "n"])
