@@ -7,6 +7,7 @@ the positive class) and ``prediction = score >= threshold`` (Spark's own ``thres
 
 from __future__ import annotations
 
+import importlib
 import json
 import math
 import random
@@ -16,11 +17,8 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
-    GBTClassificationModel,
     GBTClassifier,
     LogisticRegression,
-    LogisticRegressionModel,
-    MultilayerPerceptronClassificationModel,
     MultilayerPerceptronClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -30,6 +28,7 @@ from pyspark.sql import functions as F
 
 from tabwatch.operators.features import FEATURES, load_pipeline, save_pipeline
 from tabwatch.operators.metrics import classification_metrics
+from tabwatch.session import ensure_checkpoint_dir
 
 WEIGHT = "weight"
 
@@ -138,15 +137,40 @@ REGISTRY: dict[str, ModelSpec] = {
 }
 
 
-def register_model(spec: ModelSpec) -> None:
-    """Add a model to the registry; train_all and tune then know it by name."""
+def register_model(spec: ModelSpec, replace: bool = False) -> ModelSpec:
+    """Add a model to the registry: fit_model, train_all and tune then know it by name, and it is
+    saved and loaded like the others. The estimator must give a ``probability`` vector of two
+    classes. A name that is taken raises unless ``replace``; so does an unknown weight kind."""
+    if spec.name in REGISTRY and not replace:
+        raise ValueError(f"a model named {spec.name!r} is registered already")
+    if spec.weights not in (None, "linear", "trees"):
+        raise ValueError(f"unknown weight kind {spec.weights!r}")
     REGISTRY[spec.name] = spec
+    return spec
+
+
+def unregister_model(name: str) -> None:
+    """Take a model out of the registry; saved models of that name can still be loaded."""
+    REGISTRY.pop(name, None)
 
 
 MODEL_VERSION = 1
 _TAG = "tabwatch.FittedModel"
-_LOADERS = {c.__name__: c for c in (LogisticRegressionModel, GBTClassificationModel,
-                                    MultilayerPerceptronClassificationModel)}
+
+
+def load_stage(path: str):
+    """A saved Spark ML stage, of the class that its own metadata name: Spark's classes by
+    their Java name, a user's Python stages by module and class. Refuses other folders."""
+    try:
+        meta = json.loads(SparkSession.getActiveSession().read.text(f"{path}/metadata").first()[0])
+        module, _, name = meta["class"].rpartition(".")
+    except Exception as e:  # noqa: BLE001
+        raise TypeError(f"{path} is not a saved stage: {e}") from e
+    module = module.replace("org.apache.spark.ml", "pyspark.ml", 1)
+    kind = getattr(importlib.import_module(module), name, None)
+    if kind is None or not hasattr(kind, "load"):
+        raise TypeError(f"{path} holds {meta['class']}, which has no loader")
+    return kind.load(path)
 
 
 @dataclass
@@ -187,7 +211,7 @@ class FittedModel:
         if meta.get("class") != _TAG or meta.get("version") != MODEL_VERSION:
             raise TypeError(f"{path} holds {meta.get('class')} version {meta.get('version')}, "
                             f"expected {_TAG} version {MODEL_VERSION}")
-        model = _LOADERS[meta["model_class"]].load(f"{path}/model")
+        model = load_stage(f"{path}/model")
         return (FittedModel(meta["name"], model, meta["params"], meta["threshold"]),
                 load_pipeline(f"{path}/features"))
 
@@ -260,41 +284,66 @@ def train_all(data: DataFrame, feature_pipeline: Pipeline, label: str, models: S
     return fmodel, fitted, data.sparkSession.createDataFrame(rows, metrics.schema)
 
 
+#: Encoded rows that one task of a fit reads, about. Small frames are one task, whose overhead
+#: would otherwise be most of a fit of hundreds of short jobs.
+TASK_BYTES = 32 << 20
+
+
+def compact(encoded: DataFrame, n_features: int, task_bytes: int = TASK_BYTES) -> DataFrame:
+    """The frame stored by ``checkpoint()`` (its files outlive executors and cut the lineage that
+    every job would carry along), in as many partitions as its bytes ask for."""
+    ensure_checkpoint_dir(encoded.sparkSession)
+    encoded = encoded.checkpoint()
+    bytes_ = encoded.count() * 8 * (n_features + 2)
+    return encoded.coalesce(max(1, math.ceil(bytes_ / task_bytes)))
+
+
 def tune(name: str, data: DataFrame, feature_pipeline: Pipeline, label: str, fold_col: str,
-         n_trials: int = 30, seed: int = 42, parallelism: int = 4) -> tuple[DataFrame, dict]:
-    """F8: seeded random search over the model's space, each trial scored by its mean exact
-    ROC-AUC over the folds in ``fold_col``. Give it the train rows only.
+         n_trials: int = 30, seed: int = 42, parallelism: int = 8,
+         trials: Sequence[dict] | None = None) -> tuple[DataFrame, dict]:
+    """F8: seeded random search over the model's space (or the given ``trials``), each trial scored
+    by its mean exact ROC-AUC over the folds in ``fold_col``. Give it the train rows only.
 
     Features, class weights, the sum of weights and the input width are fitted on each fold's
     training rows, so nothing of the held-out fold leaks and a category that one fold lacks
-    changes only that fold's width. A trial with ``balanced: false`` is fitted unweighted.
-    Returns (trial table, best params); ties go to the first trial."""
+    changes only that fold's width. Each fold is encoded and stored once; then the fits of all
+    folds and trials run side by side, ``parallelism`` at a time, in a scheduler pool of the
+    model's name (fair where ``spark.scheduler.mode`` is FAIR). A trial with ``balanced: false`` is
+    fitted unweighted. Returns (trial table, best params); ties go to the first trial."""
     spec = REGISTRY[name]
-    r = random.Random(seed)
-    trials = [spec.space(r) for _ in range(n_trials)]
+    if trials is None:
+        r = random.Random(seed)
+        trials = [spec.space(r) for _ in range(n_trials)]
     data = data.withColumn("label", F.col(label).cast("double"))
     folds = sorted(x[0] for x in data.select(fold_col).distinct().collect())
     if len(folds) < 2:
         raise ValueError("tuning needs at least two folds")
-    auc = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", numBins=0)
-    scores: list[list[float]] = [[] for _ in trials]
-    for fold in folds:
+
+    def encode(fold) -> tuple[DataFrame, DataFrame]:
         rest, held = data.where(F.col(fold_col) != fold), data.where(F.col(fold_col) == fold)
         features = feature_pipeline.fit(rest)
-        train = features.transform(rest).select("label", FEATURES).persist()
-        valid = features.transform(held).select("label", FEATURES).persist()
-        try:
-            def one(params: dict, train=train, valid=valid) -> float:
-                model = fit_model(name, train, "label", params)
-                return float(auc.evaluate(model.score(valid, ["label"])))
-
-            with ThreadPool(max(1, parallelism)) as pool:
-                for i, value in enumerate(pool.map(one, trials)):
-                    scores[i].append(value)
-        finally:
+        frames = [features.transform(d).select("label", FEATURES) for d in (rest, held)]
+        n = _n_features(frames[0])
+        return compact(frames[0], n).persist(), compact(frames[1], n).persist()
+
+    auc = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", numBins=0)
+    sc = data.sparkSession.sparkContext
+    encoded = [encode(f) for f in folds]
+    todo = [(t, f) for t in range(len(trials)) for f in range(len(folds))]
+
+    def one(job: tuple[int, int]) -> float:
+        train, valid = encoded[job[1]]
+        sc.setLocalProperty("spark.scheduler.pool", f"tune-{name}")
+        return float(auc.evaluate(fit_model(name, train, "label", trials[job[0]]).score(valid, ["label"])))
+
+    try:
+        with ThreadPool(max(1, min(parallelism, len(todo)))) as pool:
+            values = pool.map(one, todo, chunksize=1)
+    finally:
+        for train, valid in encoded:
             train.unpersist()
             valid.unpersist()
-    means = [sum(s) / len(s) for s in scores]
+    means = [sum(values[t * len(folds):(t + 1) * len(folds)]) / len(folds) for t in range(len(trials))]
     rows = [(i, json.dumps(t, sort_keys=True), m) for i, (t, m) in enumerate(zip(trials, means))]
     table = data.sparkSession.createDataFrame(rows, "trial int, params string, mean_roc_auc double")
     return table, trials[max(range(len(trials)), key=lambda i: means[i])]

@@ -1,3 +1,5 @@
+import json
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -134,26 +136,40 @@ def test_tuning_trials(spark, processed):
     assert [r.params for r in again.collect()] == [r.params for r in rows]
 
 
-def test_registered_tuning_covers_every_model(spark, monkeypatch):
-    import inspect
-
-    from tabwatch.operators import models as MD
-    from tabwatch.plans import catalog
-
-    tune, given = MD.tune, inspect.signature(MD.tune)
-    seen = {}
-
-    def counted(*args, **options):
-        a = given.bind(*args, **options)
-        a.apply_defaults()
-        seen[a.arguments["name"]] = n = a.arguments["n_trials"]
-        rows = [(i, "{}", 0.5) for i in range(n)]
-        return spark.createDataFrame(rows, "trial int, params string, mean_roc_auc double"), {}
+def test_tuning_fits_every_model(spark, processed):
+    """Real fits of all three models: each trial's mean is that of its folds fitted one by one."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
 
-    monkeypatch.setattr(MD, "tune", counted)
-    out = catalog.tuning_trials(spark, "/root/testdata/sf0.001")
-    assert tune is not MD.tune and seen == {m: 30 for m in MD.REGISTRY}
-    assert {r["model"]: r["count"] for r in out.groupBy("model").count().collect()} == seen
+    from tabwatch.operators import split as S
+    folds = S.stratified_folds(processed.withColumn("id", F.monotonically_increasing_id()),
+                               "id", "churn", k=2).persist()
+    pipe = FE.build_feature_pipeline(T.NUMERICAL, "tenure", T.CATEGORICAL)
+    given = {"logreg": [{"C": 0.01, "balanced": False}, {"C": 1.0, "balanced": True}],
+             "gbt": [{"n_estimators": 2, "max_depth": 2}, {"n_estimators": 4, "max_depth": 3}],
+             "mlp": [{"hidden": [4], "max_iter": 3}, {"hidden": [6, 3], "max_iter": 20}]}
+    auc = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", numBins=0)
+    for name, trials in given.items():
+        table, best = M.tune(name, folds, pipe, "churn", "fold", trials=trials)
+        rows = sorted(table.collect())
+        assert [json.loads(r.params) for r in rows] == trials and best in trials
+        assert best == trials[max((0, 1), key=lambda i: rows[i].mean_roc_auc)]
+        k, want = 1, 0.0
+        for f in (0, 1):
+            rest = folds.where(F.col("fold") != f).withColumn("label", F.col("churn").cast("double"))
+            fm = pipe.fit(rest)
+            enc = fm.transform(rest).select("label", FE.FEATURES).coalesce(1)
+            held = fm.transform(folds.where(F.col("fold") == f)).withColumn("label", F.col("churn").cast("double"))
+            want += auc.evaluate(M.fit_model(name, enc, "label", trials[k]).score(held, ["label"])) / 2
+        assert abs(rows[k].mean_roc_auc - want) < 0.02
+    folds.unpersist()
+
+
+def test_small_folds_are_one_task_and_large_ones_many(spark):
+    d = spark.range(0, 1000, 1, 7).select(F.col("id").cast("double").alias("label"))
+    assert M.compact(d, 10).rdd.getNumPartitions() == 1
+    assert M.compact(d, 10, task_bytes=20_000).rdd.getNumPartitions() == 5
+    assert M.compact(d, 10, task_bytes=10).rdd.getNumPartitions() == 7
+    assert M.compact(d.limit(0), 10).count() == 0
 
 
 def test_saved_models_belong_to_the_application(spark, monkeypatch, tmp_path):
