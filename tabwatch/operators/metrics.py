@@ -4,6 +4,11 @@ Scale rules: rank metrics first aggregate to distinct (keys, score) with positiv
 counts (map-side combined), then run bucketed prefix sums; sweeps and calibration map each
 row to a small bin index and count -- no row x threshold expansion, no window over a whole
 group.
+
+Every function takes ``weight``, the name of a column of row weights; counts then are sums of
+weights. Weights are read to 9 decimal places and summed as integers of 38 digits, so that no
+sum depends on the order of the rows; a weight that is NULL, NaN or negative fails the job.
+Rows of weight 0 count for nothing but are rows of their group and bin.
 """
 
 from __future__ import annotations
@@ -11,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwatch.functions.columns import safe_div
@@ -23,37 +28,67 @@ LOG_LOSS_EPS = float(np.finfo(np.float64).eps)
 DEFAULT_THRESHOLD = 0.5
 
 
+#: Weights become integers: this many parts of one.
+WEIGHT_SCALE = 1_000_000_000
+
+
 def default_thresholds() -> list[float]:
     return [float(x) for x in np.linspace(0.05, 0.95, 19)]
 
 
-def _prep(scored: DataFrame, label: str, score: str) -> DataFrame:
-    """_y, _s. A label other than 0 or 1 (NULL too) fails the job instead of dropping out; a NaN
-    score counts as NULL."""
+def _prep(scored: DataFrame, label: str, score: str, weight: str | None = None) -> DataFrame:
+    """_y, _s, _w. A label other than 0 or 1 (NULL too) fails the job instead of dropping out; a
+    NaN score counts as NULL. _w: 1, or the weight as an integer of WEIGHT_SCALE parts."""
     y = F.col(label)
     bad = F.raise_error(F.concat(F.lit("a label must be 0 or 1; got "),
                                  F.coalesce(y.cast("string"), F.lit("NULL"))))
     return scored.withColumn("_y", F.when(y.isin(0, 1), y.cast("int")).otherwise(bad.cast("int"))) \
-        .withColumn("_s", F.nanvl(F.col(score).cast("double"), F.lit(None).cast("double")))
+        .withColumn("_s", F.nanvl(F.col(score).cast("double"), F.lit(None).cast("double"))) \
+        .withColumn("_w", F.lit(1) if weight is None else _scaled_weight(weight))
+
+
+def _scaled_weight(weight: str) -> Column:
+    w = F.col(weight).cast("double")
+    bad = F.raise_error(F.concat(F.lit("a weight must be a number of at least 0; got "),
+                                 F.coalesce(F.col(weight).cast("string"), F.lit("NULL"))))
+    parts = F.round(F.col(weight).cast("decimal(20, 9)") * F.lit(WEIGHT_SCALE)).cast("decimal(20, 0)")
+    return F.when((w >= 0) & ~F.isnan(w), parts).otherwise(bad.cast("decimal(20, 0)"))
+
+
+def _total(cond: Column, weight: str | None) -> Column:
+    """Rows, or weight, where the condition holds."""
+    return F.count_if(cond) if weight is None else F.coalesce(F.sum(F.when(cond, F.col("_w"))), F.lit(0).cast("decimal(38, 0)"))
+
+
+def _doubles(df: DataFrame, cols: Sequence[str], weight: str | None) -> DataFrame:
+    """Exact sums of weights, as doubles for the formulas on them."""
+    return df if weight is None else df.withColumns({c: F.col(c).cast("double") for c in cols})
+
+
+def _shown(col: str, weight: str | None) -> Column:
+    """A count as it is shown: a weight in its own unit."""
+    return (F.col(col) if weight is None else F.col(col) / F.lit(float(WEIGHT_SCALE))).alias(col)
 
 
 def score_counts(scored: DataFrame, keys: Sequence[str], label: str = "label",
-                 score: str = "score") -> DataFrame:
-    """keys, score, n_pos, n_neg: one row per distinct score (NULL scores dropped)."""
+                 score: str = "score", weight: str | None = None) -> DataFrame:
+    """keys, score, n_pos, n_neg: one row per distinct score (NULL scores dropped). With
+    ``weight``: sums in WEIGHT_SCALE parts."""
     return (
-        _prep(scored, label, score).where(F.col("_s").isNotNull())
+        _prep(scored, label, score, weight).where(F.col("_s").isNotNull())
         .groupBy(*keys, F.col("_s").alias("score"))
-        .agg(F.count_if(F.col("_y") == 1).alias("n_pos"),
-             F.count_if(F.col("_y") == 0).alias("n_neg"))
+        .agg(_total(F.col("_y") == 1, weight).alias("n_pos"),
+             _total(F.col("_y") == 0, weight).alias("n_neg"))
     )
 
 
 def rank_metrics(scored: DataFrame, keys: Sequence[str], label: str = "label",
-                 score: str = "score", key_bound: int | None = None) -> DataFrame:
+                 score: str = "score", key_bound: int | None = None, weight: str | None = None) -> DataFrame:
     """keys, roc_auc, pr_auc, n_pos, n_neg per group (a NULL key is a group). ``key_bound``: a
-    bound on the number of groups, which lets the per-group tables be broadcast."""
-    return _rank_from_counts(score_counts(scored, keys, label, score), keys, key_bound,
-                             _scores(scored, keys, score))
+    bound on the number of groups, which lets the per-group tables be broadcast. Weighted: ties
+    count half the product of their weights, n_pos and n_neg are sums of weights (doubles)."""
+    return _rank_from_counts(score_counts(scored, keys, label, score, weight), keys, key_bound,
+                             _scores(scored, keys, score), weight)
 
 
 def _scores(scored: DataFrame, keys: Sequence[str], score: str) -> DataFrame:
@@ -61,7 +96,7 @@ def _scores(scored: DataFrame, keys: Sequence[str], score: str) -> DataFrame:
 
 
 def _rank_from_counts(counts: DataFrame, keys: Sequence[str], key_bound: int | None = None,
-                      raw: DataFrame | None = None) -> DataFrame:
+                      raw: DataFrame | None = None, weight: str | None = None) -> DataFrame:
     """keys, roc_auc, pr_auc, n_pos, n_neg. Bucket bounds come from a sketch of the raw scores,
     so that the distinct-score counts are shuffled once and their exchange is shared.
 
@@ -72,13 +107,14 @@ def _rank_from_counts(counts: DataFrame, keys: Sequence[str], key_bound: int | N
     keys = list(keys)
     rt = running_totals(counts, keys, "score", ["n_pos", "n_neg"], key_bound=key_bound,
                         bounds_from=raw)
-    tot = rt.key_totals().select(*keys, F.col("total_n_pos").alias("P"),
-                                 F.col("total_n_neg").alias("N"))
+    tot = _doubles(rt.key_totals().select(*keys, F.col("total_n_pos").alias("P"),
+                                          F.col("total_n_neg").alias("N")), ["P", "N"], weight)
+    rows = _doubles(rt.rows, ["n_pos", "n_neg", "cum_n_pos", "cum_n_neg"], weight)
     # positives / negatives with score >= this score
     tp = F.col("P") - (F.col("cum_n_pos") - F.col("n_pos"))
     fp = F.col("N") - (F.col("cum_n_neg") - F.col("n_neg"))
     parts = (
-        join_null_safe(rt.rows, hint_small(tot, key_bound), keys)
+        join_null_safe(rows, hint_small(tot, key_bound), keys)
         .groupBy(*keys)
         .agg(F.sum(F.col("n_pos") * (F.col("cum_n_neg") - F.col("n_neg") / 2.0)).alias("_auc"),
              F.sum(F.when(F.col("n_pos") > 0, F.col("n_pos") * (tp / (tp + fp))))
@@ -90,19 +126,26 @@ def _rank_from_counts(counts: DataFrame, keys: Sequence[str], key_bound: int | N
                F.col("_auc") / (F.col("P").cast("double") * F.col("N"))).alias("roc_auc"),
         F.when(F.col("P") > 0, F.coalesce(F.col("_ap"), F.lit(0.0)) / F.col("P"))
         .alias("pr_auc"),
-        F.col("P").alias("n_pos"), F.col("N").alias("n_neg"),
+        _shown("P", weight).alias("n_pos"), _shown("N", weight).alias("n_neg"),
     )
 
 
 def point_metrics(scored: DataFrame, keys: Sequence[str], threshold: float = DEFAULT_THRESHOLD,
-                  label: str = "label", score: str = "score") -> DataFrame:
+                  label: str = "label", score: str = "score", weight: str | None = None) -> DataFrame:
     """keys, f1 (at score >= threshold, 0.0 on zero division), log_loss (natural log,
-    probabilities clipped to [eps, 1 - eps]), brier, tp, fp, fn, tn -- one aggregate."""
+    probabilities clipped to [eps, 1 - eps]), brier, tp, fp, fn, tn -- one aggregate. Weighted:
+    means are weighted (NULL where all weights are 0), tp to tn are sums of weights (doubles)."""
+    if weight is not None:
+        d = _prep(scored, label, score, weight).withColumn("score", F.col("_s"))
+        for n, y in (("n_pos", 1), ("n_neg", 0)):
+            d = d.withColumn(n, F.when((F.col("_y") == y) & F.col("_s").isNotNull(), F.col("_w")).otherwise(0))
+        return _point_from_counts(d, keys, threshold, weight)
     d = _prep(scored, label, score)
     pred = F.col("_s") >= F.lit(float(threshold))
     pos = F.col("_y") == 1
     p_label = F.when(pos, F.col("_s")).otherwise(F.lit(1.0) - F.col("_s"))
-    clipped = F.least(F.greatest(p_label, F.lit(LOG_LOSS_EPS)), F.lit(1.0 - LOG_LOSS_EPS))
+    clipped = F.when(F.col("_s").isNotNull(),  # greatest() would skip a NULL score
+                     F.least(F.greatest(p_label, F.lit(LOG_LOSS_EPS)), F.lit(1.0 - LOG_LOSS_EPS)))
     agg = d.groupBy(*keys).agg(
         F.count_if(pred & pos).alias("tp"), F.count_if(pred & ~pos).alias("fp"),
         F.count_if(~pred & pos).alias("fn"), F.count_if(~pred & ~pos).alias("tn"),
@@ -115,36 +158,40 @@ def point_metrics(scored: DataFrame, keys: Sequence[str], threshold: float = DEF
         "log_loss", "brier", "tp", "fp", "fn", "tn")
 
 
-def _point_from_counts(counts: DataFrame, keys: Sequence[str], threshold: float) -> DataFrame:
+def _point_from_counts(counts: DataFrame, keys: Sequence[str], threshold: float,
+                       weight: str | None = None) -> DataFrame:
     """Point metrics from distinct-score counts (the scored table is scanned once)."""
     s = F.col("score")
     pred = s >= F.lit(float(threshold))
     lo, hi = F.lit(LOG_LOSS_EPS), F.lit(1.0 - LOG_LOSS_EPS)
-    agg = counts.groupBy(*keys).agg(
+    pos, neg = (F.col(c) if weight is None else F.col(c).cast("double") for c in ("n_pos", "n_neg"))
+    agg = _doubles(counts.groupBy(*keys).agg(
         F.sum(F.when(pred, F.col("n_pos")).otherwise(0)).alias("tp"),
         F.sum(F.when(pred, F.col("n_neg")).otherwise(0)).alias("fp"),
         F.sum("n_pos").alias("_P"), F.sum("n_neg").alias("_N"),
-        F.sum(F.col("n_pos") * F.ln(F.least(F.greatest(s, lo), hi))
-              + F.col("n_neg") * F.ln(F.least(F.greatest(F.lit(1.0) - s, lo), hi))).alias("_ll"),
-        F.sum(F.col("n_pos") * F.pow(s - 1.0, 2) + F.col("n_neg") * F.pow(s, 2)).alias("_sq"),
-    )
-    n = (F.col("_P") + F.col("_N")).cast("double")
+        F.sum(pos * F.ln(F.least(F.greatest(s, lo), hi))
+              + neg * F.ln(F.least(F.greatest(F.lit(1.0) - s, lo), hi))).alias("_ll"),
+        F.sum(pos * F.pow(s - 1.0, 2) + neg * F.pow(s, 2)).alias("_sq"),
+    ), ["tp", "fp", "_P", "_N"], weight)
+    n = F.nullif(F.col("_P") + F.col("_N"), F.lit(0)).cast("double")
     fn = F.col("_P") - F.col("tp")
     return agg.select(
         *keys, safe_div(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + fn).alias("f1"),
         (-F.col("_ll") / n).alias("log_loss"), (F.col("_sq") / n).alias("brier"),
-        "tp", "fp", fn.alias("fn"), (F.col("_N") - F.col("fp")).alias("tn"))
+        "tp", "fp", fn.alias("fn"), (F.col("_N") - F.col("fp")).alias("tn")).select(
+        *keys, "f1", "log_loss", "brier", *[_shown(c, weight) for c in ("tp", "fp", "fn", "tn")])
 
 
 def classification_metrics(scored: DataFrame, keys: Sequence[str] = ("model", "split"),
                            threshold: float = DEFAULT_THRESHOLD, label: str = "label",
-                           score: str = "score", key_bound: int | None = None) -> DataFrame:
+                           score: str = "score", key_bound: int | None = None,
+                           weight: str | None = None) -> DataFrame:
     """The five-metric set per group: keys, roc_auc, pr_auc, f1, log_loss, brier. One scan:
     rank and point metrics both come from the distinct-score counts."""
     keys = list(keys)
-    counts = score_counts(scored, keys, label, score)
-    r = _rank_from_counts(counts, keys, key_bound, _scores(scored, keys, score))
-    p = _point_from_counts(counts, keys, threshold)
+    counts = score_counts(scored, keys, label, score, weight)
+    r = _rank_from_counts(counts, keys, key_bound, _scores(scored, keys, score), weight)
+    p = _point_from_counts(counts, keys, threshold, weight)
     return join_null_safe(r, hint_small(p, key_bound), keys).select(*keys, "roc_auc", "pr_auc", "f1", "log_loss", "brier")
 
 
@@ -168,9 +215,9 @@ def champion(metric_table: DataFrame, metric: str = "roc_auc", model_col: str =
 
 def confusion_at(scored: DataFrame, keys: Sequence[str] = ("model",),
                  threshold: float = DEFAULT_THRESHOLD, label: str = "label",
-                 score: str = "score") -> DataFrame:
+                 score: str = "score", weight: str | None = None) -> DataFrame:
     """keys, tp, fp, fn, tn at ``score >= threshold``; an absent class gives 0."""
-    return point_metrics(scored, keys, threshold, label, score).select(
+    return point_metrics(scored, keys, threshold, label, score, weight).select(
         *keys, "tp", "fp", "fn", "tn")
 
 
@@ -182,7 +229,7 @@ def _spine(agg: DataFrame, keys: list[str], n: int, name: str) -> DataFrame:
 
 def threshold_sweep(scored: DataFrame, keys: Sequence[str] = ("model",),
                     thresholds: Sequence[float] | None = None, label: str = "label",
-                    score: str = "score") -> DataFrame:
+                    score: str = "score", weight: str | None = None) -> DataFrame:
     """keys, threshold, precision, recall, f1, tp, fp, fn, tn for each threshold
     (``score >= t``; 0.0 on zero division). One pass: each row gets k = number of
     thresholds <= score, counts per k, then suffix sums over <= len(thresholds)+1 rows per
@@ -192,35 +239,37 @@ def threshold_sweep(scored: DataFrame, keys: Sequence[str] = ("model",),
     if not thr:
         raise ValueError("no thresholds given")
     arr = F.array(*[F.lit(t) for t in thr])
-    d = count_below(_prep(scored, label, score).where(F.col("_s").isNotNull())
+    d = count_below(_prep(scored, label, score, weight).where(F.col("_s").isNotNull())
                     .withColumn("_thr", arr), "_thr", "_s", len(thr), "k", inclusive=True)
-    agg = d.groupBy(*keys, "k").agg(F.count_if(F.col("_y") == 1).alias("pos"),
-                                    F.count_if(F.col("_y") == 0).alias("neg"))
+    agg = d.groupBy(*keys, "k").agg(_total(F.col("_y") == 1, weight).alias("pos"),
+                                    _total(F.col("_y") == 0, weight).alias("neg"))
     full = join_null_safe(_spine(agg, keys, len(thr) + 1, "k"), agg, [*keys, "k"], "left") \
         .fillna(0, subset=["pos", "neg"])
     suffix = Window.partitionBy(*keys).orderBy(F.desc("k")).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     whole = Window.partitionBy(*keys)
-    s = full.select(
+    s = _doubles(full.select(
         *keys, "k",
         F.sum("pos").over(suffix).alias("tp"), F.sum("neg").over(suffix).alias("fp"),
         F.sum("pos").over(whole).alias("P"), F.sum("neg").over(whole).alias("N"),
-    ).where(F.col("k") >= 1)
+    ).where(F.col("k") >= 1), ["tp", "fp", "P", "N"], weight)
+    shown = (lambda c: c.cast("long")) if weight is None else (lambda c: c / F.lit(float(WEIGHT_SCALE)))
     precision = safe_div("tp", F.col("tp") + F.col("fp"))
     recall = safe_div("tp", "P")
     return s.select(
         *keys, F.element_at(arr, F.col("k")).alias("threshold"),
         precision.alias("precision"), recall.alias("recall"),
         safe_div(2 * precision * recall, precision + recall).alias("f1"),
-        F.col("tp").cast("long").alias("tp"), F.col("fp").cast("long").alias("fp"),
-        (F.col("P") - F.col("tp")).cast("long").alias("fn"),
-        (F.col("N") - F.col("fp")).cast("long").alias("tn"),
+        shown(F.col("tp")).alias("tp"), shown(F.col("fp")).alias("fp"),
+        shown(F.col("P") - F.col("tp")).alias("fn"),
+        shown(F.col("N") - F.col("fp")).alias("tn"),
     )
 
 
 def calibration_table(scored: DataFrame, keys: Sequence[str] = ("model",), n_bins: int = 10,
-                      label: str = "label", score: str = "score") -> DataFrame:
-    """keys, bin, bin_lower, bin_upper, predicted_mean, observed_rate, count.
+                      label: str = "label", score: str = "score", weight: str | None = None) -> DataFrame:
+    """keys, bin, bin_lower, bin_upper, predicted_mean, observed_rate, count; weighted: the means
+    are weighted (NULL where all weights of a bin are 0), ``weight_sum`` comes after count.
 
     ``n_bins`` equal-width bins on [0, 1], left-closed, the last one closed; empty bins kept
     with NULL means and count 0. Edges are linspace(0, 1, n + 1) values computed on the
@@ -231,15 +280,22 @@ def calibration_table(scored: DataFrame, keys: Sequence[str] = ("model",), n_bin
     edges = [float(x) for x in np.linspace(0.0, 1.0, n_bins + 1)]
     earr = F.array(*[F.lit(e) for e in edges])
     inner = F.array(*[F.lit(e) for e in edges[1:-1]])
-    d = _prep(scored, label, score).where((F.col("_s") >= 0.0) & (F.col("_s") <= 1.0))
+    d = _prep(scored, label, score, weight).where((F.col("_s") >= 0.0) & (F.col("_s") <= 1.0))
     d = count_below(d.withColumn("_in", inner), "_in", "_s", n_bins - 1, "bin", inclusive=True)
-    agg = d.groupBy(*keys, "bin").agg(
-        F.avg("_s").alias("predicted_mean"), F.avg(F.col("_y").cast("double"))
-        .alias("observed_rate"), F.count(F.lit(1)).alias("count"))
+    if weight is None:
+        means = [F.avg("_s").alias("predicted_mean"), F.avg(F.col("_y").cast("double")).alias("observed_rate")]
+    else:
+        w = F.col("_w").cast("double")
+        total = F.nullif(F.sum("_w").cast("double"), F.lit(0.0))
+        means = [(F.sum(w * F.col("_s")) / total).alias("predicted_mean"),
+                 (_total(F.col("_y") == 1, weight).cast("double") / total).alias("observed_rate"),
+                 (F.sum("_w").cast("double") / WEIGHT_SCALE).alias("weight_sum")]
+    agg = d.groupBy(*keys, "bin").agg(*means, F.count(F.lit(1)).alias("count"))
     return join_null_safe(_spine(agg, keys, n_bins, "bin"), agg, [*keys, "bin"], "left").select(
         *keys, F.col("bin").cast("int").alias("bin"),
         F.element_at(earr, F.col("bin") + 1).alias("bin_lower"),
         F.element_at(earr, F.col("bin") + 2).alias("bin_upper"),
         "predicted_mean", "observed_rate",
         F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"),
+        *([] if weight is None else [F.coalesce("weight_sum", F.lit(0.0)).alias("weight_sum")]),
     )

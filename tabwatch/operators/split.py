@@ -72,14 +72,41 @@ def _offsets(counts: DataFrame) -> DataFrame:
     return counts.select("_stratum", "_prefix", "_n", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
 
 
+def hash_split(df: DataFrame, key: str, test_size: float = 0.2, val_size: float = 0.2, seed: int = 42,
+               out: str = "split") -> DataFrame:
+    """Adds ``out`` in {'train', 'val', 'test'} by thresholds on the row's hash: one narrow pass,
+    no counts, no state, so it runs on streams too, and a row gets the same split whenever and
+    wherever it comes. Sizes and class rates are met in expectation: of n rows a share p deviates
+    by about sqrt(p (1 - p) / n). Rows with equal keys stay together; a NULL key fails the job."""
+    _check_size("test_size", test_size)
+    _check_size("val_size", val_size)
+    test, val = cut_points(test_size, val_size)
+    bad = F.raise_error(F.lit(f"the key {key} has NULLs")).cast("long")
+    h = F.when(F.col(key).isNull(), bad).otherwise(uniform_hash(seed, key))
+    return df.withColumn(out, F.when(h < test, "test").when(h < val, "val").otherwise("train"))
+
+
+def cut_points(test_size: float, val_size: float) -> tuple[int, int]:
+    """Hashes below the first are test rows, others below the second validation rows."""
+    test = math.floor(test_size * 2 ** 32)
+    return test, test + math.floor(val_size * (2 ** 32 - test))
+
+
 def stratified_split(df: DataFrame, key: str, strata_col: str, test_size: float = 0.2,
                      val_size: float = 0.2, seed: int = 42, prefix_bits: int = 16,
-                     max_strata: int = MAX_STRATA, out: str = "split") -> DataFrame:
+                     max_strata: int = MAX_STRATA, out: str = "split", mode: str = "exact") -> DataFrame:
     """Adds ``out`` in {'train', 'val', 'test'}: exact stratified sizes (64/16/20 for the
     defaults), identical for any partitioning. ``key`` must be unique and non-NULL. A strata
-    column with more than ``max_strata`` values raises."""
+    column with more than ``max_strata`` values raises. ``mode='approx'``: ``hash_split``, whose
+    sizes hold in expectation within every stratum; any number of strata."""
+    if mode not in ("exact", "approx"):
+        raise ValueError(f"mode must be 'exact' or 'approx'; got {mode!r}")
     _check_size("test_size", test_size)
     _check_size("val_size", val_size)
+    if mode == "approx":
+        if strata_col not in df.columns:
+            raise KeyError(f"strata column {strata_col!r} not found")
+        return hash_split(df, key, test_size, val_size, seed, out)
     d = _ordered(df, key, strata_col, seed, prefix_bits)
     counts, strata = _prefix_counts(d, key, strata_col, max_strata)
     try:

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabwatch.operators import drift
@@ -205,6 +205,68 @@ def calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.rounded(M.calibration_table(_scored(spark, sf_dir), _MS))
 
 
+# the same with row weights, some of them 0
+_W = O.scored_lineitem_sql(weighted=True)
+
+
+def _weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.scored_lineitem(spark, sf_dir, weighted=True)
+
+
+@register("weighted_metric_set", f"""
+SELECT r.model, r.split, round(roc_auc, 6) AS roc_auc, round(pr_auc, 6) AS pr_auc,
+       round(f1, 6) AS f1, round(log_loss, 6) AS log_loss, round(brier, 6) AS brier
+FROM {O.rank_metrics_sql(_W, _MS, 'w')} r JOIN {O.point_metrics_sql(_W, _MS, 0.5, 'w')} p
+  ON r.model = p.model AND r.split = p.split""")
+def weighted_metric_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1-G6 with weights."""
+    return T.rounded(M.classification_metrics(_weighted(spark, sf_dir), _MS, key_bound=6, weight="w"))
+
+
+@register("weighted_roc_pr_auc", f"""
+SELECT model, split, round(roc_auc, 6) AS roc_auc, round(pr_auc, 6) AS pr_auc, round(n_pos, 6) AS n_pos,
+  round(n_neg, 6) AS n_neg FROM {O.rank_metrics_sql(_W, _MS, 'w')} r""")
+def weighted_roc_pr_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1, G2 with weights."""
+    return T.rounded(M.rank_metrics(_weighted(spark, sf_dir), _MS, key_bound=6, weight="w"))
+
+
+@register("weighted_confusion", f"""
+SELECT model, split, round(CAST(tp AS DOUBLE), 6) AS tp, round(CAST(fp AS DOUBLE), 6) AS fp,
+  round(CAST(fn AS DOUBLE), 6) AS fn, round(CAST(tn AS DOUBLE), 6) AS tn FROM {O.point_metrics_sql(_W, _MS, 0.5, 'w')} p""")
+def weighted_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G9 with weights."""
+    return T.rounded(M.confusion_at(_weighted(spark, sf_dir), _MS, 0.5, weight="w"))
+
+
+@register("weighted_sweep", f"""
+SELECT model, split, round(threshold, 6) AS threshold, round(precision, 6) AS precision,
+  round(recall, 6) AS recall, round(f1, 6) AS f1, round(CAST(tp AS DOUBLE), 6) AS tp,
+  round(CAST(fp AS DOUBLE), 6) AS fp, round(CAST(fn AS DOUBLE), 6) AS fn, round(CAST(tn AS DOUBLE), 6) AS tn
+FROM {O.sweep_sql(_W, _MS, M.default_thresholds(), 'w')} s""")
+def weighted_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G7 with weights."""
+    return T.rounded(M.threshold_sweep(_weighted(spark, sf_dir), _MS, weight="w"))
+
+
+@register("weighted_calibration", f"""
+SELECT model, split, bin, round(bin_lower, 6) AS bin_lower, round(bin_upper, 6) AS bin_upper,
+  round(predicted_mean, 6) AS predicted_mean, round(observed_rate, 6) AS observed_rate, count,
+  round(weight_sum, 6) AS weight_sum FROM {O.calibration_sql(_W, _MS, 10, 'w')} c""")
+def weighted_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G8 with weights."""
+    return T.rounded(M.calibration_table(_weighted(spark, sf_dir), _MS, weight="w"))
+
+
+@register("weighted_comparison", f"""
+SELECT r.model, round(roc_auc, 6) AS roc_auc, round(pr_auc, 6) AS pr_auc, round(f1, 6) AS f1,
+  round(log_loss, 6) AS log_loss, round(brier, 6) AS brier
+FROM {O.rank_metrics_sql(_W, ['model'], 'w')} r JOIN {O.point_metrics_sql(_W, ['model'], 0.5, 'w')} p ON r.model = p.model""")
+def weighted_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G10 with weights."""
+    return T.rounded(M.compare_models(_weighted(spark, sf_dir), key_bound=2, weight="w"))
+
+
 _CMP = f"""(SELECT r.model, roc_auc, pr_auc, f1, log_loss, brier
 FROM {O.rank_metrics_sql(_S, ['model'])} r JOIN {O.point_metrics_sql(_S, ['model'])} p
   ON r.model = p.model)"""
@@ -483,6 +545,34 @@ def split_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _split(spark, sf_dir).select("customer_id", "split")
 
 
+_APPROX_TEST, _APPROX_VAL = D.cut_points(0.2, 0.2)
+_APPROX_SQL = (f"(SELECT o_orderkey, o_orderstatus, CASE WHEN {O.uniform_hash_sql(SPLIT_SEED, 'o_orderkey')} < {_APPROX_TEST} "
+               f"THEN 'test' WHEN {O.uniform_hash_sql(SPLIT_SEED, 'o_orderkey')} < {_APPROX_VAL} THEN 'val' "
+               "ELSE 'train' END AS split FROM orders)")
+
+
+def _approx_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = T.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    return D.stratified_split(orders, "o_orderkey", "o_orderstatus", seed=SPLIT_SEED, mode="approx")
+
+
+@register("split_approx", f"SELECT o_orderkey, split FROM {_APPROX_SQL} s")
+def split_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1, mode 'approx': every order, one narrow pass."""
+    return _approx_split(spark, sf_dir).select("o_orderkey", "split")
+
+
+@register("split_approx_rates", f"""
+SELECT o_orderstatus, split, CAST(count(*) AS BIGINT) AS n,
+  round(CAST(count(*) AS DOUBLE) / sum(count(*)) OVER (PARTITION BY o_orderstatus), 6) AS share
+FROM {_APPROX_SQL} s GROUP BY o_orderstatus, split""")
+def split_approx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes of the approximate split within each stratum."""
+    n = _approx_split(spark, sf_dir).groupBy("o_orderstatus", "split").agg(F.count(F.lit(1)).alias("n"))
+    total = F.sum("n").over(Window.partitionBy("o_orderstatus"))  # three rows a stratum
+    return T.rounded(n.withColumn("share", F.col("n") / total))
+
+
 # a stratum that is NULL for every third customer
 _NULL_STRATUM = ("(SELECT *, CASE WHEN customer_id % 3 = 0 THEN NULL ELSE segment END AS seg FROM "
                  f"{O.PROCESSED})")

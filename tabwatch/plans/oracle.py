@@ -119,95 +119,108 @@ def uniform_hash_sql(seed, *keys: str) -> str:
     return f"('0x' || substr(md5({parts}), 1, 8))::BIGINT"
 
 
-def scored_lineitem_sql() -> str:
+def scored_lineitem_sql(weighted: bool = False) -> str:
     h = f"({uniform_hash_sql(T.SPLIT_SEED, 'l_orderkey', 'l_linenumber')} % 5)"
     split = f"CASE WHEN {h} < 3 THEN 'train' WHEN {h} < 4 THEN 'val' ELSE 'test' END"
+    weight = ", l_discount * 10 AS w" if weighted else ""
     common = (f"l_orderkey * 10 + l_linenumber AS key, "
-              f"CAST(l_returnflag = 'R' AS INTEGER) AS label, {split} AS split")
+              f"CAST(l_returnflag = 'R' AS INTEGER) AS label, {split} AS split{weight}")
     return (f"(SELECT 'qty' AS model, {common}, l_quantity / {dbl(T.QTY_SCALE)} AS score "
             f"FROM lineitem UNION ALL "
             f"SELECT 'price' AS model, {common}, "
             f"l_extendedprice / (l_extendedprice + {dbl(T.PRICE_SCALE)}) AS score FROM lineitem)")
 
 
-def rank_metrics_sql(src: str, keys: list[str]) -> str:
+def total_sql(cond: str, weight: str | None) -> str:
+    """Rows where a condition holds, or their weight (exact to 9 decimal places)."""
+    return f"count(*) FILTER (WHERE {cond})" if weight is None else \
+        f"coalesce(sum(CAST({weight} AS DECIMAL(18, 9))) FILTER (WHERE {cond}), 0)"
+
+
+def rank_metrics_sql(src: str, keys: list[str], weight: str | None = None) -> str:
     """CTE body giving keys, roc_auc, pr_auc, n_pos, n_neg."""
+    kind = "BIGINT" if weight is None else "DOUBLE"
     k = ", ".join(keys)
     part = f"PARTITION BY {k}"
     return f"""(
-  SELECT {k}, CASE WHEN P > 0 AND N > 0 THEN auc / (CAST(P AS DOUBLE) * N) END AS roc_auc,
-         CASE WHEN P > 0 THEN coalesce(ap, 0.0) / P END AS pr_auc,
-         CAST(P AS BIGINT) AS n_pos, CAST(N AS BIGINT) AS n_neg
+  SELECT {k}, CASE WHEN P > 0 AND N > 0 THEN auc / (CAST(P AS DOUBLE) * CAST(N AS DOUBLE)) END AS roc_auc,
+         CASE WHEN P > 0 THEN coalesce(ap, 0.0) / CAST(P AS DOUBLE) END AS pr_auc,
+         CAST(P AS {kind}) AS n_pos, CAST(N AS {kind}) AS n_neg
   FROM (
     SELECT {k}, any_value(P) AS P, any_value(N) AS N,
-      sum(n_pos * (CAST(cn AS DOUBLE) - CAST(n_neg AS DOUBLE) / 2.0)) AS auc,
-      sum(CASE WHEN n_pos > 0 THEN n_pos * (CAST(P - (cp - n_pos) AS DOUBLE)
+      sum(CAST(n_pos AS DOUBLE) * (CAST(cn AS DOUBLE) - CAST(n_neg AS DOUBLE) / 2.0)) AS auc,
+      sum(CASE WHEN n_pos > 0 THEN CAST(n_pos AS DOUBLE) * (CAST(P - (cp - n_pos) AS DOUBLE)
           / CAST((P - (cp - n_pos)) + (N - (cn - n_neg)) AS DOUBLE)) END) AS ap
     FROM (
       SELECT *, sum(n_pos) OVER ({part} ORDER BY score ROWS UNBOUNDED PRECEDING) AS cp,
                 sum(n_neg) OVER ({part} ORDER BY score ROWS UNBOUNDED PRECEDING) AS cn,
                 sum(n_pos) OVER ({part}) AS P, sum(n_neg) OVER ({part}) AS N
       FROM (SELECT {k}, CAST(score AS DOUBLE) AS score,
-                   count(*) FILTER (WHERE label = 1) AS n_pos,
-                   count(*) FILTER (WHERE label = 0) AS n_neg
+                   {total_sql("label = 1", weight)} AS n_pos,
+                   {total_sql("label = 0", weight)} AS n_neg
             FROM {src} WHERE score IS NOT NULL GROUP BY {k}, score))
     GROUP BY {k}))"""
 
 
-def point_metrics_sql(src: str, keys: list[str], threshold: float = 0.5) -> str:
+def point_metrics_sql(src: str, keys: list[str], threshold: float = 0.5, weight: str | None = None) -> str:
     from tabwatch.operators.metrics import LOG_LOSS_EPS
     k = ", ".join(keys)
     t = dbl(threshold)
+    mean = (lambda x: f"avg({x})") if weight is None else \
+        (lambda x: f"sum({weight} * {x}) / nullif(sum(CASE WHEN score IS NOT NULL THEN {weight} END), 0)")
     return f"""(
   SELECT {k}, CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0
-                   ELSE CAST(2 * tp AS DOUBLE) / (2 * tp + fp + fn) END AS f1,
+                   ELSE CAST(2 * tp AS DOUBLE) / CAST(2 * tp + fp + fn AS DOUBLE) END AS f1,
          log_loss, brier, tp, fp, fn, tn
   FROM (SELECT {k},
-      count(*) FILTER (WHERE score >= {t} AND label = 1) AS tp,
-      count(*) FILTER (WHERE score >= {t} AND label = 0) AS fp,
-      count(*) FILTER (WHERE score < {t} AND label = 1) AS fn,
-      count(*) FILTER (WHERE score < {t} AND label = 0) AS tn,
-      -avg(ln(least(greatest(CASE WHEN label = 1 THEN score ELSE 1.0 - score END,
-                             {dbl(LOG_LOSS_EPS)}), {dbl(1.0 - LOG_LOSS_EPS)}))) AS log_loss,
-      avg(power(score - label, 2)) AS brier
+      {total_sql(f"score >= {t} AND label = 1", weight)} AS tp,
+      {total_sql(f"score >= {t} AND label = 0", weight)} AS fp,
+      {total_sql(f"score < {t} AND label = 1", weight)} AS fn,
+      {total_sql(f"score < {t} AND label = 0", weight)} AS tn,
+      -{mean(f"ln(least(greatest(CASE WHEN label = 1 THEN score ELSE 1.0 - score END, "
+             f"{dbl(LOG_LOSS_EPS)}), {dbl(1.0 - LOG_LOSS_EPS)}))")} AS log_loss,
+      {mean("power(score - label, 2)")} AS brier
     FROM {src} GROUP BY {k}))"""
 
 
-def sweep_sql(src: str, keys: list[str], thresholds: list[float]) -> str:
+def sweep_sql(src: str, keys: list[str], thresholds: list[float], weight: str | None = None) -> str:
+    w = None if weight is None else f"s.{weight}"
     k = ", ".join(f"s.{x}" for x in keys)
     tl = ", ".join(dbl(t) for t in sorted(set(thresholds)))
     return f"""(
   SELECT *, CASE WHEN precision + recall = 0 THEN 0.0
                  ELSE 2 * precision * recall / (precision + recall) END AS f1
-  FROM (SELECT *, CASE WHEN tp + fp = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fp) END
+  FROM (SELECT *, CASE WHEN tp + fp = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / CAST(tp + fp AS DOUBLE) END
                   AS precision,
-               CASE WHEN tp + fn = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fn) END AS recall
+               CASE WHEN tp + fn = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / CAST(tp + fn AS DOUBLE) END AS recall
         FROM (SELECT {k}, t.threshold,
-                count(*) FILTER (WHERE s.score >= t.threshold AND s.label = 1) AS tp,
-                count(*) FILTER (WHERE s.score >= t.threshold AND s.label = 0) AS fp,
-                count(*) FILTER (WHERE s.score < t.threshold AND s.label = 1) AS fn,
-                count(*) FILTER (WHERE s.score < t.threshold AND s.label = 0) AS tn
+                {total_sql("s.score >= t.threshold AND s.label = 1", w)} AS tp,
+                {total_sql("s.score >= t.threshold AND s.label = 0", w)} AS fp,
+                {total_sql("s.score < t.threshold AND s.label = 1", w)} AS fn,
+                {total_sql("s.score < t.threshold AND s.label = 0", w)} AS tn
               FROM {src} s, (SELECT unnest([{tl}]) AS threshold) t
               GROUP BY {k}, t.threshold)))"""
 
 
-def calibration_sql(src: str, keys: list[str], n_bins: int = 10) -> str:
+def calibration_sql(src: str, keys: list[str], n_bins: int = 10, weight: str | None = None) -> str:
     import numpy as np
     edges = [float(x) for x in np.linspace(0.0, 1.0, n_bins + 1)]
     el = "[" + ", ".join(dbl(e) for e in edges) + "]"
     il = "[" + ", ".join(dbl(e) for e in edges[1:-1]) + "]"
     k = ", ".join(keys)
     j = " AND ".join(f"sp.{x} = a.{x}" for x in keys)
+    mean = (lambda x: f"avg({x})") if weight is None else (lambda x: f"sum({weight} * {x}) / nullif(sum({weight}), 0)")
+    extra = "" if weight is None else ", coalesce(a.ws, 0.0) AS weight_sum"
     return f"""(
   SELECT {", ".join(f"sp.{x}" for x in keys)}, CAST(sp.bin AS INTEGER) AS bin,
          {el}[sp.bin + 1] AS bin_lower, {el}[sp.bin + 2] AS bin_upper,
-         a.predicted_mean, a.observed_rate, CAST(coalesce(a.cnt, 0) AS BIGINT) AS count
+         a.predicted_mean, a.observed_rate, CAST(coalesce(a.cnt, 0) AS BIGINT) AS count{extra}
   FROM (SELECT {k}, b AS bin FROM (SELECT DISTINCT {k} FROM {src}
                                    WHERE score >= 0 AND score <= 1),
                                   range(0, {n_bins}) r(b)) sp
   LEFT JOIN (SELECT {k}, len(list_filter({il}, lambda e: e <= score)) AS bin,
-                    avg(score) AS predicted_mean, avg(CAST(label AS DOUBLE)) AS observed_rate,
-                    count(*) AS cnt
+                    {mean("score")} AS predicted_mean, {mean("CAST(label AS DOUBLE)")} AS observed_rate,
+                    count(*) AS cnt{"" if weight is None else f", sum({weight}) AS ws"}
              FROM {src} WHERE score >= 0 AND score <= 1 GROUP BY ALL) a
   ON {j} AND sp.bin = a.bin)"""
 

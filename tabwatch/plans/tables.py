@@ -44,10 +44,11 @@ def lineitem_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     return li.where(F.col("l_shipdate") < cut), li.where(F.col("l_shipdate") >= cut)
 
 
-def scored_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scored_lineitem(spark: SparkSession, sf_dir: str, weighted: bool = False) -> DataFrame:
     """Scored table (model, split, key, label, score): label = returned line; two "models"
     score every line -- ``qty`` = l_quantity / 51 (50 values, heavy ties) and ``price`` =
-    p / (p + 50000) (nearly all distinct). The split is a hash of the line key."""
+    p / (p + 50000) (nearly all distinct). The split is a hash of the line key. ``weighted``: a
+    column w too, ten times the discount (0 for some lines)."""
     from tabwatch.functions.hashing import uniform_hash
 
     li = table(spark, sf_dir, "lineitem")
@@ -58,10 +59,11 @@ def scored_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(h < 3, "train").when(h < 4, "val").otherwise("test").alias("split"),
         (F.col("l_quantity") / F.lit(QTY_SCALE)).alias("s_qty"),
         (F.col("l_extendedprice") / (F.col("l_extendedprice") + F.lit(PRICE_SCALE)))
-        .alias("s_price"),
+        .alias("s_price"), *([(F.col("l_discount") * 10).alias("w")] if weighted else []),
     )
-    return base.unpivot(["key", "label", "split"], ["s_qty", "s_price"], "model", "score") \
-        .select(F.substring("model", 3, 10).alias("model"), "split", "key", "label", "score")
+    more = ["w"] if weighted else []
+    return base.unpivot(["key", "label", "split", *more], ["s_qty", "s_price"], "model", "score") \
+        .select(F.substring("model", 3, 10).alias("model"), "split", "key", "label", *more, "score")
 
 
 # Fixed values of the customer-profile plan: churn = no order in the 180 days before

@@ -71,3 +71,41 @@ def test_folds_balanced(spark):
 def test_tiny_table(spark):
     df = spark.createDataFrame([(1, 0)], "id long, churn int")
     assert [r.split for r in S.stratified_split(df, "id", "churn").collect()] == ["test"]
+
+
+def test_approximate_split_keeps_rates_and_ratios(spark):
+    d = spark.range(200_000).select("id", (F.pmod(F.xxhash64("id"), F.lit(100)) < 27).cast("int").alias("churn"))
+    s = S.stratified_split(d, "id", "churn", mode="approx").persist()
+    n = {r.split: (r["n"], r.positive_rate) for r in S.split_stats(s, "churn").collect()}
+    rate = d.agg(F.avg("churn")).first()[0]
+    for split, share in (("train", 0.64), ("val", 0.16), ("test", 0.20)):
+        assert abs(n[split][0] / 200_000 - share) < 0.005 and abs(n[split][1] - rate) < 0.02
+    assert sum(x[0] for x in n.values()) == 200_000
+    again = S.stratified_split(d.repartition(17).where("id % 2 = 0"), "id", "churn", mode="approx")
+    assert again.join(s.withColumnRenamed("split", "was"), "id").where("split <> was").count() == 0
+    assert "Exchange" not in S.hash_split(d, "id")._jdf.queryExecution().executedPlan().toString()
+    s.unpersist()
+
+
+def test_approximate_split_on_a_stream(spark, tmp_dir):
+    d = spark.range(500).select("id", F.lit(1).alias("churn"))
+    d.repartition(5).write.parquet(f"{tmp_dir}/in")
+    q = S.hash_split(spark.readStream.schema(d.schema).option("maxFilesPerTrigger", 2).parquet(f"{tmp_dir}/in"), "id") \
+        .writeStream.format("parquet").option("checkpointLocation", f"{tmp_dir}/state").trigger(availableNow=True) \
+        .start(f"{tmp_dir}/out")
+    q.awaitTermination()
+    got = {r.id: r.split for r in spark.read.parquet(f"{tmp_dir}/out").collect()}
+    assert got == {r.id: r.split for r in S.stratified_split(d, "id", "churn", mode="approx").collect()}
+
+
+def test_approximate_split_refuses(spark):
+    d = spark.createDataFrame([(1, 0), (None, 1)], "id long, churn int")
+    with pytest.raises(Exception, match="NULL"):
+        S.hash_split(d, "id").collect()
+    with pytest.raises(ValueError, match="mode"):
+        S.stratified_split(d, "id", "churn", mode="fast")
+    with pytest.raises(ValueError, match="test_size"):
+        S.hash_split(d, "id", test_size=1.0)
+    with pytest.raises(KeyError):
+        S.stratified_split(d, "id", "nothing", mode="approx")
+    assert S.hash_split(d.limit(0), "id").collect() == []
