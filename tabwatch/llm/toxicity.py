@@ -16,12 +16,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwatch.llm.common import text_or_empty
+from tabwatch.llm.common import packed, shared_dir, stored, text_or_empty, unpacked
 
 SAMPLE_PER_CLASS = 20_000  # labelled rows of each class that the scorer is fitted on, at most
 MIN_SUPPORT = 5            # toxic sample texts that must hold a mark
@@ -33,6 +33,7 @@ CELLS = LETTERS ** 3
 # Letters that a symbol may stand for.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a",
         "$": "s", "!": "i", "|": "il", "+": "t"}
+KEPT_SPAN = 64  # characters of a span whose reading is kept, at most
 SWAP, KEEP, DROP_REPEAT, KEEP_GAP = 0.5, 2.0, 0.2, 3.0  # channel costs, in nats
 
 _ALL_SYMBOLS = "".join(LEET)
@@ -143,7 +144,8 @@ class Restorer:
     single, and words without the symbols at their end. Exclamation marks at an end are none."""
 
     def __init__(self, cost: np.ndarray):
-        self._read = functools.lru_cache(50_000)(lambda s: decode_span(s, cost))
+        kept = functools.lru_cache(50_000)(lambda s: decode_span(s, cost))
+        self._read = lambda s: kept(s) if len(s) <= KEPT_SPAN else decode_span(s, cost)
 
     def __call__(self, text: str) -> str:
         low = text.lower()
@@ -249,7 +251,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Character model from all documents, marks and weights from the bounded sample. Without
     labelled rows of both classes the model scores every text as clean."""
     model = ToxicityModel(char_model(docs, text_col))
-    sample = _sample(docs, labels, id_col, text_col, per_class).persist()
+    sample = _sample(docs, labels, id_col, text_col, per_class).persist(StorageLevel.DISK_ONLY)
     try:
         sizes = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
         n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
@@ -309,33 +311,50 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.01) -> tuple[float,
     return tuple(float(v) for v in w)
 
 
-def scorer(model: ToxicityModel, spark):
-    """A column function text -> score."""
-    shared = spark.sparkContext.broadcast(model)
+def scored_texts(rows: DataFrame, model: ToxicityModel) -> DataFrame:
+    """doc_id, h (text hash), score from doc_id, h and text t. Only these go through Python, and
+    texts are taken from a batch a few at a time."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def score(text: pd.Series) -> pd.Series:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        return pd.Series([m.score(t) for t in text.fillna("")], dtype="float64")
-    return score
+        for b in batches:
+            scores = [m.score(t) for k in range(0, b.num_rows, 64) for t in b.column(2).slice(k, 64).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(scores, pa.float64())],
+                                             ["doc_id", "h", "score"])
+    return rows.select("doc_id", "h", "t").mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, "
+                                                           "h long, score double")
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    t = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("t"))
+    return t.select("doc_id", F.xxhash64("t").alias("h"), "t")
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, held_out, score, predicted.
 
-    Null text: empty, scored by the bias alone. Null id: held out (its text is ''), as
+    Null or empty text: scored by the bias alone. Null id: held out (its text is ''), as
     crc32('') is 0. Labels that are null or not 0/1 are ignored; a document labelled twice
-    counts for each label. Empty documents: no rows."""
-    model = fit(docs, labels, id_col, text_col)
-    s = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("t"))
-    s = s.select("doc_id", scorer(model, docs.sparkSession)("t").alias("score"))
+    counts for each label. Rows that repeat are scored alike; texts of any length are read whole;
+    other columns, clashing names too, are not read. Empty documents: no rows. Without labelled
+    rows of both classes every text is scored as clean."""
+    s = scored_texts(_texts(docs, id_col, text_col), fit(docs, labels, id_col, text_col))
     return s.select("doc_id", held_out("doc_id").alias("held_out"), "score",
                     (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
-    """The rows scored below 0.5, with all their columns."""
+    """The rows scored below 0.5, with all their columns. The rows themselves stay in the JVM: the
+    few (id, text hash) pairs of toxic texts are stored and leave by an anti join, which Spark
+    broadcasts only where their measured size is small. Cases as in ``score_documents``; an empty
+    table gives an empty one, and columns of clashing names come back as they were."""
+    folder = shared_dir(docs.sparkSession)
     model = fit(docs, labels, id_col, text_col)
-    return docs.where(scorer(model, docs.sparkSession)(text_or_empty(docs[text_col])) < 0.5)
+    toxic = stored(scored_texts(_texts(docs, id_col, text_col), model).where("score >= 0.5")
+                   .select(F.col("doc_id").alias("toxic_id"), F.col("h").alias("toxic_h")).distinct(), f"{folder}/toxic")
+    rows = packed(docs, id=F.col(id_col), h=F.xxhash64(text_or_empty(text_col)))
+    return unpacked(rows.join(toxic, F.col("id").eqNullSafe(F.col("toxic_id"))
+                              & (F.col("h") == F.col("toxic_h")), "left_anti"))

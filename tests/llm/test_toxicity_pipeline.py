@@ -56,6 +56,18 @@ def test_without_labels_nothing_is_toxic(spark, corpus):
     assert T.score_documents(docs.limit(0), labels).count() == 0
 
 
+def test_drop_toxic_keeps_rows_as_they_were(spark, corpus):
+    docs, labels = corpus
+    odd = docs.selectExpr("*", "'x' AS row", "doc_id AS id", "2 AS h", "'t' AS toxic_id", "1L AS toxic_h")
+    bad = {(r.doc_id, r.score) for r in T.score_documents(docs, labels).where("predicted = 1").collect()}
+    kept = T.drop_toxic(odd, labels)
+    assert kept.columns == odd.columns
+    assert sorted(map(repr, kept.collect())) == sorted(
+        repr(r) for r in odd.collect() if (r.doc_id not in {i for i, _ in bad}))
+    assert T.drop_toxic(odd.limit(0), labels).collect() == []
+    assert T.drop_toxic(odd, labels.limit(0)).count() == odd.count()
+
+
 def test_viterbi_is_the_best_of_all_readings():
     g = np.random.default_rng(1)
     cost = g.gamma(1.0, 2.0, (T.LETTERS,) * 3)
