@@ -7,10 +7,11 @@ any machine and after any retry; another seed, id or text gives another one. A s
 stays apart unless a merge beside it offers a new pair.
 
 Only pieces without an inner border between a word and the space after it exist (checked at
-load), so a text is cut there. The worker keeps a tree per segment, without any dropout result:
-a node is the run of candidates that are due after a given series of skips, with the pieces if
-none of them is skipped, and has a child for each candidate. The hashes of all occurrences are
-taken together, and each occurrence walks to its child until none of its candidates is skipped."""
+load), so a text is cut there. The occurrences of a batch are merged in lock step: columns of a
+matrix hold their symbols, linked from left to right, and the key of the merge that each symbol
+offers with its right neighbour. A round takes the least key of every column, its hash, and
+either merges or strikes out the candidate; columns without candidates leave. Nothing is kept from
+one batch to the next. Segments over ROWS symbols have a heap of their own."""
 
 from __future__ import annotations
 
@@ -20,7 +21,7 @@ import itertools
 import re
 import zlib
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +32,11 @@ from tabwatch.llm.common import text_or_empty
 from tabwatch.llm.pretokens import small_batches
 
 SPACE = "▁"
-MAX_KEPT = 400_000  # segments a worker keeps, with twice as many nodes; then it begins anew
-TREE = 32           # symbols up to which a segment has a tree; longer ones are merged each time
-TOGETHER = 1 << 16  # occurrences whose hashes are taken together
-SHORT = 48          # symbols up to which a plain list is the agenda; beyond it a heap
-NO_PIECE = (float("inf"), -1)
+WIDTHS = (4, 8, 12, 16, 24, 32)  # rows of the matrices that segments of so many symbols share
+ROWS = WIDTHS[-1]
+TOGETHER = 1 << 15  # occurrences that are merged together
+NONE = np.iinfo(np.int32).max  # no merge is due
+DEAD = -1           # a symbol that has become part of its left neighbour
 PUNCTUATION = ".,;:!?%&*#$|\")]}"
 
 
@@ -73,14 +74,129 @@ class Codec:
                         if not any(re.search(rf"[^\W\d_]{re.escape(c)}", p) for p in self.piece))
         cut = rf" *[^ \n{SPACE}{marks}]+(?<=[^\W\d_])(?=[{marks}])|" if marks else ""
         self.segments = re.compile(rf"{cut} *[^ \n{SPACE}]+| +|\n|{SPACE}")
-        self._clear()
-
-    def _clear(self) -> None:
-        self.root: dict[str, int] = {}                   # node of a segment without skips; -1: met once
-        self.node: list[tuple[str, tuple[int, ...]]] = []  # segment, numbers of its skipped candidates
-        self.step, self.step_at = array("I"), array("q", [0])  # candidates after the last skip
-        self.child = array("i")                          # node if this candidate is skipped; -1: not met, -2: once
-        self.ids, self.ids_at = array("I"), array("q", [0])
+        self._tables()
+
+    def _tables(self) -> None:
+        """Symbols as numbers: pieces by their id, further characters of pieces after them, all
+        other characters as the last one. ``slot_*``: hash table of the pairs that merge."""
+        scores = sorted({x for x, _ in self.piece.values()})
+        rank = dict(zip(scores, range(len(scores))))
+        self.order = np.full(len(scores), -1, np.int32)  # the piece of a score, -2 if there are several
+        for x, i in self.piece.values():
+            self.order[rank[x]] = i if self.order[rank[x]] == -1 else -2
+        number = {p: i for p, (_, i) in self.piece.items()}
+        n = len(self.bytes_of)
+        for p in self.piece:
+            for ch in p:
+                if ch not in number:
+                    number[ch] = n
+                    n += 1
+        self.other, self.n_pieces = n, len(self.bytes_of)
+        self.symbol = np.full(0x110000, n, np.int32)
+        for p, i in number.items():
+            if len(p) == 1:
+                self.symbol[ord(p)] = i
+        pairs = {}
+        for p, (_, i) in self.piece.items():
+            for k in range(1, len(p)):
+                if p[:k] in number and p[k:] in number:
+                    pairs[number[p[:k]], number[p[k:]]] = i
+        keys = np.array([a << 32 | b for a, b in pairs], np.int64)
+        size = 1 << max(4, (4 * len(keys)).bit_length())
+        self.slot_key, self.slot_piece = np.full(size, -1, np.int64), np.zeros(size, np.int32)
+        at, todo, self.probes = self._slot(keys), np.arange(len(keys)), 0
+        pieces = np.fromiter(pairs.values(), np.int32, len(pairs))
+        while len(todo):  # all pairs probe together; of those that meet in a free slot one stays
+            self.probes += 1
+            free = self.slot_key[at[todo]] == -1
+            place, first = np.unique(at[todo[free]], return_index=True)
+            won = todo[free][first]
+            self.slot_key[place], self.slot_piece[place] = keys[won], pieces[won]
+            todo = np.setdiff1d(todo, won, assume_unique=True)
+            at[todo] = (at[todo] + 1) & (size - 1)
+        of = np.zeros(len(self.bytes_of), np.int32)
+        for x, i in self.piece.values():
+            of[i] = rank[x]
+        self.slot_rank = of[self.slot_piece]
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        x = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (x >> np.uint64(40)).astype(np.int64) & (len(self.slot_key) - 1)
+
+    def _find(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of the pairs of symbols that merge, their slots)."""
+        keys = a.astype(np.int64) << 32 | b
+        at, todo, found, slots = self._slot(keys), np.arange(len(keys)), [], []
+        for _ in range(self.probes):
+            there = self.slot_key[at]
+            hit = there == keys[todo]
+            found.append(todo[hit])
+            slots.append(at[hit])
+            go = ~hit & (there != -1)
+            todo, at = todo[go], (at[go] + 1) & (len(self.slot_key) - 1)
+            if not len(todo):
+                break
+        return np.concatenate(found), np.concatenate(slots)
+
+    def _pieces(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Pieces of pairs that merge."""
+        found, slots = self._find(a, b)
+        out = np.empty(len(a), np.int32)
+        out[found] = self.slot_piece[slots]
+        return out
+
+    def _due(self, a: np.ndarray, b: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Key of the merge of two symbols: its place in the order of scores, then the place in the
+        segment, as of equal scores the leftmost is due."""
+        out = np.full(len(a), NONE, np.int32)
+        found, slots = self._find(a, b)
+        out[found] = self.slot_rank[slots] * ROWS + place[found]
+        return out
+
+    def _merge(self, sym: np.ndarray, length: np.ndarray, keys: np.ndarray) -> None:
+        """Merge all columns of ``sym`` (symbols, DEAD below a segment's end) in place."""
+        rows, n = sym.shape
+        place = np.arange(rows, dtype=np.int32)[:, None]
+        due = np.full((rows + 1, n), NONE, np.int32)  # the last row takes what has no neighbour
+        if rows > 1:
+            here = np.flatnonzero((place[:-1] < length - 1).ravel())
+            due[:rows - 1].ravel()[here] = self._due(sym[:-1].ravel()[here], sym[1:].ravel()[here],
+                                                     (here // n).astype(np.int32))
+        right = np.broadcast_to(place + 1, (rows, n)).copy()
+        right[right >= length] = rows
+        left = np.broadcast_to(place - 1, (rows, n)).copy()
+        columns = np.arange(n)  # of ``sym``; due, right, left and keys shrink with those that are done
+        low = np.minimum.reduce(due, axis=0)
+        while True:
+            live = np.flatnonzero(low != NONE)
+            if not len(live):
+                return
+            if 2 * len(live) < len(columns):
+                columns, keys, low = columns[live], keys[live], low[live]
+                due, right, left = due[:, live], right[:, live], left[:, live]
+                live = np.arange(len(live))
+            best = low[live]
+            i, piece = best % ROWS, self.order[best // ROWS]
+            if len(tied := np.flatnonzero(piece < 0)):
+                x, at = i[tied], columns[live[tied]]
+                piece[tied] = self._pieces(sym[x, at], sym[right[x, live[tied]], at])
+            skip = _mixed(keys[live] ^ i.astype(np.uint32) * np.uint32(0x9E3779B1)
+                          ^ piece.astype(np.uint32) * np.uint32(0xC2B2AE35)) < self.dropped
+            due[i, live] = NONE
+            go = np.flatnonzero(~skip)
+            c, i, piece = live[go], i[go], piece[go]
+            at = columns[c]
+            j = right[i, c]
+            k = right[j, c]
+            sym[i, at], sym[j, at] = piece, DEAD
+            right[i, c], due[j, c] = k, NONE
+            more = np.flatnonzero(k < rows)
+            left[k[more], c[more]] = i[more]
+            due[i[more], c[more]] = self._due(piece[more], sym[k[more], at[more]], i[more])
+            h = left[i, c]
+            more = np.flatnonzero(h >= 0)
+            due[h[more], c[more]] = self._due(sym[h[more], at[more]], piece[more], h[more])
+            low[live] = np.minimum.reduce(due, axis=0)[live]
 
     def _skip(self, key: int, place: int, piece: int) -> bool:
         x = (key ^ (place * 0x9E3779B1) ^ (piece * 0xC2B2AE35)) & 0xFFFFFFFF
@@ -88,128 +204,81 @@ class Codec:
         x = ((x ^ (x >> 13)) * 0xC2B2AE35) & 0xFFFFFFFF
         return (x ^ (x >> 16)) < self.dropped
 
-    def _segment(self, seg: str, skip: Callable[[int, int], bool]) -> array:
-        if seg == SPACE:  # this character itself, not a space
-            return array("I", [self.byte_id[b] for b in SPACE.encode()])
-        sym = list(seg.replace(" ", SPACE))
-        sym = self._short(sym, skip) if len(sym) <= SHORT else self._long(sym, skip)
+    def _alone(self, seg: str, key: int) -> array:
+        """Ids of one long segment."""
         ids = array("I")
-        for s in sym:
+        for s in self._long(list(seg.replace(" ", SPACE)), key):
             if p := self.piece.get(s):
                 ids.append(p[1])
             else:
                 ids.extend([self.byte_id[b] for b in s.encode()])
         return ids
 
-    def _add(self, seg: str, ids: array, steps: list[int], skips: tuple[int, ...] = ()) -> int:
-        self.node.append((seg, skips))
-        self.step.extend(steps)
-        self.step_at.append(len(self.step))
-        self.child.extend([-1] * len(steps))
-        self.ids.extend(ids)
-        self.ids_at.append(len(self.ids))
-        return len(self.node) - 1
-
-    def _grow(self, seg: str, skips: tuple[int, ...] = ()) -> int:
-        """Node of a segment after the skips of the candidates with these numbers."""
-        seen: list[int] = []
-
-        def skip(place: int, piece: int) -> bool:
-            seen.append(((place * 0x9E3779B1) ^ (piece * 0xC2B2AE35)) & 0xFFFFFFFF)
-            return len(seen) - 1 in skips
-        ids = self._segment(seg, skip)
-        return self._add(seg, ids, seen[skips[-1] + 1 if skips else 0:], skips)
-
-    def _alone(self, seg: str, key: int) -> int:
-        """Node of one occurrence. What is met for the first time gets no tree: most is rare."""
-        return self._add(seg, self._segment(seg, functools.partial(self._skip, key)), [])
-
-    def _skipped(self, nodes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(occurrences with a skip, the step of its first one)."""
-        at, step = np.frombuffer(self.step_at, np.int64), np.frombuffer(self.step, np.uint32)
-        flat, owner = _spread(at[nodes], at[nodes + 1])
-        hit = np.flatnonzero(_mixed(keys[owner] ^ step[flat]) < self.dropped)
-        who, first = np.unique(owner[hit], return_index=True)
-        return who, flat[hit[first]]
-
-    def _walk(self, segs: list[str], keys: np.ndarray) -> np.ndarray:
-        """Node of each occurrence; ``keys``: a hash of its row and position."""
-        found = list(map(self.root.get, segs))
-        for k, n in enumerate(found):
-            if n is None or n < 0:
-                s = segs[k]
-                if len(s) > TREE or (n := self.root.get(s)) is None:
-                    found[k] = self._alone(s, int(keys[k]))
-                    if len(s) <= TREE:
-                        self.root[s] = -1
-                elif n < 0:
-                    found[k] = self.root[s] = self._grow(s)
-                else:
-                    found[k] = n
-        nodes = np.array(found, np.int64)
-        live = np.arange(len(segs))
-        while self.dropped and len(self.step) and len(live):
-            who, step = self._skipped(nodes[live], keys[live])
-            live = live[who]
-            child = np.frombuffer(self.child, np.int32)[step].astype(np.int64)
-            for k in np.flatnonzero(child < 0).tolist():
-                parent, at = int(nodes[live[k]]), int(step[k])
-                seg, skips = self.node[parent]
-                if (n := self.child[at]) == -1:
-                    self.child[at] = -2
-                    n = self._alone(seg, int(keys[live[k]]))
-                elif n < 0:
-                    number = at - self.step_at[parent] + (skips[-1] + 1 if skips else 0)
-                    n = self.child[at] = self._grow(seg, (*skips, number))
-                child[k] = n
-            nodes[live] = child
-        return nodes
+    def _together(self, segs: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all segments, how many each has)."""
+        length = np.fromiter(map(len, segs), np.int64, len(segs))
+        cp = np.frombuffer("".join(segs).encode("utf-32-le"), "<u4")
+        begin = np.cumsum(length) - length
+        sizes, parts = np.zeros(len(segs), np.int64), []
+        itself = length == 1
+        itself[itself] = cp[begin[itself]] == ord(SPACE)  # this character, not a space
+        cp = np.where(cp == 32, np.uint32(ord(SPACE)), cp)
+        low = 0
+        for width in WIDTHS:
+            rows = np.flatnonzero((length > low) & (length <= width) & ~itself)
+            low = width
+            if not len(rows):
+                continue
+            own = length[rows]
+            place = np.arange(width)[:, None]
+            at = np.minimum(begin[rows] + place, len(cp) - 1)
+            sym = np.where(place < own, self.symbol[cp[at]], np.int32(DEAD))
+            self._merge(sym, own, keys[rows])
+            flat = sym.T.ravel()
+            there = np.flatnonzero(flat != DEAD)
+            out, many = flat[there], np.ones(len(there), np.int64)
+            owner = there // width
+            if len(odd := np.flatnonzero(out >= self.n_pieces)):  # no piece: its bytes
+                chars = cp[at.T.ravel()[there[odd]]]
+                ids = [[self.byte_id[x] for x in chr(c).encode()] for c in chars.tolist()]
+                many[odd] = list(map(len, ids))
+                start = np.cumsum(many) - many
+                wide = np.empty(int(many.sum()), np.int32)
+                wide[start] = out
+                for a, x in zip(start[odd].tolist(), ids):
+                    wide[a:a + len(x)] = x
+                out = wide
+            sizes[rows] = np.bincount(owner, many, len(rows)).astype(np.int64)
+            parts.append((rows, out))
+        for r in np.flatnonzero(itself | (length > ROWS)).tolist():
+            ids = self._alone(segs[r], int(keys[r])) if not itself[r] else [self.byte_id[x] for x in SPACE.encode()]
+            sizes[r] = len(ids)
+            parts.append((np.array([r]), np.array(ids, np.int32)))
+        start = np.cumsum(sizes) - sizes
+        total = np.empty(int(sizes.sum()), np.uint32)
+        for rows, out in parts:
+            total[_spread(start[rows], start[rows] + sizes[rows])[0]] = out
+        return total, sizes
 
     def encode_rows(self, texts: list[str], keys: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, end of each text's ids); ``keys``: a hash of each row."""
         cut = [self.segments.findall(" " + t) if t else [] for t in texts]
         n = np.array([len(c) for c in cut], np.int64)
         segs = list(itertools.chain.from_iterable(cut))
+        del cut
         place = np.arange(len(segs)) - np.repeat(np.cumsum(n) - n, n)
         key = _mixed(np.repeat(np.array(keys, np.uint32), n) ^ (place + 1).astype(np.uint32) * np.uint32(0x85EBCA77))
         out, sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
         for k in range(0, len(segs), TOGETHER):
-            if len(self.root) > MAX_KEPT or len(self.node) > 2 * MAX_KEPT:
-                self._clear()
-            nodes = self._walk(segs[k:k + TOGETHER], key[k:k + TOGETHER])
-            at = np.frombuffer(self.ids_at, np.int64)
-            sizes.append(at[nodes + 1] - at[nodes])
-            out.append(np.frombuffer(self.ids, np.uint32)[_spread(at[nodes], at[nodes + 1])[0]])
-            del at
+            ids, many = self._together(segs[k:k + TOGETHER], key[k:k + TOGETHER])
+            out.append(ids)
+            sizes.append(many)
         ends = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])[np.cumsum(n)]
         return np.concatenate(out), ends
 
-    def _short(self, sym: list[str], key: int | Callable[[int, int], bool]) -> list[str]:
-        """Merges with the scores of the neighbours in a list; the first least one is due.
-        ``key``: of the hash, or a function that decides instead."""
-        skip = key if callable(key) else functools.partial(self._skip, key)
-        get, none, dropped = self.piece.get, NO_PIECE, self.dropped
-        due = [get(a + b, none) for a, b in zip(sym, sym[1:])]
-        place = list(range(len(sym)))
-        while due:
-            best = min(due)
-            if best is none:
-                break
-            i = due.index(best)
-            if dropped and skip(place[i], best[1]):
-                due[i] = none
-                continue
-            sym[i] += sym.pop(i + 1)
-            del due[i], place[i + 1]
-            if i < len(due):
-                due[i] = get(sym[i] + sym[i + 1], none)
-            if i:
-                due[i - 1] = get(sym[i - 1] + sym[i], none)
-        return sym
-
-    def _long(self, start: list[str], key: int | Callable[[int, int], bool]) -> list[str]:
-        """The same merges with a heap."""
-        skip = key if callable(key) else functools.partial(self._skip, key)
+    def _long(self, start: list[str], key: int) -> list[str]:
+        """The same merges of one segment with a heap."""
+        skip = functools.partial(self._skip, key)
         sym: list[str | None] = list(start)
         n = len(sym)
         left, right = list(range(-1, n - 1)), list(range(1, n + 1))

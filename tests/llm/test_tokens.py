@@ -127,11 +127,37 @@ def test_codec_is_lossless_seeded_and_varied():
     assert len(none.encode("abc def")) == 8
 
 
-def test_list_and_heap_agendas_merge_alike():
-    c = sp_codec.Codec(Q.PIECE_BPE, 0.3, 7, 1)
-    for k, t in enumerate(texts()):
-        for w in t.split():
-            assert c._short(list(w), k) == c._long(list(w), k)
+def brute_merges(c, seg, key):
+    """The best candidate of the whole list is due, again and again; the leftmost of equal ones."""
+    sym, place, struck = list(seg.replace(" ", sp_codec.SPACE)), list(range(len(seg))), set()
+    while True:
+        due = [(c.piece[x + y][0], k, c.piece[x + y][1]) for k, (x, y) in enumerate(zip(sym, sym[1:]))
+               if x + y in c.piece and (place[k], x, y) not in struck]
+        if not due:
+            break
+        _, k, piece = min(due)
+        if c._skip(key, place[k], piece):
+            struck.add((place[k], sym[k], sym[k + 1]))
+            continue
+        sym[k:k + 2] = [sym[k] + sym[k + 1]]
+        del place[k + 1]
+    ids = []
+    for x in sym:
+        ids += [c.piece[x][1]] if x in c.piece else [c.byte_id[y] for y in x.encode()]
+    return ids
+
+
+@pytest.mark.parametrize("dropout", [0.0, 0.1, 0.6, 1.0])
+def test_lock_step_heap_and_brute_force_merge_alike(dropout):
+    c = sp_codec.Codec(Q.PIECE_BPE, dropout, 7, 1)
+    segs = sorted({s for t in texts() for s in c.segments.findall(" " + t)} - {sp_codec.SPACE})[:3000]
+    segs += [" " * n + "x" * (n % 3) for n in range(1, 40)] + [" " + "ab" * n for n in range(1, 40)] + [" ünï😀x", "😀", "\n", "   ", "x" * 32, "y" * 33]
+    keys = np.arange(len(segs), dtype=np.uint32) * np.uint32(2654435761)
+    ids, many = c._together(segs, keys)
+    at = np.cumsum(many) - many
+    for k, seg in enumerate(segs):
+        got = ids[at[k]:at[k] + many[k]].tolist()
+        assert got == brute_merges(c, seg, int(keys[k])) == c._alone(seg, int(keys[k])).tolist(), seg
 
 
 def test_codec_report_rows(spark):
@@ -164,14 +190,10 @@ def test_default_segmentation_varies_by_row_and_position(spark):
     assert {r.doc_id: r.ids for r in again} == got
 
 
-def test_tree_gives_the_merges_of_the_agenda(monkeypatch):
-    monkeypatch.setattr(sp_codec, "MAX_KEPT", 3000)
+def test_batches_do_not_change_the_merges(monkeypatch):
     t = texts()
-    for dropout in (0.1, 0.6):
-        c = sp_codec.Codec(Q.PIECE_BPE, dropout, 3, 1)
-        ids, ends = c.encode_rows(t, list(range(len(t))))
-        monkeypatch.setattr(sp_codec, "TREE", 0)  # every occurrence by its own agenda
-        d = sp_codec.Codec(Q.PIECE_BPE, dropout, 3, 1)
-        want, want_ends = d.encode_rows(t, list(range(len(t))))
-        monkeypatch.setattr(sp_codec, "TREE", 32)
-        assert ids.tolist() == want.tolist() and ends.tolist() == want_ends.tolist()
+    c = sp_codec.Codec(Q.PIECE_BPE, 0.3, 3, 1)
+    ids, ends = c.encode_rows(t, list(range(len(t))))
+    monkeypatch.setattr(sp_codec, "TOGETHER", 100)
+    few, few_ends = c.encode_rows(t, list(range(len(t))))
+    assert ids.tolist() == few.tolist() and ends.tolist() == few_ends.tolist()
