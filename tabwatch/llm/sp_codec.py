@@ -35,6 +35,7 @@ SPACE = "▁"
 WIDTHS = (4, 8, 12, 16, 24, 32)  # rows of the matrices that segments of so many symbols share
 ROWS = WIDTHS[-1]
 TOGETHER = 1 << 15  # occurrences that are merged together
+SLICE = 256         # rows of a batch that are Python objects at a time
 NONE = np.iinfo(np.int32).max  # no merge is due
 DEAD = -1           # a symbol that has become part of its left neighbour
 PUNCTUATION = ".,;:!?%&*#$|\")]}"
@@ -341,16 +342,16 @@ def decoder(model: str):
     @F.arrow_udf("string")
     def text(ids: pa.Array) -> pa.Array:
         c = codec(model, 0.0, 0, 1)
-        flat, ends = ids.flatten().to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
-        ends = (ends - ends[0]).tolist()
-        return pa.array([c.decode(flat[a:b].tolist()) for a, b in zip(ends, ends[1:])], pa.string())
+        parts = (ids.slice(k, SLICE).to_pylist() for k in range(0, len(ids), SLICE))
+        done = [pa.array(list(map(c.decode, part)), pa.string()) for part in parts]
+        return pa.concat_arrays(done) if done else pa.array([], pa.string())
     return text
 
 
 def _encode(model: str, dropout: float, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model, dropout, seed, 1)
-        for batch in batches:
+        for batch in (b.slice(k, SLICE) for b in batches for k in range(0, b.num_rows, SLICE)):
             for i, part in small_batches(batch.column(1).to_pylist()):
                 keys = batch.column(0).slice(i, len(part))
                 ids, ends = c.encode_rows(part, list(map(c.row_key, keys.to_pylist(), part)))
