@@ -35,6 +35,7 @@ SIMILAR = 75             # percent
 BROADCAST_IDS = 1_000_000  # ids of texts to be compared in full; more are shuffled
 BROADCAST_SHINGLES = 3_000_000  # shingles (8 bytes each) of those texts; more are shuffled
 SLICE = 1 << 20          # bytes hashed at once
+ROWS = 256
 
 _rng = np.random.default_rng(20240501)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -121,8 +122,13 @@ def _small(texts: list[str], chars: int = 1 << 19) -> Iterator[tuple[int, int]]:
         yield a, len(texts)
 
 
+def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches: so many rows are Python objects at a time."""
+    return (b.slice(k, ROWS) for b in batches for k in range(0, b.num_rows, ROWS))
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in _few(batches):
         texts = b.column(2).to_pylist()
         for i, j in _small(texts):
             n, cid, sig, more, ends = [], [], [], [], [0]
@@ -143,7 +149,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in _few(batches):
         texts = b.column(0).to_pylist()
         for i, j in _small(texts):
             sets = list(shingle_sets(texts[i:j]))

@@ -33,6 +33,8 @@ CELLS = LETTERS ** 3
 # Letters that a symbol may stand for.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a",
         "$": "s", "!": "i", "|": "il", "+": "t"}
+SLICE = 64          # rows of a batch that are Python objects at a time
+HELD_MARKS = 100_000  # marks that a task counts before it sends their counts on
 KEPT_SPAN = 64  # characters of a span whose reading is kept, at most
 SWAP, KEEP, DROP_REPEAT, KEEP_GAP = 0.5, 2.0, 0.2, 3.0  # channel costs, in nats
 
@@ -74,9 +76,8 @@ def _classes() -> _ClassTable:
 def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(CELLS, np.int64)
     for b in batches:
-        texts = b.column(0).to_pylist()
-        for k in range(0, len(texts), 256):
-            s = "  ".join(["", *texts[k:k + 256], ""]).lower()
+        for k in range(0, b.num_rows, SLICE):
+            s = "  ".join(["", *b.column(0).slice(k, SLICE).to_pylist(), ""]).lower()
             c = _classes()(np.frombuffer(s.encode("utf-32-le"), "<u4")).astype(np.int32)
             total += np.bincount((c[:-2] * LETTERS + c[1:-1]) * LETTERS + c[2:], minlength=CELLS)
     at = np.flatnonzero(total)
@@ -261,15 +262,21 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
         def count_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             restore, seen = Restorer(cost), (Counter(), Counter())
-            for b in batches:
-                for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+
+            def counted() -> pa.RecordBatch:
+                keys = list(seen[0].keys() | seen[1].keys())
+                out = pa.RecordBatch.from_arrays(
+                    [pa.array(keys, pa.string()), pa.array([seen[1][m] for m in keys], pa.int64()),
+                     pa.array([seen[0][m] for m in keys], pa.int64())], ["mark", "n1", "n0"])
+                seen[0].clear()
+                seen[1].clear()
+                return out
+            for part in (b.slice(k, SLICE) for b in batches for k in range(0, b.num_rows, SLICE)):
+                for text, toxic in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     seen[toxic].update(marks_of(restore(text)))
-            keys = list(seen[0].keys() | seen[1].keys())
-            for k in range(0, len(keys), 50_000):
-                part = keys[k:k + 50_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(part, pa.string()), pa.array([seen[1][m] for m in part], pa.int64()),
-                     pa.array([seen[0][m] for m in part], pa.int64())], ["mark", "n1", "n0"])
+                    if len(seen[0]) + len(seen[1]) > HELD_MARKS:
+                        yield counted()
+            yield counted()
 
         marks = sample.mapInArrow(count_marks, "mark string, n1 long, n0 long") \
             .groupBy("mark").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")) \
@@ -319,7 +326,7 @@ def scored_texts(rows: DataFrame, model: ToxicityModel) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in batches:
-            scores = [m.score(t) for k in range(0, b.num_rows, 64) for t in b.column(2).slice(k, 64).to_pylist()]
+            scores = [m.score(t) for k in range(0, b.num_rows, SLICE) for t in b.column(2).slice(k, SLICE).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(scores, pa.float64())],
                                              ["doc_id", "h", "score"])
     return rows.select("doc_id", "h", "t").mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, "
