@@ -975,12 +975,12 @@ WITH e AS (SELECT CASE WHEN len(ed) >= 2 THEN ed[2:len(ed) - 1] ELSE [] END AS i
 bb AS (SELECT 'value' AS feature, {binv} AS bin, count(*) AS n FROM {base} v, e
        WHERE v.value IS NOT NULL GROUP BY 1, 2
        UNION ALL
-       SELECT 'event_type', coalesce(event_type, 'NULL'), count(*) FROM {base} GROUP BY 1, 2),
+       SELECT 'event_type', coalesce('=' || event_type, 'N'), count(*) FROM {base} GROUP BY 1, 2),
 bp AS (SELECT feature, bin, CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY feature) AS pb FROM bb),
 cb AS (SELECT date_trunc('day', ts) AS window_start, 'value' AS feature, {binv} AS bin,
               count(*) AS n FROM {cur} v, e WHERE v.value IS NOT NULL GROUP BY 1, 2, 3
        UNION ALL
-       SELECT date_trunc('day', ts), 'event_type', coalesce(event_type, 'NULL'), count(*)
+       SELECT date_trunc('day', ts), 'event_type', coalesce('=' || event_type, 'N'), count(*)
        FROM {cur} GROUP BY 1, 2, 3),
 cp AS (SELECT window_start, feature, bin, CAST(n AS DOUBLE) / sum(n) OVER
               (PARTITION BY window_start, feature) AS pc,

@@ -27,7 +27,7 @@ from tabwatch.operators.prefix import count_below_expr, hint_small
 from tabwatch.session import ensure_checkpoint_dir
 
 EPS = EMPTY_BIN_PROPORTION
-BASELINE_VERSION = 1
+BASELINE_VERSION = 2  # 2: a NULL category has a bin of its own
 
 
 @dataclass
@@ -39,7 +39,7 @@ class Baseline:
 
     def bin_columns(self) -> list[Column]:
         """One struct(feature, bin) per feature, for ``explode``; NULL numeric values are
-        skipped, a NULL category is the bin 'NULL'."""
+        skipped; a category v is the bin '=v', a NULL category the bin 'N'."""
         out = []
         for f in self.numeric:
             e = self.edges[f]
@@ -50,7 +50,7 @@ class Baseline:
             out.append(F.struct(F.lit(f).alias("feature"), b.alias("bin")))
         for f in self.categorical:
             out.append(F.struct(F.lit(f).alias("feature"),
-                                F.coalesce(F.col(f).cast("string"), F.lit("NULL")).alias("bin")))
+                                F.coalesce(F.concat(F.lit("="), F.col(f).cast("string")), F.lit("N")).alias("bin")))
         return out
 
 

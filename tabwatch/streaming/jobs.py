@@ -1,9 +1,8 @@
 """Structured Streaming jobs: scoring (J2) and windowed drift.
 
-Sinks are written per micro-batch into ``batch_id=<n>`` folders with overwrite, so a batch
-replayed after a failure replaces its own output instead of duplicating it. Checkpoint
-locations must be on shared storage; by default they go under the cluster's
-``spark.checkpoint.dir``.
+Sinks are folders of ``streaming.sinks``: owned by one stream, each micro-batch written once, also
+when a stream goes on in a new application. The checkpoint location is the stream's identity, so
+it has no default; give a folder on shared storage and keep it as long as the sinks.
 """
 
 from __future__ import annotations
@@ -11,24 +10,20 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tabwatch.operators.contracts import VIOLATIONS, Contract, with_violations
 from tabwatch.operators.models import FittedModel
-from tabwatch.session import ensure_checkpoint_dir
 from tabwatch.streaming.baseline import Baseline, binned, psi_from_counts
+from tabwatch.streaming.sinks import StreamSink
 
 
-def _checkpoint(spark: SparkSession, name: str, given: str | None) -> str:
-    if given:
-        return given
-    return ensure_checkpoint_dir(spark).rstrip("/") + f"/tabwatch-stream-{name}"
-
-
-def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+def _checkpoint(given: str | None) -> str:
+    if not given:
+        raise ValueError("a stream needs a checkpoint folder of its own, kept across restarts")
+    return given
 
 
 def score_stream(stream: DataFrame, contract: Contract, prep: Callable[[DataFrame], DataFrame],
@@ -36,25 +31,21 @@ def score_stream(stream: DataFrame, contract: Contract, prep: Callable[[DataFram
                  valid_path: str, quarantine_path: str, checkpoint: str | None = None,
                  trigger: dict | None = None) -> StreamingQuery:
     """Contract check, shared preprocessing and the fitted pipeline on every row of the
-    stream (stateless); valid rows -> scores sink, others -> quarantine sink."""
-    spark = stream.sparkSession
+    stream (stateless); valid rows -> scores sink, others -> quarantine sink. ``checkpoint`` must
+    be given; with the same one a new application goes on where the last one stopped."""
+    at = _checkpoint(checkpoint)
     flagged = with_violations(stream, contract)
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            good = batch.where(F.size(VIOLATIONS) == 0).drop(VIOLATIONS)
-            scored = model.score(features.transform(prep(good)), keep=list(key))
-            _write_batch(scored.select(*key, F.col("score").alias("probability"), "prediction",
+    def outputs(batch: DataFrame) -> dict[str, DataFrame]:
+        good = batch.where(F.size(VIOLATIONS) == 0).drop(VIOLATIONS)
+        scored = model.score(features.transform(prep(good)), keep=list(key))
+        return {"valid": scored.select(*key, F.col("score").alias("probability"), "prediction",
                                        F.lit(model.threshold).alias("threshold")),
-                         valid_path, batch_id)
-            _write_batch(batch.where(F.size(VIOLATIONS) > 0).select(
-                *key, F.concat_ws(",", VIOLATIONS).alias("violations")), quarantine_path, batch_id)
-        finally:
-            batch.unpersist()
+                "quarantine": batch.where(F.size(VIOLATIONS) > 0).select(
+                    *key, F.concat_ws(",", VIOLATIONS).alias("violations"))}
 
-    w = flagged.writeStream.foreachBatch(sink).option(
-        "checkpointLocation", _checkpoint(spark, "score", checkpoint))
+    sink = StreamSink(stream.sparkSession, {"valid": valid_path, "quarantine": quarantine_path})
+    w = flagged.writeStream.foreachBatch(sink.writer(outputs)).option("checkpointLocation", at)
     w = w.trigger(**(trigger or {"availableNow": True}))
     return w.start()
 
@@ -65,8 +56,8 @@ def drift_stream(stream: DataFrame, baseline: Baseline, ts_col: str, out_path: s
     """Counts per (window, feature, bin) with a watermark (state = open windows x
     features x bins), emitted once a window closes (append); PSI per closed window against
     the frozen baseline in ``foreachBatch``. Rows older than the previous batch's watermark
-    are dropped; a window already emitted never changes."""
-    spark = stream.sparkSession
+    are dropped; a window already emitted never changes. ``checkpoint`` must be given."""
+    at = _checkpoint(checkpoint)
     cols = [*baseline.numeric, *baseline.categorical]
     # Watermarks need TIMESTAMP event time; a TIMESTAMP_NTZ column is cast (wall clock read
     # in the session time zone, UTC by default here) and window starts are cast back.
@@ -80,14 +71,8 @@ def drift_stream(stream: DataFrame, baseline: Baseline, ts_col: str, out_path: s
                 .alias("window_start"), "feature", "bin", "n")
     )
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            _write_batch(psi_from_counts(batch, baseline, ["window_start"]), out_path, batch_id)
-        finally:
-            batch.unpersist()
-
-    w = counts.writeStream.outputMode("append").foreachBatch(sink).option(
-        "checkpointLocation", _checkpoint(spark, "drift", checkpoint))
+    sink = StreamSink(stream.sparkSession, {"psi": out_path})
+    write = sink.writer(lambda batch: {"psi": psi_from_counts(batch, baseline, ["window_start"])})
+    w = counts.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", at)
     w = w.trigger(**(trigger or {"availableNow": True}))
     return w.start()
