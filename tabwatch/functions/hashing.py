@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: separator of the fields of a hashed key.
@@ -82,3 +82,33 @@ def row_digest(cols: Sequence[tuple[str, str]]) -> Column:
         x = canonical_sql(n, t)
         parts.append(f"coalesce(CASE WHEN `{n}` IS NOT NULL THEN concat(CAST(length({x}) AS STRING), ':', {x}) END, 'N')")
     return F.expr(f"md5(concat({', '.join(parts)}))")
+
+
+def with_row_digest(df: DataFrame, cols: Sequence[tuple[str, str]], out: str = "_d") -> DataFrame:
+    """One column ``out``: ``row_digest`` of each row, computed in steps. A floating value's parts
+    and a field's text are columns of projections of their own, so that each is computed once;
+    the one expression of ``row_digest`` would write them out again wherever they are used."""
+    types = dict(cols)
+    floats = [n for n, t in cols if t in ("double", "float")]
+    at = {n: k for k, (n, _) in enumerate(cols)}
+    here = [F.col(f"`{n}`").alias(f"x{at[n]}") for n, _ in cols]
+    part = lambda k, j: f"x{k}" if j < 0 else f"f{k}_{j}"
+    d = df.select(*here)
+    d = d.select("*", *[F.expr(f"abs(CAST(x{at[n]} AS DOUBLE))").alias(f"f{at[n]}_0") for n in floats])
+    for j in (1, 2, 3):
+        d = d.select("*", *[F.expr(f"(f{at[n]}_{j - 1} - floor(f{at[n]}_{j - 1})) * 4503599627370496.0").alias(f"f{at[n]}_{j}")
+                            for n in floats])
+
+    def text(n: str) -> Column:
+        k, x = at[n], f"x{at[n]}"
+        if n not in floats:
+            return F.expr(canonical_sql(x, types[n]))
+        whole = lambda j: f"CAST(CAST(floor({part(k, j)}) AS BIGINT) AS STRING)"
+        own = f"CAST(CAST({x} AS DOUBLE) AS STRING)"
+        return F.expr(
+            f"CASE WHEN isnan(CAST({x} AS DOUBLE)) THEN 'nan' WHEN {part(k, 0)} >= 9e18 THEN {own} "
+            f"ELSE concat(CASE WHEN CAST({x} AS DOUBLE) < 0 THEN '-' ELSE '+' END, {whole(0)}, '.', {whole(1)}, '.', {whole(2)}, "
+            f"'.', {whole(3)}, CASE WHEN {part(k, 3)} <> floor({part(k, 3)}) THEN {own} ELSE '' END) END")
+    d = d.select(*[F.when(F.col(f"x{at[n]}").isNotNull(), text(n)).alias(f"t{at[n]}") for n, _ in cols])
+    field = lambda k: F.coalesce(F.concat(F.length(f"t{k}").cast("string"), F.lit(":"), F.col(f"t{k}")), F.lit("N"))
+    return d.select(F.md5(F.concat(*[field(at[n]) for n, _ in cols])).alias(out))
