@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,11 +39,9 @@ SLICE = 1 << 20          # bytes hashed at once
 ROWS = 256
 
 _rng = np.random.default_rng(20240501)
-_BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = _rng.integers(1, 1 << 63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _XOR = _rng.integers(0, 1 << 63, SIGNATURE + MORE, dtype=np.uint64)
 _TIMES = _rng.integers(1, 1 << 63, SIGNATURE + MORE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -70,12 +69,11 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
         edge = np.diff(np.concatenate([[0], word.view(np.int8), [0]]))
         begin, stops = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         if len(begin):
-            lengths = stops - begin
-            power = np.multiply.accumulate(np.concatenate(
-                [[np.uint64(1)], np.full(int(lengths.max()) - 1, _BASE, np.uint64)]))
-            offset = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            terms = _BYTE[low[word]] * power[offset]
-            out.append(_mix(np.add.reduceat(terms, np.cumsum(lengths) - lengths) + lengths.astype(np.uint64)))
+            offsets = np.concatenate([[0], np.cumsum(stops - begin)])
+            words = pa.Array.from_buffers(pa.large_binary(), len(begin), [
+                None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(low[word])]).dictionary_encode()
+            hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, words.dictionary.to_pylist()), np.uint64, len(words.dictionary))
+            out.append(hashed[words.indices.to_numpy()])
             places.append(begin + at)
         at += len(part)
     if not out:
