@@ -342,9 +342,12 @@ def decoder(model: str):
     @F.arrow_udf("string")
     def text(ids: pa.Array) -> pa.Array:
         c = codec(model, 0.0, 0, 1)
-        parts = (ids.slice(k, SLICE).to_pylist() for k in range(0, len(ids), SLICE))
-        done = [pa.array(list(map(c.decode, part)), pa.string()) for part in parts]
-        return pa.concat_arrays(done) if done else pa.array([], pa.string())
+        done = [pa.array([], pa.string())]
+        for part in (ids.slice(k, SLICE) for k in range(0, len(ids), SLICE)):
+            flat, ends = part.flatten().to_numpy(zero_copy_only=False), part.offsets.to_numpy()
+            ends = (ends - ends[0]).tolist()
+            done.append(pa.array([c.decode(flat[a:b].tolist()) for a, b in zip(ends, ends[1:])], pa.string()))
+        return pa.concat_arrays(done)
     return text
 
 
