@@ -10,12 +10,14 @@ on skipped keys are counted by comparing the signatures of a candidate pair.
 Texts with equal shingle sets are one class. In each posting list the classes are first
 compared with the list's best connected class, which joins groups of near copies at a cost
 linear in the list. Members of one list that are still in different components are compared in
-blocks of bounded size, inside the tasks; only pairs with enough collisions leave them, each
-pair from one list. Links are confirmed on the full shingle sets."""
+cells of bounded size, inside the tasks, each pair in one list. Members with a partner of enough
+collisions then bring their full shingle sets into the cell; it confirms the pairs there and
+gives the links of a forest only, fewer than it has members."""
 
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwatch.llm.common import packed, shared_dir, stored, text_or_empty, unpacked
+from tabwatch.llm.common import finished, packed, shared_dir, stored, text_or_empty, unpacked
 
 WORDS = 5
 SIGNATURE = 64           # coordinates that are posted
@@ -32,6 +34,8 @@ MATCHES = 32             # collisions among them, at least
 MORE = 128               # further coordinates (8 bits each) that are only counted
 ENOUGH = 116             # collisions among all, at least: 4.7 deviations under a similarity of 0.75
 BLOCK = 256              # classes of a posting list that are held together
+HELD = 1 << 20           # shingles of the classes whose sets are held together, and one class more
+CHUNK = 1024             # shingles in one row
 SIMILAR = 75             # percent
 BROADCAST_IDS = 1_000_000  # ids of texts to be compared in full; more are shuffled
 BROADCAST_SHINGLES = 3_000_000  # shingles (8 bytes each) of those texts; more are shuffled
@@ -182,24 +186,32 @@ def prefix_postings(classes: DataFrame) -> DataFrame:
         .select(F.col("x.token").alias("token"), F.col("x.k").alias("k"), "cid", "hub", "mask")
 
 
-def _cell_pairs(rows: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
-    """Pairs of one cell (token, i, j) that are in different components, have enough collisions
-    and share no earlier coordinate of both prefixes (so that only one list gives the pair).
-    Rows: i, j, block, k, cid, label, mask, sig, more."""
-    i, j, _, k = rows[0][:4]
-    side = [r for r in rows if r[2] == i], [r for r in rows if r[2] == j]
-    left, right = (sorted(x, key=lambda r: r[4]) for x in side)
+def _cell_members(rows: list[tuple]) -> Iterator[tuple]:
+    """Members (cell, at, label, cid, partners) of one cell (token, i, j) that have a partner: a
+    member in another component, of a size that allows similarity, with enough collisions, that
+    shares no earlier coordinate of both prefixes (so that only one list gives the pair). Members
+    beyond HELD shingles are dealt to several cells. at: place in the cell; label: number of the
+    component in the cell; partners: bits of later places.
+    Rows: token, i, j, block, k, cid, label, mask, n_shingles, sig, more."""
+    token, i, j, _, k = rows[0][:5]
+    side = [r for r in rows if r[3] == i], [r for r in rows if r[3] == j]
+    left, right = (sorted(x, key=lambda r: r[5]) for x in side)
     if not left or not right:
         return
     names: dict[bytes, int] = {}
-    pack = lambda x: (np.array([r[7] for r in x], np.int32), np.frombuffer(b"".join(r[8] for r in x), np.uint8).reshape(len(x), -1),
-                      np.array([names.setdefault(r[5], len(names)) for r in x]),
-                      (np.array([r[6] for r in x], np.int64)[:, None] >> np.arange(SIGNATURE)) & 1 == 1)
-    sa, ma, la, ba = pack(left)
-    sb, mb, lb, bb = pack(right)
+    pack = lambda x: (np.array([r[9] for r in x], np.int32), np.frombuffer(b"".join(r[10] for r in x), np.uint8).reshape(len(x), -1),
+                      np.array([names.setdefault(r[6], len(names)) for r in x]),
+                      (np.array([r[7] for r in x], np.int64)[:, None] >> np.arange(SIGNATURE)) & 1 == 1,
+                      np.array([r[8] for r in x], np.int64))
+    sa, ma, la, ba, na = pack(left)
+    sb, mb, lb, bb, nb = pack(right)
+    skip = 0 if i == j else len(left)  # place of the first member of the right side
+    members = left if i == j else left + right
+    label = la if i == j else np.concatenate([la, lb])
+    xs, ys = [], []
     for a in range(len(left)):
         met = sa[a] == sb
-        ok = (met.sum(1) >= MATCHES) & (lb != la[a])
+        ok = (met.sum(1) >= MATCHES) & (lb != la[a]) & (100 * np.minimum(nb, na[a]) >= SIMILAR * np.maximum(nb, na[a]))
         if i == j:
             ok[:a + 1] = False
         at = np.flatnonzero(ok)
@@ -207,68 +219,162 @@ def _cell_pairs(rows: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
             continue
         enough = met[at].sum(1) + (mb[at] == ma[a]).sum(1) >= ENOUGH
         first = (met[at] & ba[a] & bb[at]).argmax(1) == k
-        for b in at[enough & first].tolist():
-            x, y = left[a][4], right[b][4]
-            yield (x, y) if x < y else (y, x)
+        at = at[enough & first]
+        xs.append(np.full(len(at), a))
+        ys.append(at + skip)
+    if not xs:
+        return
+    x, y = np.concatenate(xs), np.concatenate(ys)
+    used = np.unique(np.concatenate([x, y]))
+    size = np.array([members[m][8] for m in used])
+    part = np.zeros(len(members), np.int64)
+    part[used] = (np.cumsum(size) - size) // HELD
+    low, high = np.minimum(part[x], part[y]), np.maximum(part[x], part[y])
+    for p, q in sorted(set(zip(low.tolist(), high.tolist()))):
+        here = (low == p) & (high == q)
+        own = np.unique(np.concatenate([x[here], y[here]]))
+        bits = np.zeros((len(own), len(own)), bool)
+        bits[np.searchsorted(own, x[here]), np.searchsorted(own, y[here])] = True
+        cell = struct.pack("<qiiqq", token, i, j, p, q)
+        for place, m in enumerate(own.tolist()):
+            yield cell, place, int(label[m]), members[m][5], np.packbits(bits[place]).tobytes()
 
 
 def _compare_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by (token, i, j); a cell's rows are held together, no more."""
-    found: list[tuple[bytes, bytes]] = []
+    found: list[tuple] = []
     current, rows = None, []
+    types = [pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
     emit = lambda: pa.RecordBatch.from_arrays(
-        [pa.array(c, pa.binary()) for c in zip(*found)], ["a", "b"])
-    for batch in batches:
+        [pa.array(c, t) for c, t in zip(zip(*found), types)], ["cell", "at", "label", "cid", "partners"])
+    for batch in _few(batches):
         for row in zip(*(batch.column(c).to_pylist() for c in range(batch.num_columns))):
             if row[:3] != current:
                 if rows:
-                    found += _cell_pairs(rows)
+                    found += _cell_members(rows)
                     if len(found) >= 20_000:
                         yield emit()
                         found.clear()
                 current, rows = row[:3], []
-            rows.append(row[1:])
+            rows.append(row)
     if rows:
-        found += _cell_pairs(rows)
+        found += _cell_members(rows)
     if found:
         yield emit()
 
 
-def pairs_apart(posts: DataFrame, label: DataFrame, classes: DataFrame) -> DataFrame:
-    """a, b: candidate pairs of the posting lists whose members lie in several components. A
-    list is cut into blocks; a member goes to one cell for each block of its list."""
+def cells_apart(posts: DataFrame, label: DataFrame, classes: DataFrame) -> DataFrame:
+    """cell, at, label, cid, partners: members of the posting lists whose classes lie in several
+    components, with the candidates they are to be compared with (see ``_cell_members``). A list
+    is cut into blocks; a member goes to one cell for each block of its list."""
     at = posts.select("token", "k", "cid", "mask").join(label, F.col("cid") == F.col("node"), "left") \
         .select("token", "k", "cid", "mask", F.coalesce("label", "cid").alias("label"))
     open_lists = at.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
                                          F.count(F.lit(1)).alias("n")) \
         .where("lo <> hi").select("token", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    rows = at.join(open_lists, "token").join(classes.select("cid", "sig", "more"), "cid") \
+    rows = at.join(open_lists, "token").join(classes.select("cid", "n_shingles", "sig", "more"), "cid") \
         .withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")) \
         .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cells = rows.select("token", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"),
-                        "block", "k", "cid", "label", "mask", "sig", "more")
+                        "block", "k", "cid", "label", "mask", "n_shingles", "sig", "more")
     n = int(posts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return cells.repartition(n, "token", "i", "j").sortWithinPartitions("token", "i", "j") \
-        .mapInArrow(_compare_cells, "a binary, b binary")
+        .mapInArrow(_compare_cells, "cell binary, at int, label int, cid binary, partners binary")
+
+
+def _forest(members: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
+    """Links of one cell that join two components. Members: label, cid, partners, shingle set, in
+    the order of their places; pairs that earlier links have joined are not compared."""
+    top = list(range(max(m[0] for m in members) + 1))
+
+    def find(x: int) -> int:
+        while top[x] != x:
+            top[x] = x = top[top[x]]
+        return x
+
+    for label, cid, partners, own in members:
+        at = np.flatnonzero(np.unpackbits(np.frombuffer(partners, np.uint8)))
+        mine = find(label)
+        at = [p for p in at.tolist() if find(members[p][0]) != mine]
+        if not at:
+            continue
+        sizes = np.array([len(members[p][3]) for p in at])
+        every = np.concatenate([members[p][3] for p in at])
+        place = np.minimum(np.searchsorted(own, every), len(own) - 1)
+        common = np.add.reduceat((own[place] == every).astype(np.int64), np.cumsum(sizes) - sizes)
+        alike = 100 * common >= SIMILAR * (sizes + len(own) - common)
+        for p in np.array(at)[alike].tolist():
+            other = find(members[p][0])
+            if other != find(label):
+                top[other] = find(label)
+                yield cid, members[p][1]
+
+
+def _confirm_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by (cell, at, chunk); the sets of one cell are held together, no more."""
+    current, members, found = None, [], []
+
+    def closed() -> None:
+        if members:
+            found.extend(_forest([(lab, cid, bits, np.concatenate(sets)) for _, lab, cid, bits, sets in members]))
+            members.clear()
+
+    emit = lambda: pa.RecordBatch.from_arrays(
+        [pa.array(c, pa.binary()) for c in zip(*found)], ["a", "b"])
+    for batch in _few(batches):
+        cell, at, label, cid, partners = (batch.column(c).to_pylist() for c in range(5))
+        sets = batch.column(6)
+        for r in range(batch.num_rows):
+            if cell[r] != current:
+                closed()
+                current = cell[r]
+            if not members or members[-1][0] != at[r]:
+                members.append((at[r], label[r], cid[r], partners[r], []))
+            members[-1][4].append(sets[r].values.to_numpy().view(np.uint64).copy())
+        if len(found) >= 20_000:
+            yield emit()
+            found.clear()
+    closed()
+    if found:
+        yield emit()
+
+
+def links_apart(cells: DataFrame, classes: DataFrame, docs: DataFrame, path: str) -> DataFrame:
+    """a, b: links between components, confirmed on full sets inside the cells; of each cell, a
+    forest."""
+    needed = cells.select("cid").distinct().join(classes.select("cid", "rep"), "cid")
+    sets = stored(_class_sets(needed, docs), f"{path}-sets")
+    last = F.ceil(F.size("shingles") / CHUNK).cast("int") - 1
+    parts = sets.select("cid", "shingles", F.explode(F.sequence(F.lit(0), last)).alias("chunk")) \
+        .select("cid", "chunk", F.slice("shingles", F.col("chunk") * CHUNK + 1, F.lit(CHUNK)).alias("part"))
+    rows = cells.join(parts, "cid").select("cell", "at", "label", "cid", "partners", "chunk", "part")
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stored(rows.repartition(n, "cell").sortWithinPartitions("cell", "at", "chunk")
+                  .mapInArrow(_confirm_cells, "a binary, b binary"), f"{path}-links")
+
+
+def _class_sets(classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """cid, shingles of the classes (cid, rep), from the texts of their representatives."""
+    ids = classes.select(F.col("rep").alias("id")).distinct()
+    few = ids.count() <= BROADCAST_IDS
+    texts = docs.join(F.broadcast(ids) if few else ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    return texts.select("text").mapInArrow(_set_rows, "cid binary, shingles array<long>") \
+        .join(classes.select("cid").distinct(), "cid", "left_semi").dropDuplicates(["cid"])
 
 
 def _similar(pairs: DataFrame, classes: DataFrame, docs: DataFrame, path: str) -> DataFrame:
     """The pairs (a, b) that are similar: enough collisions, then full sets."""
-    sig = classes.select("cid", "rep", "sig")
+    sig = classes.select("cid", "rep", "n_shingles", "sig")
     side = lambda n: sig.select(*[F.col(c).alias(f"{c}_{n}") for c in sig.columns])
     met = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: (x == y).cast("int")), F.lit(0),
                       lambda s, x: s + x)
+    sizes = 100 * F.least("n_shingles_a", "n_shingles_b") >= SIMILAR * F.greatest("n_shingles_a", "n_shingles_b")
     near = stored(pairs.join(side("a"), F.col("a") == F.col("cid_a"))
-                  .join(side("b"), F.col("b") == F.col("cid_b")).where(met >= MATCHES)
+                  .join(side("b"), F.col("b") == F.col("cid_b")).where(sizes & (met >= MATCHES))
                   .select("a", "b", "rep_a", "rep_b"), f"{path}-near")
-    both = near.select(F.col("a").alias("cid"), F.col("rep_a").alias("id")).unionByName(
-        near.select(F.col("b").alias("cid"), F.col("rep_b").alias("id"))).distinct()
-    ids = both.select("id").distinct()
-    few = ids.count() <= BROADCAST_IDS
-    texts = docs.join(F.broadcast(ids) if few else ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
-    sets = texts.select("text").mapInArrow(_set_rows, "cid binary, shingles array<long>") \
-        .join(both.select("cid").distinct(), "cid", "left_semi").dropDuplicates(["cid"])
-    sets = stored(sets, f"{path}-sets")
+    both = near.select(F.col("a").alias("cid"), F.col("rep_a").alias("rep")).unionByName(
+        near.select(F.col("b").alias("cid"), F.col("rep_b").alias("rep"))).distinct()
+    sets = stored(_class_sets(both, docs), f"{path}-sets")
     common = F.size(F.array_intersect("sa", "sb"))
     total = sets.agg(F.sum(F.size("shingles")).alias("n")).first().n or 0
     hint = F.broadcast if total <= BROADCAST_SHINGLES else lambda d: d
@@ -316,7 +422,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     folder = shared_dir(spark)
     signed = stored(sign_documents(docs, id_col, text_col), f"{folder}/signed")
     classes = stored(signed.where("cid IS NOT NULL").groupBy("cid").agg(
-        F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("more").alias("more")), f"{folder}/classes")
+        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"),
+        F.first("more").alias("more")), f"{folder}/classes")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     posts = stored(prefix_postings(classes), f"{folder}/postings")
 
@@ -330,8 +437,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     label = components(links, f"{folder}/c1")
 
     # members of a list that are still apart
-    apart = stored(pairs_apart(posts, label, classes), f"{folder}/pairs2")
-    more = _similar(apart, classes, texts, f"{folder}/2")
+    apart = stored(cells_apart(posts, label, classes), f"{folder}/cells")
+    more = links_apart(apart, classes, texts, f"{folder}/2")
     if not more.isEmpty():
         label = components(links.unionByName(more), f"{folder}/c2")
 
@@ -341,8 +448,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of_class = member.join(least, "label").select("cid", F.col("component_id").alias("least_id"))
     out = signed.select("doc_id", "h", "n_shingles", "cid").join(of_class, "cid", "left")
     comp = F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("least_id"))
-    return out.select("doc_id", "h", "n_shingles", comp.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(comp).alias("kept"))
+    return finished(out.select("doc_id", "h", "n_shingles", comp.alias("component_id"),
+                               F.col("doc_id").eqNullSafe(comp).alias("kept")), folder)
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

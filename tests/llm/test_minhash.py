@@ -123,3 +123,29 @@ def test_structured_words_stay_apart(spark):
     b = a.translate(str.maketrans("ab", "ba"))
     rows = [(1, a), (2, b), (3, a.upper())]
     assert got(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows) == [(1, 1, 1), (2, 1, 2), (3, 1, 1)]
+
+
+def test_near_misses_of_one_base_are_confirmed_in_cells(spark, monkeypatch):
+    """Many copies at similarities of 0.55 to 0.8: most pairs pass the count and are no links."""
+    r = random.Random(5)
+    base = [f"b{k}" for k in range(160)]
+    rows = []
+    for k in range(140):
+        w = list(base)
+        for _ in range(r.randrange(3, 9)):
+            w[r.randrange(160)] = f"x{r.randrange(10 ** 6)}"
+        rows.append((k, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows)
+    assert got(df) == want and 1 < len({c for _, _, c in want}) < 140
+    monkeypatch.setattr(minhash, "HELD", 1000)  # sets dealt to many cells, rows of few shingles
+    monkeypatch.setattr(minhash, "CHUNK", 50)
+    assert got(df) == want
+
+
+def test_forest_joins_each_component_once():
+    own = lambda *x: np.array(x, np.uint64)
+    bits = lambda *x: np.packbits(np.isin(np.arange(4), x)).tobytes()
+    members = [(0, b"a", bits(1, 2, 3), own(1, 2, 3, 4)), (1, b"b", bits(2, 3), own(1, 2, 3, 4, 5)),
+               (2, b"c", bits(3), own(2, 3, 4)), (2, b"d", bits(), own(7, 8, 9))]
+    assert list(minhash._forest(members)) == [(b"a", b"b"), (b"a", b"c")]
