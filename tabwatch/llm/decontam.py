@@ -3,13 +3,17 @@
 Numbers, units and names become typed placeholders, so a question whose parameters were
 changed keeps its template. Windows of five template words are joined by hash to those of the
 benchmark; windows with slots are also joined by their plain lower-case words, as what looks
-like a name depends on case and place. Per document, item and diagonal, a benchmark name must
+like a name depends on case and place. A window of placeholders only has no template: it is
+joined by its plain words alone, so that tables of other numbers are no evidence. Per document, item and diagonal, a benchmark name must
 always meet the same document word: windows holding a name that meets several do not count.
 Equal numbers or units in several slots are parameters of their own and may change one by one.
 Windows that cover at least 0.75 of an item mark a leak."""
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,8 +55,10 @@ def _kind(word: Column) -> Column:
 
 def windows(df: DataFrame, key: list[str], text: Column, out: str) -> DataFrame:
     """key, {out}_pos, wh (hash of the template window), {out}_slots (values of its slots,
-    joined by spaces; null without slots), {out}_plain (false) for every window of a text; a
-    window with slots stands there again with the hash of its plain words and {out}_plain true."""
+    joined by spaces; null without slots), {out}_plain (false), {out}_same (wh is the hash of the
+    plain words although there are slots) for every window of a text. A window of slots only has
+    the hash of its plain words; any other one with slots stands there again with that hash,
+    {out}_plain and {out}_same true."""
     w = df.select(*key, template_words(text).alias("w"))
     w = w.select(*key, "w", F.transform("w", _kind).alias("k"))
     slots = F.exists("k", lambda x: x.isNotNull())
@@ -65,19 +71,23 @@ def windows(df: DataFrame, key: list[str], text: Column, out: str) -> DataFrame:
     # words into the functions below, once per word
     n = F.greatest(F.size("c") - (WINDOW - 1), F.lit(0))
     hashed = lambda c, i: F.xxhash64(*[F.get(c, i + k) for k in range(WINDOW)])
-    row = lambda i, c, s, plain: F.struct(
-        i.alias("p"), hashed(c, i).alias("wh"), s.alias("s"), F.lit(plain).alias("plain"))
+    row = lambda i, wh, s, plain, same: F.struct(
+        i.alias("p"), wh.alias("wh"), s.alias("s"), F.lit(plain).alias("plain"), same.alias("same"))
+    never, always = F.lit(False), F.lit(True)
     # values are only looked up in texts that have slots
     held = lambda i: F.coalesce(*[F.get("s", i + k) for k in range(WINDOW)]).isNotNull()
     values = lambda i: F.when(held(i), F.concat_ws(" ", *[F.get("s", i + k) for k in range(WINDOW)]))
-    bare = F.transform("c", lambda _, i: row(i, "c", F.lit(None).cast("string"), False))
-    slotted = F.transform("c", lambda _, i: row(i, "c", values(i), False))
-    plain = F.transform("l", lambda _, i: F.when(held(i), row(i, "l", values(i), True)))
+    pure = lambda i: reduce(and_, [F.get("s", i + k).isNotNull() for k in range(WINDOW)])
+    bare = F.transform("c", lambda _, i: row(i, hashed("c", i), F.lit(None).cast("string"), False, never))
+    slotted = F.transform("c", lambda _, i: row(i, F.when(pure(i), hashed("l", i)).otherwise(hashed("c", i)),
+                                                values(i), False, pure(i)))
+    plain = F.transform("l", lambda _, i: F.when(held(i) & ~pure(i), row(i, hashed("l", i), values(i), True, always)))
     win = F.when(F.col("s").isNull(), F.slice(bare, 1, n)).otherwise(
         F.concat(F.slice(slotted, 1, n), F.array_compact(F.slice(plain, 1, n))))
     return w.select(*key, F.explode(win).alias("x")) \
         .select(*key, F.col("x.p").alias(f"{out}_pos"), F.col("x.wh").alias("wh"),
-                F.col("x.s").alias(f"{out}_slots"), F.col("x.plain").alias(f"{out}_plain"))
+                F.col("x.s").alias(f"{out}_slots"), F.col("x.plain").alias(f"{out}_plain"),
+                F.col("x.same").alias(f"{out}_same"))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
@@ -88,7 +98,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     coverage: distinct item windows found, but for those with a name in conflict on their
     diagonal, over all item windows, at least MIN_COVERAGE. Template windows alone are counted
-    if they reach it, or else both kinds. first_word: smallest word at which a matched window starts. verbatim:
+    if they reach it, or else both kinds; a window of numbers, units and names only is found by
+    its own words and by no others. first_word: smallest word at which a matched window starts. verbatim:
     every slot has the benchmark's own value. Null and empty texts, and texts or items under
     five words, have no window and match nothing. Rows equal in id and text count once; items
     equal in id count as one item. Empty tables: no rows."""
@@ -103,7 +114,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     hits = d.join(F.broadcast(b) if n_b <= broadcast_windows else b, "wh")
     diag = (F.col("d_pos") - F.col("b_pos")).alias("diag")
     # equal plain words: each slot has the benchmark's own value
-    own = F.when(F.col("b_plain"), F.col("b_slots")).otherwise(F.col("d_slots"))
+    own = F.when(F.col("b_same"), F.col("b_slots")).otherwise(F.col("d_slots"))
     pairs = F.when(F.length("b_slots") > 0, F.arrays_zip(F.split("b_slots", " ").alias("b"),
                                                          F.split(own, " ").alias("d")))
     lines = hits.groupBy("doc_id", "h", "item_id", diag).agg(
@@ -154,7 +165,10 @@ def oracle_sql() -> str:
   WHEN x[1] BETWEEN '0' AND '9' THEN '<number>' WHEN lower(x) IN ({units}) THEN '<unit>'
   ELSE lower(x) END) AS c FROM {out}0),
 {out}2 AS (SELECT k, unnest(range(1, len(c) - {WINDOW - 2})) AS i, w, c FROM {out}1 WHERE len(c) >= {WINDOW}),
-{out} AS (SELECT DISTINCT k, i, list_aggregate(c[i:i+{WINDOW - 1}], 'string_agg', ' ') AS win,
+{out} AS (SELECT DISTINCT k, i, list_aggregate(
+  CASE WHEN len(list_filter(c[i:i+{WINDOW - 1}], lambda x: x[1] = '<')) = {WINDOW}
+  THEN list_transform(w[i:i+{WINDOW - 1}], lambda x: lower(replace(x, '{NAME}', '')))
+  ELSE c[i:i+{WINDOW - 1}] END, 'string_agg', ' ') AS win,
   w[i:i+{WINDOW - 1}] AS w, c[i:i+{WINDOW - 1}] AS c FROM {out}2)"""
 
     return f"""

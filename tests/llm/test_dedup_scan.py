@@ -159,3 +159,24 @@ def test_decontamination_keeps_windows_beside_a_conflict(spark, item, copy):
     b = spark.createDataFrame([(1, item)], "item_id long, text string")
     got = decontam.find_leaks(d, b).collect()
     assert [(r.doc_id, r.n_matched) for r in got] == [(1, got[0].n_windows)]
+
+
+def test_decontamination_takes_other_numbers_for_no_evidence(spark):
+    """Windows of placeholders only are found by their own values."""
+    table = " ".join(str(1000 + k) for k in range(80))
+    worded = "Count the boxes on the shelf and add 11 22 33 44 55 66 to what the clerk wrote down last time"
+    docs = [(1, " ".join(str(50_000 + 7 * k) for k in range(200))), (2, "see here: " + table + " end"),
+            (3, "Now. " + worded), (4, worded.replace("11 22 33 44 55 66", "9 8 7 6 5 4")),
+            (5, "11 22 33 44 55 66"), (6, " ".join(reversed(table.split()))), (7, "and Then Ann Bob Cid Dan Eve Fay came"),
+            (8, "then ann bob cid dan eve fay")]
+    items = [(1, table), (2, worded), (3, "we saw Ann Bob Cid Dan Eve Fay")]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontam.find_leaks(d, b).collect()}
+    assert {(2, 1), (3, 2)} <= set(got) and not {1, 5, 6} & {k[0] for k in got}
+    assert got[2, 1].n_matched == got[2, 1].n_windows == 76 and got[2, 1].verbatim
+    assert got[3, 2].n_matched == got[3, 2].n_windows and got[3, 2].verbatim
+    # two windows hold numbers only: the others of a question with other numbers still count
+    assert got[4, 2].n_matched == got[4, 2].n_windows - 2 and not got[4, 2].verbatim
+    kept = {r.doc_id for r in decontam.drop_leaks(d, b).collect()}
+    assert {1, 5, 6} <= kept and not {2, 3, 4} & kept
