@@ -146,3 +146,87 @@ KEPT = ["<p data-hidden='false'>t</p>", "<p title='the hidden cost'>t</p>", "<bl
 def test_attributes_and_inline_zones(body):
     assert [t for z, t in H.blocks(f"<body><article>{body}</article>") if z == H.MAIN] == ["t"]
     assert [t for z, t in H.blocks(f"<article class='social-impact'>{body}</article>") if z == H.MAIN] == ["t"]
+
+
+GONE = ["<div class='reader-comments'>no</div>", "<div class='user-comments'>no</div>", "<div class='comment-thread'>no</div>",
+        "<div class='newsletter-signup'>no</div>", "<div class='ad-300x250'>no</div>", "<div class='share-this'>no</div>",
+        "<div class='social-media-links'>no</div>", "<div class='related-articles'>no</div>",
+        "<div class='cookie-banner-text'>no</div>", "<div id='disqus_thread'>no</div>", "<p class='ad'>no</p>"]
+
+
+@pytest.mark.parametrize("form", GONE)
+def test_marked_elements_of_articles(form):
+    assert H.blocks(f"<article><p>t</p>{form}<p>u</p></article>") == [(H.MAIN, "t"), (H.PAGE, "no"), (H.MAIN, "u")]
+
+
+def test_wrappers_do_not_mark_their_article():
+    page = "<body class='no-sidebar'><div class='page has-sidebar'><article><p>t</p></article><div class='sidebar'>no</div></div>"
+    assert [t for z, t in H.blocks(page) if z == H.MAIN] == ["t"]
+    assert not any(a for z, _, a in H.marked_blocks(page) if z == H.MAIN)
+
+
+def suspect_page(k, host):
+    """An article with a recipe list, a marked-looking element that repeats and reader comments of one frame."""
+    r = random.Random(f"{host}{k}")
+    own = [" ".join(f"w{r.randrange(10 ** 9)}" for _ in range(12)) for _ in range(4)]
+    talk = "".join(f"<div class='comment-{k}{i} by-reader'><b>{r.random()}</b><time>{r.random()}</time><p>{r.random()}</p></div>"
+                   for i in range(2 + k % 3))
+    return (f"<article><p>{own[0]}</p><ul class='menu'><li>{own[1]}</li></ul><div class='promo-of-autumn'>Our shop sells all the "
+            f"books that this site writes about</div><div class='comment'><p>{own[2]}</p></div><p>A passage of ten words that every "
+            f"article of this host holds</p><section class='comments-of-page'>{talk}</section></article>",
+            [own[0], own[1], own[2], "A passage of ten words that every article of this host holds"])
+
+
+@pytest.mark.parametrize("chunk", [200_000, 120])
+def test_suspects_are_decided_by_repetition(spark, chunk):
+    rows = [(k, f"http://h.example/{k}", suspect_page(k, "h")[0]) for k in range(8)]
+    rows += [(k + 8, f"http://h.example/copy{k}", suspect_page(k, "h")[0]) for k in range(8)]
+    rows += [(20 + k, f"http://alone.example/{k}", suspect_page(0, "alone")[0]) for k in range(3)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS stream", "2 AS around")
+    got = {r.page_id: r.text.split("\n") for r in H.extract_text(df, chunk_tokens=chunk).collect()}
+    for k in range(16):
+        assert got[k] == suspect_page(k % 8, "h")[1]
+    for k in range(3):  # copies of one page are no evidence against it
+        assert "Our shop sells all the books that this site writes about" in got[20 + k]
+
+
+def test_kept_text_against_brute_force(spark):
+    r = random.Random(5)
+    phrases = [" ".join(r.choices("abcd", k=r.randrange(1, 14))) for _ in range(6)]
+    kinds = ["p", "div", "ul class='menu'", "div class='search-results'", "section class='comment-box-x'", "nav", "div class='no-ads x'"]
+
+    def page():
+        body = "".join(f"<{(k := r.choice(kinds))}>{r.choice(phrases)}<p class=q{r.randrange(2)}>{r.choice(phrases)}</p></{k.split()[0]}>"
+                       for _ in range(r.randrange(1, 9)))
+        return f"<article>{body}</article><p>x</p>" if r.random() < 0.5 else body
+
+    rows = [(k, f"http://{'ab'[k % 2]}/", page()) for k in range(60)]
+    want = {}
+    streams = {}
+    for k, u, h in rows:
+        streams[k] = [(w, n) for n, (z, t, a) in enumerate(H.marked_blocks(h)) if z != H.MAIN or a for w in t.split()]
+    for k, u, h in rows:
+        others = set()
+        for j, v, g in rows:
+            if v == u and g != h:
+                ws = [w for w, _ in streams[j]]
+                others |= {tuple(ws[i:i + H.RUN]) for i in range(len(ws) - H.RUN + 1)}
+        ws = [w for w, _ in streams[k]]
+        hit = [any(tuple(ws[s:s + H.RUN]) in others for s in range(max(0, i - H.RUN + 1), i + 1) if s + H.RUN <= len(ws))
+               for i in range(len(ws))]
+        found = H.marked_blocks(h)
+
+        def covered(ids):
+            on = [x for x, (_, n) in zip(hit, streams[k]) if n in ids]
+            return bool(on) and sum(on) >= H.COVERED * len(on)
+
+        numbers = {a for _, _, around in found for a in around}
+        gone = {a for a in numbers for frame in (False, True)
+                if covered({n for n, (z, _, around) in enumerate(found) if a in around and (z == H.FRAME) == frame})}
+        article = any(z == H.MAIN for z, _, _ in found)
+        want[k] = "\n".join(t for n, (z, t, around) in enumerate(found) if not gone & set(around)
+                            and (z == H.MAIN if article else z == H.OPEN and not covered({n})))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for chunk in (200_000, 50):
+        assert {x.page_id: x.text for x in H.extract_text(df, chunk_tokens=chunk).collect()} == want
+    assert any(w == "" for w in want.values()) and len({len(w) for w in want.values()}) > 10
