@@ -24,10 +24,10 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/tabwatch-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, path: str) -> DataFrame:
+def stored(df: DataFrame, path: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet and read it back: cuts the lineage with files that outlive
-    any executor."""
-    df.write.parquet(path)
+    any executor. ``compression``: of the files, the session's if not given."""
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -38,9 +38,9 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def finished(df: DataFrame, folder: str) -> DataFrame:
+def finished(df: DataFrame, folder: str, compression: str | None = None) -> DataFrame:
     """Store a result beside ``folder`` and delete the tables below ``folder`` that led to it."""
-    out = stored(df, f"{folder}-result")
+    out = stored(df, f"{folder}-result", compression)
     drop_path(df.sparkSession, folder)
     return out
 

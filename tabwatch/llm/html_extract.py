@@ -432,12 +432,12 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     id_type = src.schema["page_id"].dataType.simpleString()
     parsed = stored(src.mapInArrow(
         _parse, f"page_id {id_type}, url string, host string, key long, main string, "
-                f"stream {BLOCKS}, n_tokens long"), f"{folder}/parsed")
+                f"stream {BLOCKS}, n_tokens long"), f"{folder}/parsed", "zstd")
     # the plain article texts stay out of the shuffle; copies of a page meet on the map side first
     listed = F.filter("stream", lambda x: (x["zone"] != MAIN) | (F.size(x["around"]) > 0))
     streams = stored(parsed.where("n_tokens > 0").select(
         "host", "key", F.col("main").isNull().alias("wanted"), "n_tokens", listed["text"].alias("stream"))
-        .dropDuplicates(["host", "key"]), f"{folder}/streams")
+        .dropDuplicates(["host", "key"]), f"{folder}/streams", "zstd")
     sizes = streams.groupBy("host").agg(F.ceil(F.sum("n_tokens") / chunk_tokens).cast("int").alias("chunks"))
     chunked = streams.join(sizes, "host").select(
         "host", F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int").alias("chunk"), "chunks", "key",
@@ -455,4 +455,4 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
         .select("page_id", "url", "stream", "starts") \
         .mapInArrow(_assemble, f"page_id {id_type}, url string, text string")
     out = whole.unionByName(rest).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
-    return finished(out, folder)
+    return finished(out, folder, "zstd")
