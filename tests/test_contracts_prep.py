@@ -112,3 +112,36 @@ def test_inject_and_swap(spark):
     assert np.allclose(after.MonthlyCharges, before.MonthlyCharges * 1.25)
     sw = P.swap_category(df, "gender", "Female", "Male").select("gender").toPandas().gender
     assert (sw.values != df.select("gender").toPandas().gender.values).all()
+
+
+def test_unique_marks_against_brute_force(spark):
+    """Small bitmaps let many clean rows through; marks stay exact. NULL keys never count."""
+    import random
+    from collections import Counter
+
+    r = random.Random(3)
+    rows = [(r.choice([None, *range(4000)]), r.choice(["a", "b", None]), r.randrange(900), i) for i in range(3000)]
+    rows += [(7, "hot", i, 3000 + i) for i in range(1500)]
+    df = spark.createDataFrame(rows, "k long, t string, u int, id long")
+    contract = C.Contract("c", tuple(C.ColumnSpec(n, t, unique=n == "u", nullable=True) for n, t in
+                                     (("k", "bigint"), ("t", "string"), ("u", "int"), ("id", "bigint"))),
+                          key=("id",), unique=(("k", "t"),))
+    us, kt = Counter(x[2] for x in rows), Counter(x[:2] for x in rows if None not in x[:2])
+    want = {x[3]: [n for n, bad in (("u:unique", us[x[2]] > 1), ("k,t:unique", kt.get(x[:2], 0) > 1)) if bad] for x in rows}
+    for bits in (1 << 15, C.BITMAP_BITS):
+        out = C.with_violations(df, contract, bitmap_bits=bits)
+        assert out.columns == ["k", "t", "u", "id", "_violations"]
+        got = out.collect()
+        assert len(got) == len(rows) and {x.id: list(x["_violations"]) for x in got} == want
+    assert C.with_violations(df.limit(0), contract).count() == 0
+    with pytest.raises(ValueError):
+        C.with_violations(df, contract, bitmap_bits=100)
+
+
+def test_unique_marks_move_suspicious_rows_only(spark):
+    """Unlike keys, clean rows are in no shuffle: what is written is the keys and a few rows."""
+    df = spark.range(20000).selectExpr("if(id < 20, 1, id) AS k", "repeat(cast(id AS string), 50) AS payload")
+    contract = C.Contract("c", (C.ColumnSpec("k", "bigint", unique=True), C.ColumnSpec("payload", "string")), key=("k",))
+    keys = [r.k for r in C._suspicious(df, ["k"], C._repeated(df, ["k"], "d"), 0, C.BITMAP_BITS).where("_sus_0").collect()]
+    assert keys.count(1) == 20 and len(keys) < 60
+    assert C.with_violations(df, contract).where("size(_violations) > 0").count() == 20
