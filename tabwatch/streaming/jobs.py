@@ -14,10 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tabwatch.operators.contracts import VIOLATIONS, Contract, with_violations
+from tabwatch.operators.contracts import VIOLATIONS, Contract
 from tabwatch.operators.models import FittedModel
 from tabwatch.streaming.baseline import Baseline, binned, psi_from_counts
 from tabwatch.streaming.sinks import StreamSink
+from tabwatch.streaming.unique import stream_violations
 
 
 def _checkpoint(given: str | None) -> str:
@@ -29,12 +30,13 @@ def _checkpoint(given: str | None) -> str:
 def score_stream(stream: DataFrame, contract: Contract, prep: Callable[[DataFrame], DataFrame],
                  features: PipelineModel, model: FittedModel, key: Sequence[str],
                  valid_path: str, quarantine_path: str, checkpoint: str | None = None,
-                 trigger: dict | None = None) -> StreamingQuery:
+                 trigger: dict | None = None, unique_within: str | None = None) -> StreamingQuery:
     """Contract check, shared preprocessing and the fitted pipeline on every row of the
-    stream (stateless); valid rows -> scores sink, others -> quarantine sink. ``checkpoint`` must
-    be given; with the same one a new application goes on where the last one stopped."""
+    stream; valid rows -> scores sink, others -> quarantine sink. Stateless but for unique keys: a row
+    whose key came before, in any micro-batch of the last ``unique_within``, is quarantined.
+    ``checkpoint`` must be given; with the same one a new application goes on where the last one stopped."""
     at = _checkpoint(checkpoint)
-    flagged = with_violations(stream, contract)
+    flagged = stream_violations(stream, contract, unique_within)
 
     def outputs(batch: DataFrame) -> dict[str, DataFrame]:
         good = batch.where(F.size(VIOLATIONS) == 0).drop(VIOLATIONS)
