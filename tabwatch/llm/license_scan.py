@@ -8,10 +8,13 @@ diagonal, which verifies its span word for word."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabwatch.llm.common import text_or_empty, values_table
+from tabwatch.llm.license_texts import TEXTS
 
 K = 3               # words per gram
 BAND = 2            # diagonals at most this far apart merge
@@ -21,8 +24,8 @@ MAX_TEMPLATE_WORDS = 100_000  # bound of what is broadcast; more raises
 # Base phrases and their labels.
 BASE = [("mit", "under the mit license"), ("apache-2", "apache license version 2"),
         ("cc-by-nc", "cc by nc")]
-# Public license statements, as lower-case words.
-TEMPLATES = [
+# Public license statements, as lower-case words. Whole texts and notices follow them.
+STATEMENTS = [
     ("gpl-3", "gnu general public license version 3"),
     ("lgpl-3", "gnu lesser general public license version 3"),
     ("agpl-3", "gnu affero general public license version 3"),
@@ -40,6 +43,7 @@ TEMPLATES = [
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+TEMPLATES = STATEMENTS + [(label, " ".join(w for w in re.split(NO_WORD, text.lower()) if w)) for label, text in TEXTS]
 
 
 def words(text: Column) -> Column:
@@ -70,7 +74,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     smallest and largest start (null if none). labels adds templates covered by at least
     MIN_COVERAGE; score is 1 with a base phrase, else the best coverage. Null text: empty, so
     n_words 0, no labels (empty strings), score 0. Rows equal in id and text give equal rows;
-    a null id is kept. Empty table: no rows."""
+    a null id is kept. Very long texts are scanned whole. Columns other than the two named are not
+    read, whatever their names. Empty table: no rows."""
     spark = docs.sparkSession
     text = text_or_empty(text_col)
     d = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("h"),

@@ -180,3 +180,28 @@ def test_decontamination_takes_other_numbers_for_no_evidence(spark):
     assert got[4, 2].n_matched == got[4, 2].n_windows - 2 and not got[4, 2].verbatim
     kept = {r.doc_id for r in decontam.drop_leaks(d, b).collect()}
     assert {1, 5, 6} <= kept and not {2, 3, 4} & kept
+
+
+def test_whole_license_texts(spark):
+    """Whole texts are found in comment frames, with a word changed and inside other text; halves are not."""
+    from tabwatch.llm.license_texts import TEXTS
+
+    rows, want = [], {}
+    for k, (label, text) in enumerate(TEXTS):
+        framed = "\n".join(f" * {line}" for line in text.split("\n"))
+        rows += [(10 * k, f"Copyright 2020 Someone\n{framed}\n * end"), (10 * k + 1, "x y z " * 30 + text.upper() + " q" * 9),
+                 (10 * k + 2, re.sub(r"(?i)\b(software|license)\b", "product", text, count=1)),
+                 (10 * k + 3, " ".join(text.split()[:len(text.split()) // 2][-20:]))]
+        want.update({10 * k: label, 10 * k + 1: label, 10 * k + 2: label})
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan.scan_licenses(df).collect()}
+    for k, label in want.items():
+        assert label in got[k].labels.split(","), (k, label, got[k])
+        assert k % 10 == 2 or got[k].score == 1
+    assert got[10 * [x for x, _ in TEXTS].index("zlib") + 3].labels == ""
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    rel = con.execute(license_scan.oracle_sql())
+    cols = [d[0] for d in rel.description]
+    assert sorted(map(repr, ([r[c] for c in cols] for r in got.values()))) == sorted(repr(list(r)) for r in rel.fetchall())
