@@ -176,3 +176,35 @@ def test_empty_side_ks_and_score_drift(spark):
     assert k.ks_statistic is None and k.ks_pvalue is None and k.n_c == 0
     t = D.detect_drift(b, b.limit(0), ["x"], []).first()
     assert t.psi is None and t.psi_alert is False and t.ks_alert is False
+
+
+def test_exact_ks_pvalue_counts_permutations():
+    from itertools import combinations
+    from math import comb
+
+    for n1, n2 in ((1, 1), (3, 4), (5, 5), (2, 9), (6, 4)):
+        ds = []
+        for side in combinations(range(n1 + n2), n1):
+            i = far = 0
+            for k in range(n1 + n2):
+                i += k in side
+                far = max(far, abs(i * n2 - (k + 1 - i) * n1))
+            ds.append(far)
+        for far in sorted(set(ds)):
+            want = sum(x >= far for x in ds) / comb(n1 + n2, n1)
+            assert D.ks_pvalue_exact(far / (n1 * n2), n1, n2) == pytest.approx(want, rel=1e-12)
+            assert D.ks_pvalue_exact(far / (n1 * n2), n2, n1) == pytest.approx(want, rel=1e-12)
+    assert D.ks_pvalue_exact(0.0, 3, 3) == 1.0
+    assert D.ks_pvalue_exact(1.0, 200, 200) == pytest.approx(2 / comb(400, 200), rel=1e-9)
+
+
+def test_exact_limit(spark):
+    b = spark.range(50).selectExpr("cast(id AS double) AS x", "cast(NULL AS double) AS e")
+    c = spark.range(40).selectExpr("cast(id + 12 AS double) AS x", "1.0D AS e")
+    exact = {r.feature: r for r in D.ks_two_sample(b, c, ["x", "e"], exact_limit=50).collect()}
+    rough = {r.feature: r for r in D.ks_two_sample(b, c, ["x", "e"], exact_limit=49).collect()}
+    assert exact["x"].ks_statistic == rough["x"].ks_statistic and exact["e"].ks_pvalue is None
+    assert exact["x"].ks_pvalue == D.ks_pvalue_exact(exact["x"].ks_statistic, 50, 40) != rough["x"].ks_pvalue
+    assert exact["x"].ks_pvalue == pytest.approx(rough["x"].ks_pvalue, rel=0.3)
+    t = D.detect_drift(b, c, ["x"], [], exact_limit=10_000).first()
+    assert t.ks_pvalue == exact["x"].ks_pvalue
