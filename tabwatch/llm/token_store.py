@@ -287,6 +287,7 @@ def read_digest(manifest: DataFrame, folder: str) -> DataFrame:
 
 
 def tokens_digest(docs: DataFrame, vocabulary: str, **options) -> DataFrame:
-    """Write the shards to a new shared folder and read them back."""
+    """Write the shards to a new shared folder and read them back. Cases as in ``write_tokens``; further
+    columns are not read, whatever their names. Empty table: no rows."""
     folder = shared_dir(docs.sparkSession)
     return read_digest(write_tokens(docs, folder, vocabulary, **options), folder)

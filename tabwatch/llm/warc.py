@@ -202,7 +202,9 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
 def archive_report(pages: DataFrame, **columns) -> DataFrame:
     """Write archives to a new shared folder, read every record back: page_id, payload_bytes,
     payload_digest, record_type, refers_to. Sizes and digests of stored payloads are computed
-    from the payloads read; those of revisits are the ones their records state."""
+    from the payloads read; those of revisits are the ones their records state. One row per page,
+    repeated rows, null ids and null or empty html (0 bytes) included; further columns are not read,
+    whatever their names. Empty table: no rows."""
     folder = shared_dir(pages.sparkSession)
     r = read_records(write_archives(pages, folder, **columns), folder)
     return r.select("page_id", F.coalesce(F.octet_length("payload").cast("long"), "payload_bytes").alias("payload_bytes"),

@@ -153,3 +153,26 @@ def test_short_trailing_spelled_and_doubled_forms(spark):
     model = T.fit(docs, labels)
     assert [f for k, f in enumerate(forms) if model.score(rows[400 + k][1]) < 0.5] == []
     assert [t for _, t in rows[400 + len(forms):] if model.score(t) >= 0.5] == []
+
+
+def test_stages_as_a_chain_on_odd_rows(spark, tmp_path):
+    """Nulls, empty and long texts, repeated rows, a null id and clashing columns through all stages."""
+    sf = "/root/testdata/sf0.001"
+    words = " ".join(f"w{k}x" for k in range(30000))
+    odd = [(900001, None), (900002, ""), (900003, words), (900003, words), (900004, "one two"), (None, "no id but some words"),
+           (900005, " "), (900006, words + " end")]
+    docs = spark.createDataFrame(odd, "doc_id long, text string").selectExpr(
+        "doc_id", "text", "CAST(NULL AS string) AS lang", "'s' AS source", "1L AS n_chars", "'r' AS row", "2 AS h", "3 AS id",
+        "'k' AS keep_id", "'z' AS sha", "4L AS text_hash", "5 AS kept")
+    empty, want = docs.limit(0), docs
+    for k, (name, f) in enumerate(corpus_pipeline.STAGES):
+        out = f(spark, want, sf)
+        out.write.parquet(f"{tmp_path}/{name}")
+        want = spark.read.parquet(f"{tmp_path}/{name}")
+        assert f(spark, empty, sf).count() == 0
+        if k < 4:
+            assert want.columns == docs.columns
+            assert {tuple(r)[2:] for r in want.collect()} == {(None, "s", 1, "r", 2, 3, "k", "z", 4, 5)}
+    got = {r.doc_id: r for r in want.collect()}
+    assert set(got) == {None, 900002, 900003, 900004, 900005} and want.count() == 5
+    assert all(r.lossless for r in got.values()) and got[900002].n_pieces == 0
