@@ -172,6 +172,32 @@ def test_small_folds_are_one_task_and_large_ones_many(spark):
     assert M.compact(d.limit(0), 10).count() == 0
 
 
+def test_train_all_fits_on_few_partitions(spark, processed, monkeypatch):
+    """A fit is hundreds of jobs: each has the tasks that its bytes ask for, not a task per shuffle partition."""
+    data = processed.withColumn("split", F.expr("element_at(array('train', 'val', 'test'), 1 + (tenure % 3))")) \
+        .repartition(40)
+    seen, fit = [], M.fit_model
+
+    def recorded(name, train, *args, **options):
+        seen.append((name, train.rdd.getNumPartitions(), train.count()))
+        return fit(name, train, *args, **options)
+
+    monkeypatch.setattr(M, "fit_model", recorded)
+    pipe = FE.build_feature_pipeline(T.NUMERICAL, "tenure", T.CATEGORICAL)
+    _, fitted, metrics = M.train_all(data, pipe, "churn", ["logreg", "gbt"], params={"gbt": {"n_estimators": 2}})
+    n = data.where("split = 'train'").count()
+    assert sorted(seen) == [("gbt", 1, n), ("logreg", 1, n)]
+    assert list(fitted) == ["logreg", "gbt"] and metrics.count() == 4
+
+
+def test_compact_uses_idle_cores(spark):
+    d = spark.range(0, 1000, 1, 7).select(F.col("id").cast("double").alias("label"))
+    wide = 1_500  # 12 MB as the frame's bytes are counted
+    assert M.compact(d, wide).rdd.getNumPartitions() == 1
+    assert M.compact(d, wide, cores=2).rdd.getNumPartitions() == 2
+    assert M.compact(d, wide, cores=12).rdd.getNumPartitions() == 3
+
+
 def test_saved_models_belong_to_the_application(spark, monkeypatch, tmp_path):
     from pyspark.errors import AnalysisException
 
