@@ -190,6 +190,26 @@ def test_train_all_fits_on_few_partitions(spark, processed, monkeypatch):
     assert list(fitted) == ["logreg", "gbt"] and metrics.count() == 4
 
 
+def test_tuning_counts_the_labels_once_a_fold(spark, processed, monkeypatch):
+    from tabwatch.operators import split as S
+    folds = S.stratified_folds(processed.withColumn("id", F.monotonically_increasing_id()), "id", "churn", k=2)
+    pipe = FE.build_feature_pipeline(T.NUMERICAL, "tenure", T.CATEGORICAL)
+    trials = [{"C": 1.0, "balanced": True}, {"C": 0.1, "balanced": False}, {"C": 0.01, "balanced": True}]
+    asked, count = [], M.label_counts
+    monkeypatch.setattr(M, "label_counts", lambda *a: asked.append(1) or count(*a))
+    table, _ = M.tune("logreg", folds, pipe, "churn", "fold", trials=trials)
+    assert len(asked) == 2 and table.count() == 3
+
+
+def test_sum_of_weights_is_that_of_the_rows(spark):
+    d = spark.createDataFrame([(1.0,)] * 3 + [(0.0,)] * 7, "y double")
+    c = M.label_counts(d, "y")
+    for kind in ("linear", "trees"):
+        one, zero = c.weights(kind)
+        rows = M.with_class_weights(d, "y", kind).agg(F.sum(M.WEIGHT)).first()[0]
+        assert one * c.pos + zero * c.neg == pytest.approx(rows, rel=1e-14)
+
+
 def test_compact_uses_idle_cores(spark):
     d = spark.range(0, 1000, 1, 7).select(F.col("id").cast("double").alias("label"))
     wide = 1_500  # 12 MB as the frame's bytes are counted
