@@ -9,10 +9,12 @@ on skipped keys are counted by comparing the signatures of a candidate pair.
 
 Texts with equal shingle sets are one class. In each posting list the classes are first
 compared with the list's best connected class, which joins groups of near copies at a cost
-linear in the list. Members of one list that are still in different components are compared in
-cells of bounded size, inside the tasks, each pair in one list. Members with a partner of enough
-collisions then bring their full shingle sets into the cell; it confirms the pairs there and
-gives the links of a forest only, fewer than it has members."""
+linear in the list. In a list that is still in several components, the members outside its
+largest component are compared with all others, in cells of bounded size inside the tasks, each
+pair in one list; a member is sent once for each BLOCK members outside, so a large group with a
+few classes apart is sent once. Members with a partner of enough collisions then bring their
+full shingle sets into the cell; it confirms the pairs there and gives the links of a forest
+only, fewer than it has members."""
 
 from __future__ import annotations
 
@@ -33,7 +35,8 @@ SIGNATURE = 64           # coordinates that are posted
 MATCHES = 32             # collisions among them, at least
 MORE = 128               # further coordinates (8 bits each) that are only counted
 ENOUGH = 116             # collisions among all, at least: 4.7 deviations under a similarity of 0.75
-BLOCK = 256              # classes of a posting list that are held together
+BLOCK = 2048             # classes of a posting list that are held together, and met by as many
+CHAIN = 1 << 15          # classes of a list's largest component that meet one block in one task
 HELD = 1 << 20           # shingles of the classes whose sets are held together, and one class more
 CHUNK = 1024             # shingles in one row
 SIMILAR = 75             # percent
@@ -173,46 +176,49 @@ def sign_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def prefix_postings(classes: DataFrame) -> DataFrame:
     """token, k (its coordinate), cid, hub, mask: the rarest keys of each class, as many as a
     similar pair can't miss. hub grows with the number of classes that share the keys of this
-    one; mask has the bits of all coordinates in the prefix."""
-    keys = classes.select("cid", F.posexplode("sig").alias("k", "v")) \
-        .select("cid", "k", F.xxhash64("k", "v").alias("token"))
+    one; mask has the bits of all coordinates in the prefix. token: coordinate and value in one
+    number; with the number of the class it is all that is shuffled of a key."""
+    token = F.shiftleft(F.col("k").cast("long"), 32).bitwiseOR(F.col("v").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
+    keys = classes.select("num", F.posexplode("sig").alias("k", "v")).select("num", token.alias("token"))
     lists = keys.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    own = keys.join(lists, "token").groupBy("cid").agg(
-        F.sort_array(F.collect_list(F.struct("n", "token", "k"))).alias("t"), F.sum("n").alias("hub"))
+    own = keys.join(lists, "token").groupBy("num").agg(
+        F.sort_array(F.collect_list(F.struct("n", "token"))).alias("t"), F.sum("n").alias("hub"))
     prefix = own.where(F.size("t") >= MATCHES).select(
-        "cid", "hub", F.slice("t", 1, F.size("t") - (MATCHES - 1)).alias("t"))
-    return prefix.select("cid", "hub", F.expr("aggregate(t, 0L, (m, x) -> m | shiftleft(1L, x.k))").alias("mask"),
-                         F.explode("t").alias("x")) \
-        .select(F.col("x.token").alias("token"), F.col("x.k").alias("k"), "cid", "hub", "mask")
-
-
-def _cell_members(rows: list[tuple]) -> Iterator[tuple]:
-    """Members (cell, at, label, cid, partners) of one cell (token, i, j) that have a partner: a
-    member in another component, of a size that allows similarity, with enough collisions, that
-    shares no earlier coordinate of both prefixes (so that only one list gives the pair). Members
-    beyond HELD shingles are dealt to several cells. at: place in the cell; label: number of the
-    component in the cell; partners: bits of later places.
-    Rows: token, i, j, block, k, cid, label, mask, n_shingles, sig, more."""
-    token, i, j, _, k = rows[0][:5]
-    side = [r for r in rows if r[3] == i], [r for r in rows if r[3] == j]
-    left, right = (sorted(x, key=lambda r: r[5]) for x in side)
-    if not left or not right:
+        "num", "hub", F.slice("t", 1, F.size("t") - (MATCHES - 1)).alias("t"))
+    k = "CAST(shiftright(x.token, 32) AS INT)"
+    return prefix.join(classes.select("num", "cid"), "num") \
+        .select("cid", "hub", F.expr(f"aggregate(t, 0L, (m, x) -> m | shiftleft(1L, {k}))").alias("mask"),
+                F.explode("t").alias("x")) \
+        .select(F.col("x.token").alias("token"), F.expr(k).alias("k"), "cid", "hub", "mask")
+
+
+def _cell_members(left: list[tuple], right: list[tuple] | None, cell_of: tuple) -> Iterator[tuple]:
+    """Members (cell, at, label, cid, partners) of one cell that have a partner: a member of the
+    other side (``right`` None: of the same) in another component, of a size that allows
+    similarity, with enough collisions, that shares no earlier coordinate of both prefixes (so
+    that only one list gives the pair). Members beyond HELD shingles are dealt to several cells.
+    at: place in the cell; label: number of the component in the cell; partners: bits of later
+    places. Rows: token, i, j, late, k, cid, label, mask, n_shingles, sig, more."""
+    if not left or right == []:
         return
+    k, same = left[0][4], right is None
+    left = sorted(left, key=lambda r: r[5])
+    right = left if same else sorted(right, key=lambda r: r[5])
     names: dict[bytes, int] = {}
     pack = lambda x: (np.array([r[9] for r in x], np.int32), np.frombuffer(b"".join(r[10] for r in x), np.uint8).reshape(len(x), -1),
                       np.array([names.setdefault(r[6], len(names)) for r in x]),
                       (np.array([r[7] for r in x], np.int64)[:, None] >> np.arange(SIGNATURE)) & 1 == 1,
                       np.array([r[8] for r in x], np.int64))
     sa, ma, la, ba, na = pack(left)
-    sb, mb, lb, bb, nb = pack(right)
-    skip = 0 if i == j else len(left)  # place of the first member of the right side
-    members = left if i == j else left + right
-    label = la if i == j else np.concatenate([la, lb])
+    sb, mb, lb, bb, nb = (sa, ma, la, ba, na) if same else pack(right)
+    skip = 0 if same else len(left)  # place of the first member of the right side
+    members = left if same else left + right
+    label = la if same else np.concatenate([la, lb])
     xs, ys = [], []
     for a in range(len(left)):
         met = sa[a] == sb
         ok = (met.sum(1) >= MATCHES) & (lb != la[a]) & (100 * np.minimum(nb, na[a]) >= SIMILAR * np.maximum(nb, na[a]))
-        if i == j:
+        if same:
             ok[:a + 1] = False
         at = np.flatnonzero(ok)
         if not len(at):
@@ -235,53 +241,90 @@ def _cell_members(rows: list[tuple]) -> Iterator[tuple]:
         own = np.unique(np.concatenate([x[here], y[here]]))
         bits = np.zeros((len(own), len(own)), bool)
         bits[np.searchsorted(own, x[here]), np.searchsorted(own, y[here])] = True
-        cell = struct.pack("<qiiqq", token, i, j, p, q)
+        cell = struct.pack("<qiiqqq", *cell_of, p, q)
         for place, m in enumerate(own.tolist()):
             yield cell, place, int(label[m]), members[m][5], np.packbits(bits[place]).tobytes()
 
 
 def _compare_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by (token, i, j); a cell's rows are held together, no more."""
+    """Rows come sorted by (token, i, j, late). The block of a cell (late false) is held and, where
+    j is 0, compared in itself; those that meet it follow and are held BLOCK at a time."""
     found: list[tuple] = []
-    current, rows = None, []
+    current, block, late, runs = None, [], [], 0
     types = [pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
     emit = lambda: pa.RecordBatch.from_arrays(
         [pa.array(c, t) for c, t in zip(zip(*found), types)], ["cell", "at", "label", "cid", "partners"])
+
+    def met() -> None:
+        nonlocal late, runs
+        runs += 1
+        found.extend(_cell_members(block, late, (*current, runs)))
+        late = []
+
+    def alone() -> None:
+        if block and current[2] == 0:
+            found.extend(_cell_members(block, None, (*current, 0)))
+
     for batch in _few(batches):
         for row in zip(*(batch.column(c).to_pylist() for c in range(batch.num_columns))):
             if row[:3] != current:
-                if rows:
-                    found += _cell_members(rows)
-                    if len(found) >= 20_000:
-                        yield emit()
-                        found.clear()
-                current, rows = row[:3], []
-            rows.append(row)
-    if rows:
-        found += _cell_members(rows)
+                if current:
+                    met()
+                    alone()
+                current, block, runs = row[:3], [], 0
+            if not row[3]:
+                block.append(row)
+            else:
+                late.append(row)
+                if len(late) >= BLOCK:
+                    met()
+            if len(found) >= 20_000:
+                yield emit()
+                found.clear()
+    if current:
+        met()
+        alone()
     if found:
         yield emit()
 
 
 def cells_apart(posts: DataFrame, label: DataFrame, classes: DataFrame) -> DataFrame:
     """cell, at, label, cid, partners: members of the posting lists whose classes lie in several
-    components, with the candidates they are to be compared with (see ``_cell_members``). A list
-    is cut into blocks; a member goes to one cell for each block of its list."""
-    at = posts.select("token", "k", "cid", "mask").join(label, F.col("cid") == F.col("node"), "left") \
-        .select("token", "k", "cid", "mask", F.coalesce("label", "cid").alias("label"))
-    open_lists = at.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
-                                         F.count(F.lit(1)).alias("n")) \
-        .where("lo <> hi").select("token", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    rows = at.join(open_lists, "token").join(classes.select("cid", "n_shingles", "sig", "more"), "cid") \
-        .withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")) \
-        .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cells = rows.select("token", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"),
-                        "block", "k", "cid", "label", "mask", "n_shingles", "sig", "more")
+    components, with the candidates they are to be compared with (see ``_cell_members``)."""
     n = int(posts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cells.repartition(n, "token", "i", "j").sortWithinPartitions("token", "i", "j") \
+    return dealt_apart(posts, label, classes).repartition(n, "token", "i", "j") \
+        .sortWithinPartitions("token", "i", "j", "late") \
         .mapInArrow(_compare_cells, "cell binary, at int, label int, cid binary, partners binary")
 
 
+def dealt_apart(posts: DataFrame, label: DataFrame, classes: DataFrame) -> DataFrame:
+    """token, i, j, late, k, cid, label, mask, n_shingles, sig, more: the members of lists in several
+    components, dealt to cells (token, i, j). Those outside the list's largest component are cut
+    into blocks i. Those inside, cut into chains j, meet every block, so they are sent once a block;
+    a member outside is sent to its block once a chain, and to the blocks before its own. No list
+    sends the pairs inside its largest component."""
+    at = posts.select("token", "k", "cid", "mask").join(label, F.col("cid") == F.col("node"), "left") \
+        .select("token", "k", "cid", "mask", F.coalesce("label", "cid").alias("label"))
+    sizes = at.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n"))
+    open_lists = sizes.groupBy("token").agg(
+        F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("labels")) \
+        .where("labels > 1").select(
+            "token", F.col("top.label").alias("top"),
+            F.ceil((F.col("n") - F.col("top.n")) / BLOCK).cast("int").alias("blocks"),
+            F.ceil(F.col("top.n") / CHAIN).cast("int").alias("chains"))
+    cell = lambda i, j, late: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(late).alias("late"))
+    upto = lambda n: F.sequence(F.lit(0), n - 1)
+    mod = lambda n: F.pmod(F.xxhash64("cid"), F.col(n)).cast("int")
+    own, zero = mod("blocks"), F.lit(0)
+    inside = F.transform(upto(F.col("blocks")), lambda i: cell(i, mod("chains"), True))
+    outside = F.transform(upto(F.col("chains")), lambda j: cell(own, j, False))
+    before = F.when(own > 0, F.transform(upto(own), lambda i: cell(i, zero, True)))
+    cells = F.when(F.col("label") == F.col("top"), inside).when(own > 0, F.concat(outside, before)).otherwise(outside)
+    return at.join(open_lists, "token").withColumn("c", F.explode(cells)) \
+        .join(classes.select("cid", "n_shingles", "sig", "more"), "cid") \
+        .select("token", "c.i", "c.j", "c.late", "k", "cid", "label", "mask", "n_shingles", "sig", "more")
+
+
 def _forest(members: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
     """Links of one cell that join two components. Members: label, cid, partners, shingle set, in
     the order of their places; pairs that earlier links have joined are not compared."""
@@ -423,7 +466,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = stored(sign_documents(docs, id_col, text_col), f"{folder}/signed")
     classes = stored(signed.where("cid IS NOT NULL").groupBy("cid").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"),
-        F.first("more").alias("more")), f"{folder}/classes")
+        F.first("more").alias("more")).withColumn("num", F.monotonically_increasing_id()), f"{folder}/classes")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     posts = stored(prefix_postings(classes), f"{folder}/postings")
 

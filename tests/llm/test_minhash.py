@@ -149,3 +149,27 @@ def test_forest_joins_each_component_once():
     members = [(0, b"a", bits(1, 2, 3), own(1, 2, 3, 4)), (1, b"b", bits(2, 3), own(1, 2, 3, 4, 5)),
                (2, b"c", bits(3), own(2, 3, 4)), (2, b"d", bits(), own(7, 8, 9))]
     assert list(minhash._forest(members)) == [(b"a", b"b"), (b"a", b"c")]
+
+
+def test_a_large_group_with_few_apart_is_sent_once(spark, monkeypatch):
+    """A list of 600 classes, 560 of one component: its rows grow with the list, not with its square."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(minhash, "BLOCK", 50)
+    cid = F.lpad(F.col("id").cast("string"), 4, "0").cast("binary")
+    posts = spark.range(600).select(F.lit(7).cast("long").alias("token"), F.lit(0).alias("k"), cid.alias("cid"), F.lit(1).cast("long").alias("mask"))
+    label = spark.range(560).select(cid.alias("node"), F.lit(b"0000").alias("label"))
+    classes = posts.select("cid", F.lit(9).cast("long").alias("n_shingles"), F.array_repeat(F.lit(1), 64).alias("sig"),
+                           F.lit(b"0" * 128).alias("more"))
+    rows = minhash.dealt_apart(posts, label, classes)
+    assert rows.count() == 600
+    monkeypatch.setattr(minhash, "BLOCK", 10)  # and every pair that is apart meets in one cell
+    monkeypatch.setattr(minhash, "CHAIN", 100)
+    cells = {}
+    for r in minhash.dealt_apart(posts, label, classes).collect():
+        cells.setdefault((r.i, r.j), ([], []))[r.late].append(int(r.cid))
+    met = []
+    for (_, j), (block, late) in cells.items():
+        met += [frozenset((a, b)) for a in block for b in late]
+        met += [frozenset((a, b)) for a in block for b in block if a < b] if j == 0 else []
+    assert len(met) == len(set(met)) and set(met) == {frozenset((a, b)) for a in range(560, 600) for b in range(a)}
