@@ -29,6 +29,7 @@ from tabwatch.llm.common import shared_dir, stored, text_or_empty
 MAGIC = b"TWTOK001"
 MAX_KEPT = 600_000     # pre-tokens whose ids a worker keeps; then it begins anew
 READ_AHEAD = 8 << 20
+BATCH = 1 << 21        # characters whose pre-tokens are looked up together
 MASK = (1 << 64) - 1
 NULL_HASH = (0x5DEECE66D1234567, 0x2545F4914F6CDD1D)  # hash and fingerprint of the null key
 
@@ -47,25 +48,42 @@ class Encoder:
         self.to_char = {b: ord(c) for b, c in enumerate(P.byte_chars())}
         self.kept: dict[bytes, bytes] = {}
 
-    def _learn(self, new: set[bytes]) -> None:
-        tokenize, dtype = self.tokenizer.model.tokenize, f"<u{self.width}"
+    def _learn(self, new: list[bytes]) -> None:
+        tokenize, ids, ends = self.tokenizer.model.tokenize, [], [0]
         for w in new:
-            ids = [t.id for t in tokenize(w.decode("latin-1").translate(self.to_char))]
-            self.kept[w] = np.array(ids, dtype).tobytes()
+            ids += [t.id for t in tokenize(w.decode("latin-1").translate(self.to_char))]
+            ends.append(len(ids) * self.width)
+        flat = np.array(ids, f"<u{self.width}").tobytes()
+        self.kept.update((w, flat[a:b]) for w, a, b in zip(new, ends, ends[1:]))
+
+    def _ids(self, data: bytes, begin: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """(ids of all pre-tokens, where those of each begin; the end last). Each distinct pre-token of
+        the batch is looked up once."""
+        if not len(begin):
+            return b"", np.zeros(1, np.int64)
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(begin), [
+            None, pa.py_buffer(np.append(begin, len(data)).astype(np.int64)), pa.py_buffer(data)]).dictionary_encode()
+        _, at, flat = pieces.dictionary.buffers()
+        edges, flat = np.frombuffer(at, np.int64, len(pieces.dictionary) + 1).tolist(), flat.to_pybytes()
+        words = [flat[a:b] for a, b in zip(edges, edges[1:])]
+        found = list(map(self.kept.get, words))
+        if new := [w for w, x in zip(words, found) if x is None]:
+            self._learn(new)
+            found = list(map(self.kept.get, words))
+        ids = pa.array(found, pa.large_binary()).take(pieces.indices)
+        _, at, flat = ids.buffers()
+        return flat.to_pybytes() if flat else b"", np.frombuffer(at, np.int64, len(ids) + 1)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
-        for _, part in P.small_batches(texts):
+        for _, part in P.small_batches(texts, BATCH):
             if len(self.kept) > MAX_KEPT:
                 self.kept = {}
             segs, owner, marks = P.segments(part, self.special)
             data, begin, n_bytes = P.cut(segs, self.classes)
-            edges = [*begin.tolist(), len(data)]
-            pieces = [data[a:b] for a, b in zip(edges, edges[1:])]
-            self._learn(set(pieces) - self.kept.keys())
-            pieces = [self.kept[w] for w in pieces]
-            stop = np.searchsorted(begin, np.cumsum(n_bytes), "left").tolist()
-            whole = [b"".join(pieces[a:b]) for a, b in zip([0, *stop], stop)]
+            ids, at = self._ids(data, begin)
+            stop = at[np.searchsorted(begin, np.cumsum(n_bytes), "left")].tolist()
+            whole = [ids[a:b] for a, b in zip([0, *stop], stop)]
             if len(whole) == len(part):
                 out += whole
                 continue

@@ -50,6 +50,25 @@ def test_transducer_survives_a_cleared_table(library, monkeypatch):
         assert tr.count(part).tolist() == [len(e.ids) for e in library.encode_batch(part, add_special_tokens=False)]
 
 
+def test_encoder_looks_up_a_pretoken_once_a_batch():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *a):
+            Counted.asked += 1
+            return super().get(*a)
+
+        def __getitem__(self, k):
+            Counted.asked += 1
+            return super().__getitem__(k)
+
+    enc = token_store.Encoder(BPE)
+    enc.kept = Counted()
+    t = [" the same words again"] * 500
+    assert len({x for x in enc.encode(t)}) == 1 and Counted.asked <= 8
+    assert enc.encode(["", *t[:2], ""])[::3] == [b"", b""] and enc.encode(["", ""]) == [b"", b""] and enc.encode([]) == []
+
+
 def test_encoder_gives_the_library_ids(library, monkeypatch):
     monkeypatch.setattr(token_store, "MAX_KEPT", 500)
     t = texts()
