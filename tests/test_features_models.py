@@ -236,3 +236,15 @@ def test_saved_models_belong_to_the_application(spark, monkeypatch, tmp_path):
     with pytest.raises(AnalysisException, match="trains"):
         catalog._trained(spark, "/root/testdata/sf0.001")
     assert asked
+
+
+def test_checks_read_the_rows_kept_with_the_models(spark, monkeypatch):
+    from tabwatch.plans import catalog
+
+    sf = "/root/testdata/sf0.001"
+    rows = catalog._split(spark, sf)
+    want = catalog.QUERIES["linear_directional"](spark, sf).collect()
+    monkeypatch.setattr(catalog, "_trained", lambda *a: (catalog._identity(), {"logreg": catalog.LINEAR}, None, rows))
+    monkeypatch.setattr(catalog, "_split", None)  # the orders are not aggregated and split again
+    got = catalog.QUERIES["directional_check"](spark, sf).drop("model").collect()
+    assert got == want and got[0].n_cohort > 0
