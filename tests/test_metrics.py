@@ -232,3 +232,27 @@ def test_weighted_metrics_of_nothing(spark):
     d = spark.createDataFrame([], W_SCHEMA)
     for f in (M.classification_metrics, M.confusion_at, M.threshold_sweep, M.calibration_table):
         assert f(d, ["model"], weight="w").collect() == []
+
+
+@pytest.mark.parametrize("query", ["weighted_metric_set", "metric_set"])
+def test_all_steps_of_the_metric_set_read_one_exchange_of_counts(spark, query):
+    """Bounds, bucket totals, ranks and point metrics: the scored table is scanned and counted once."""
+    from tabwatch.plans import catalog
+
+    d = catalog.QUERIES[query](spark, "/root/testdata/sf0.001")
+    assert len(d.collect()) == 6
+    plan = d._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 1
+
+
+def test_weights_are_exact_to_nine_places(spark):
+    """Sums equal those of decimals: near halves of the last place, tiny, large and mixed weights."""
+    from decimal import ROUND_HALF_UP, Decimal
+
+    r = np.random.default_rng(9)
+    ws = [0.0, 5e-10, 4.999999999e-10, 1.5e-9, 2.5e-9, 0.1, 1 / 3, 1099.5116277765, 1099.511627776, 123456.0000000005,
+          2.0 ** 53, 99999999999.5, *r.random(200), *(r.integers(0, 10 ** 10, 200) + 0.5) / 1e9, *r.random(50) * 1e10]
+    want = sum(Decimal(repr(float(w))).quantize(Decimal("1e-9"), ROUND_HALF_UP) for w in ws if w < 1e11)
+    rows = [("a", i % 2, 0.5, float(w)) for i, w in enumerate(ws) if w < 1e11]
+    c = M.score_counts(spark.createDataFrame(rows, W_SCHEMA), ["model"], weight="w").first()
+    assert Decimal(c.n_pos + c.n_neg) == want * M.WEIGHT_SCALE
