@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tabwatch.operators import drift as D
 from tabwatch.operators import prefix as PF
@@ -208,3 +209,38 @@ def test_exact_limit(spark):
     assert exact["x"].ks_pvalue == pytest.approx(rough["x"].ks_pvalue, rel=0.3)
     t = D.detect_drift(b, c, ["x"], [], exact_limit=10_000).first()
     assert t.ks_pvalue == exact["x"].ks_pvalue
+
+
+def _two_scores(spark):
+    r = np.random.default_rng(3)
+    pdf = pd.DataFrame({"base": r.random(900) < 0.6, "s_a": r.beta(2, 5, 900), "s_b": np.round(r.random(900), 1)})
+    odd = spark.createDataFrame([(None, 0.9, 0.9), (True, None, float("nan")), (False, float("nan"), None)],
+                                "base boolean, s_a double, s_b double")
+    return spark.createDataFrame(pdf).unionByName(odd)
+
+
+def test_score_drift_within_one_table_equals_two_sides(spark):
+    d = _two_scores(spark)
+    got = D.prediction_drift_within(d, F.col("base"), ["s_b", "s_a"]).collect()
+    assert [r.feature for r in got] == ["s_b", "s_a"]
+    for r in got:
+        x = d.select("base", F.col(r.feature).alias("score"))
+        want = D.prediction_drift(x.where("base"), x.where("NOT base")).first()
+        assert all(abs(r[c] - want[c]) < 1e-12 for c in want.asDict())
+
+
+def test_score_drift_reads_the_table_once_a_scan_and_refines_edges_only(spark, monkeypatch):
+    """Equal sides: KS would refine every bucket, PSI needs those that hold its 11 quantiles."""
+    from tabwatch.plans import catalog
+
+    seen, refine = [], D._NumericDrift._refine
+
+    def spy(self, wanted, upto, targets):
+        seen.append((self.rows._jdf.queryExecution().executedPlan().toString().count("FileScan parquet"),
+                     max(int(w.sum()) for w in wanted), self.cols))
+        return refine(self, wanted, upto, targets)
+
+    monkeypatch.setattr(D._NumericDrift, "_refine", spy)
+    assert len(catalog.QUERIES["score_drift"](spark, "/root/testdata/sf0.001").collect()) == 2
+    (scans, buckets, cols), = seen
+    assert scans == 1 and buckets <= 22 and cols == ["s_price", "s_qty"]
