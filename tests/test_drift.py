@@ -244,3 +244,28 @@ def test_score_drift_reads_the_table_once_a_scan_and_refines_edges_only(spark, m
     assert len(catalog.QUERIES["score_drift"](spark, "/root/testdata/sf0.001").collect()) == 2
     (scans, buckets, cols), = seen
     assert scans == 1 and buckets <= 22 and cols == ["s_price", "s_qty"]
+
+
+@pytest.mark.parametrize("case,scans", [("spread", 2), ("ties", 2), ("crowded", 3), ("few", None)])
+def test_psi_alone_counts_and_groups_in_one_scan(spark, case, scans):
+    """A sketch, then one scan for counts and values; a current side crowded around a baseline quantile
+    is counted before its values are grouped. Few rows: the sketch names no more than their neighbours."""
+    r = np.random.default_rng(11)
+    b, c = r.uniform(0, 1e6, 6000), r.uniform(-2e5, 9e5, 4000)
+    if case == "ties":
+        b, c = np.floor(b / 2e4), np.floor(c / 2e4)
+    elif case == "crowded":
+        c = np.median(b) + r.uniform(-50, 50, 4000)
+    elif case == "few":
+        b, c = b[:37], c[:5]
+    read = spark.sparkContext.accumulator(0)
+
+    def see(x):
+        read.add(1)
+        return x
+
+    d = spark.createDataFrame(pd.DataFrame({"base": [True] * len(b) + [False] * len(c), "x": np.concatenate([b, c])}))
+    d = d.repartition(5).withColumn("s", F.udf(see, "double")("x"))
+    got = D.prediction_drift_within(d, F.col("base"), ["s"]).first()
+    assert got.psi == pytest.approx(np_psi(b, c), abs=1e-9)
+    assert scans is None or read.value == scans * (len(b) + len(c))
