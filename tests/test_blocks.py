@@ -117,3 +117,9 @@ def test_tuning_refuses_other_labels(data, pipe):
     odd = data.withColumn("fold", F.col("id") % 2).withColumn("churn", F.when(F.col("id") == 3, 2).otherwise(F.col("churn")))
     with pytest.raises(Exception, match="0 nor 1|must be 0 or 1"):
         M.tune("gbt", odd, pipe, "churn", "fold", trials=[{"n_estimators": 1}])
+
+
+def test_the_registered_search_has_all_its_trials(spark):
+    from tabwatch.plans import catalog
+    rows = catalog.QUERIES["tuning_gbt"](spark, SF).collect()
+    assert sorted(r.trial for r in rows) == list(range(30)) and all(0.0 <= r.mean_roc_auc <= 1.0 for r in rows)
