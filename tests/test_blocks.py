@@ -70,7 +70,7 @@ def test_any_cut_into_blocks_is_the_same_table(spark, encoded):
     wide = VectorAssembler(inputCols=["all", "b2"], outputCol=FE.FEATURES).transform(wide)
     blocks = [(r.id, bytes(r.block)) for r in B.pack(wide, "churn", F.col("id") % 5 == 0).collect()]
     assert len(blocks) == 7
-    rows = B._Rows(blocks)
+    rows = B._Rows(list(blocks))
     want = np.array([r[0].toArray() for r in wide.orderBy("id").select(FE.FEATURES).collect()])
     order = np.argsort(rows.column(1))
     assert all(np.array_equal(rows.column(j)[order].astype(float), want[:, j]) for j in range(want.shape[1]))
