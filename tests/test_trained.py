@@ -36,3 +36,17 @@ def test_trees_and_networks_take_no_spark_fit_and_scores_are_stored(spark, data,
     assert seen == [(True, 3 * n)] and list(fitted) == ["logreg", "gbt", "mlp"]
     rows = {(r.model, r.split): r for r in metrics.collect()}
     assert set(rows) == {(m, s) for m in fitted for s in ("val", "test")}
+
+
+def test_the_gate_reads_stored_scores(spark, monkeypatch):
+    from tabwatch.plans import catalog
+
+    sf = "/root/testdata/sf0.001"
+    rows = catalog._split(spark, sf)
+    monkeypatch.setattr(catalog, "_trained", lambda *a: (catalog._identity(), {"linear": catalog.LINEAR}, None, rows))
+    want = catalog.QUERIES["linear_quality_gate"](spark, sf).collect()
+    plans, gate = [], catalog.BH.quality_gate
+    monkeypatch.setattr(catalog.BH, "quality_gate", lambda s, *a, **k: plans.append(
+        s._jdf.queryExecution().optimizedPlan().toString()) or gate(s, *a, **k))
+    assert catalog.QUERIES["quality_gate"](spark, sf).collect() == want
+    assert plans[0].startswith("LogicalRDD") and len(plans[0].strip().splitlines()) == 1
